@@ -104,8 +104,9 @@ def as_of(
     )
     line = starts.unionByName(points)
     position = F.struct("_t", "_kind", "_seq")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     line = line.withColumn(
-        BLOCK, F.floor(F.unix_seconds(F.col("_t").cast("timestamp")) / block_seconds)
+        BLOCK, F.floor(F.timestamp_diff("SECOND", epoch, F.col("_t")) / block_seconds)
     ).withColumn("_pos", position)
     # Events after all starts of the same instant; their mutual order is irrelevant.
     done = fill_and_lead(line, [key], "_pos", fill=["_version"]).filter(F.col("_kind") == 1)

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from farelake import config as C
 from farelake.functions import columns as X
+from farelake.operators.ordered import number_all
 from farelake.operators.quality import union_all
 
 # ---- small dimensions -----------------------------------------------------------------
@@ -44,12 +45,17 @@ def _catalogue(df, operator, code, name, lat=None, lon=None):
     )
 
 
-def station_dimension(stations: DataFrame, zones: DataFrame) -> DataFrame:
-    """Keys by (operator, native code); a catalogue of stations, hundreds of rows."""
-    keyed = stations.select(
-        F.row_number().over(Window.orderBy("operador", "codigo_nativo")).cast("long").alias("estacion_key"),
-        "*",
-    )
+def station_dimension(stations: DataFrame, zones: DataFrame, small: bool = True) -> DataFrame:
+    """Keys by (operator, native code).
+
+    A transit catalogue has hundreds of rows and is numbered in one window; ``small=False`` numbers
+    catalogues of any size over range partitions.
+    """
+    order = ["operador", "codigo_nativo"]
+    if small:
+        keyed = stations.withColumn("estacion_key", F.row_number().over(Window.orderBy(*order)).cast("long"))
+    else:
+        keyed = number_all(stations, order, "estacion_key")
     named = zones.select("zona_key", F.col("zona_nombre").alias("zona_canonica"))
     return keyed.join(named, "zona_canonica", "left").select(
         "estacion_key", "operador", "codigo_nativo", "nombre", "zona_key", "lat", "lon"
@@ -170,9 +176,11 @@ def boarding_fact(events: DataFrame, stations: DataFrame, salt: str) -> DataFram
     )
 
 
-def rail_trip_fact(trips: DataFrame, stations: DataFrame, salt: str) -> DataFrame:
+def rail_trip_fact(
+    trips: DataFrame, stations: DataFrame, salt: str, operator: str = C.METRORIEL
+) -> DataFrame:
     """Closed trips; the station dimension plays origin and destination."""
-    rail = stations.filter(F.col("operador") == C.METRORIEL)
+    rail = stations.filter(F.col("operador") == operator)
     origin = rail.select(
         F.col("codigo_nativo").alias("_o"), F.col("estacion_key").alias("estacion_origen_key")
     )
@@ -184,7 +192,7 @@ def rail_trip_fact(trips: DataFrame, stations: DataFrame, salt: str) -> DataFram
         .join(target, F.col("estacion_salida").cast("string") == F.col("_d"), "left")
         .select(
             "viaje_id",
-            X.pseudonym(salt, F.lit(C.METRORIEL), F.col("tarjeta_mr")).alias("usuario_key"),
+            X.pseudonym(salt, F.lit(operator), F.col("tarjeta_mr")).alias("usuario_key"),
             "estacion_origen_key",
             "estacion_destino_key",
             X.hour_key(F.col("ts_entrada")).alias("tiempo_key_entrada"),
