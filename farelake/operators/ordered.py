@@ -50,7 +50,8 @@ def _across(keys):
 
 
 def _join_summary(df: DataFrame, summary: DataFrame, keys) -> DataFrame:
-    return df.join(summary, [*keys, BLOCK])
+    # Without keys the summary is one row per block, as many as there are partitions.
+    return df.join(summary if keys else F.broadcast(summary), [*keys, BLOCK])
 
 
 def running_sums(
@@ -81,9 +82,25 @@ def row_numbers(
     return running_sums(one, keys, order, {out: "_one"}).drop("_one")
 
 
-def number_all(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
-    """Global row numbers over any number of rows, in a total order."""
-    return row_numbers(range_blocks(df, order), [], order, out).drop(BLOCK)
+def number_all(df: DataFrame, order: Sequence[Column | str], out: str, parts: int | None = None) -> DataFrame:
+    """Global row numbers over any number of rows, in a total order.
+
+    Range partitions sorted in place hold consecutive runs of the order, so a row's number is its
+    position in the partition plus the sizes of the partitions before it: one shuffle of the rows.
+    """
+    if parts is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # partition number in the upper bits, position inside it in the lower 33
+    placed = materialise(runs.withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn(BLOCK, F.shiftright("_at", 33)).withColumn(
+        "_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    )
+    before = _across([]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select(BLOCK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = _join_summary(placed, offsets, [])
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(out))
 
 
 def fill_and_lead(

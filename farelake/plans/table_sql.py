@@ -562,7 +562,7 @@ from m group by 1"""
 def rates(extra: str = "") -> str:
     return f"""vp, fp, fn, {extra} vp + fp as contactados,
   round(case when vp + fp > 0 then vp / (vp + fp) else 0 end, 6) as precision,
-  round(case when vp + fn > 0 then vp / (vp + fn) else 0 end, 6) as recall, 10.0 * vp - 5.0 * fp as ganancia_q"""
+  round(case when vp + fn > 0 then vp / (vp + fn) else 0 end, 6) as recall, cast(10 * vp - 5 * fp as double) as ganancia_q"""
 
 
 def counts(at: str) -> str:
@@ -589,4 +589,19 @@ with {scored('B')} select cast(0.25 as double) as umbral, {rates('vn,')} from (s
 SQL["segment_profile"] = f"""
 select least(viajes_730d // 2, 4) as segmento, count(*) as tamano,
   round(sum(etiqueta) / count(etiqueta), 6) as tasa_abandono,
-  {', '.join(f'round(median({c}), 6) as {c}' for c in Q.PROFILE)} from {order_cut('A')} group by 1"""
+  {', '.join(f'round(median({c}), 7) as {c}' for c in Q.PROFILE)} from {order_cut('A')} group by 1"""
+
+# ---- streaming --------------------------------------------------------------------------------------
+
+SQL["stream_land"] = """
+select *, timestamp '2024-02-01 00:00:00' as ts_ingesta, date '2024-02-01' as fecha_ingesta,
+  'events' as fuente_archivo from events"""
+SQL["stream_dedup"] = f"select distinct l_orderkey, l_linenumber from lineitem where not {_FUTURE}"
+SQL["stream_quarantine"] = f"""
+select id_registro, motivo, fecha_hora_evento from ({SQL['quarantine_union']}) where fuente = 'lineitem'
+union all select {_LID}, 'valido', l_shipdate from ({SQL['valid_rows']})"""
+SQL["stream_hourly"] = """
+select date_trunc('hour', ts) as hora_ts, event_type, count(*) as abordajes,
+  cast(sum(cast(round(value * 100) as bigint)) as bigint) as centavos from events group by 1, 2"""
+SQL["stream_registry"] = f"select * from {current()}"
+SQL["stream_profile"] = SQL["scd2_asof_lookup"]

@@ -792,11 +792,12 @@ PROFILE = ["viajes_730d", "dias_desde_ultimo_viaje", "tendencia_365d", "tarifa_p
 
 def segment_profile(spark, sf):
     seg = F.least(F.floor(F.col("viajes_730d") / 2), F.lit(4)).cast("long")
-    p = evaluate.segment_profile(
-        _labelled(spark, sf).withColumn("segmento", seg), "segmento", PROFILE
+    feats = rounded(_labelled(spark, sf)).withColumn("segmento", seg)
+    p = evaluate.segment_profile(feats, "segmento", PROFILE).withColumn(
+        "tasa_abandono", F.round("tasa_abandono", 6)
     )
-    for c in ["tasa_abandono", *PROFILE]:
-        p = p.withColumn(c, F.round(c, 6))
+    for c in PROFILE:  # the middle of two six-digit values has seven digits
+        p = p.withColumn(c, F.round(c, 7))
     return p
 
 
