@@ -7,11 +7,20 @@ before the shuffle instead of filling one window partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.operators.ordered import BLOCK, expand_copies, range_blocks, running_sums
+from farelake.operators.ordered import (
+    BLOCK,
+    CHUNK,
+    expand_copies,
+    few_copies,
+    many_copies,
+    range_blocks,
+    running_sums,
+)
 
 
 def _ordering(df: DataFrame, keys: Sequence[str], order: Sequence[str]):
@@ -34,15 +43,16 @@ def repeat_reads(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
         .agg(F.min(_ordering(df, keys, order)).alias("_first"), F.count(F.lit(1)).alias("_reads"))
         .filter(F.col("_reads") > 1)
     )
-    same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    cond = same_key[0]
-    for c in same_key[1:]:
-        cond = cond & c
-    later = spread.join(firsts, cond).withColumn(
-        "_n", F.col("_n") - F.col("_r").eqNullSafe(F.col("_first")).cast("long")
-    )
-    left = later.filter(F.col("_n") > 0).select(*df.columns, "_n")
-    return expand_copies(left, "_n", "_i").select(*df.columns)
+    same_key = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+
+    def later(part):
+        rest = F.col("_n") - F.col("_r").eqNullSafe(F.col("_first")).cast("long")
+        return part.join(firsts, same_key).select(*df.columns, rest.alias("_n")).filter(F.col("_n") > 0)
+
+    # the rare very large groups are told apart before the join, so that they cost nothing if absent
+    few = few_copies(later(spread.filter(F.col("_n") <= CHUNK)), "_n", "_i")
+    many = many_copies(later(spread.filter(F.col("_n") > CHUNK)), "_n", "_i")
+    return few.unionByName(many).select(*df.columns)
 
 
 def content_ids(df: DataFrame, out: str, length: int = 16) -> DataFrame:

@@ -10,6 +10,7 @@ block, which is what bounds its own window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ BLOCK = "_block"
 def range_blocks(df: DataFrame, order: Sequence[Column | str], parts: int | None = None) -> DataFrame:
     """Blocks of about equal size whatever the distribution of the order columns.
 
-    Rows are range-partitioned by the whole order and the partition number is stored as data in the
-    reliable checkpoint, so later jobs and retried tasks all see the same blocks.
+    Rows are range-partitioned by the whole order and the partition number is written as data, so
+    later jobs and retried tasks all see the same blocks.
     """
     if parts is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -96,11 +97,11 @@ def number_all(df: DataFrame, order: Sequence[Column | str], out: str, parts: in
     placed = placed.withColumn(BLOCK, F.shiftright("_at", 33)).withColumn(
         "_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     )
-    before = _across([]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = offsets.select(BLOCK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = _join_summary(placed, offsets, [])
-    return numbered.select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(out))
+    # at most one count per partition comes back to the driver
+    sizes = {r[BLOCK]: r["n"] for r in placed.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts = [0, *accumulate(sizes.get(b, 0) for b in range(max(sizes, default=0)))]
+    start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col(BLOCK).cast("int"))
+    return placed.select(*df.columns, (start + F.col("_at") + 1).alias(out))
 
 
 def fill_and_lead(
@@ -144,28 +145,32 @@ def fill_and_lead(
     )
 
 
-def expand_copies(df: DataFrame, copies: str, ordinal: str, chunk: int = 100_000) -> DataFrame:
-    """Turn a row standing for ``copies`` equal rows back into that many, numbered from 1.
+CHUNK = 100_000
 
-    Rows with few copies expand in place. A row standing for very many is cut into chunks that are
-    spread over the cluster first, so no task emits more than ``chunk`` copies of it at a time.
+
+def few_copies(df: DataFrame, copies: str, ordinal: str) -> DataFrame:
+    """Turn a row standing for ``copies`` equal rows back into that many, numbered from 1."""
+    numbers = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(ordinal)
+    return df.select(*[c for c in df.columns if c != copies], numbers)
+
+
+def many_copies(df: DataFrame, copies: str, ordinal: str, chunk: int = CHUNK) -> DataFrame:
+    """The same for rows that stand for very many: cut into chunks, spread out, then expanded.
+
+    No task emits more than ``chunk`` copies of a row per chunk it was dealt.
     """
     cols = [c for c in df.columns if c != copies]
-    few = df.filter(F.col(copies) <= chunk).select(
-        *cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(ordinal)
-    )
-    many = (
-        df.filter(F.col(copies) > chunk)
-        .select(
-            "*",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / chunk))).alias("_c"),
-        )
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / chunk)))
+    first = F.col("_c") * chunk + 1
+    last = F.least((F.col("_c") + 1) * chunk, F.col(copies))
+    return (
+        df.select("*", chunks.alias("_c"))
         .repartition(*cols, "_c")
-        .select(
-            *cols,
-            F.explode(
-                F.sequence(F.col("_c") * chunk + 1, F.least((F.col("_c") + 1) * chunk, F.col(copies)))
-            ).alias(ordinal),
-        )
+        .select(*cols, F.explode(F.sequence(first, last)).alias(ordinal))
     )
-    return few.unionByName(many)
+
+
+def expand_copies(df: DataFrame, copies: str, ordinal: str, chunk: int = CHUNK) -> DataFrame:
+    """All copies of every row; ``df`` should come from an aggregate, whose shuffle both halves reuse."""
+    few = few_copies(df.filter(F.col(copies) <= chunk), copies, ordinal)
+    return few.unionByName(many_copies(df.filter(F.col(copies) > chunk), copies, ordinal, chunk))

@@ -81,16 +81,18 @@ def until(df: DataFrame, ts: str, limit) -> DataFrame:
 
 
 def daily_rollup(ev: DataFrame, operators: Sequence[str], unit: str = UNIT) -> DataFrame:
-    """One row per unit and day; every column is a partial aggregate of the features."""
+    """One row per unit, day and zone; every column is a partial sum or maximum of the features.
+
+    Raw events meet only fixed-width aggregates here, which run as generated hash aggregation; sets
+    of days and zones are formed later, from the far fewer rolled-up rows.
+    """
     ts = F.col("fecha_hora")
-    return ev.groupBy(unit, ts.cast("date").alias("dia")).agg(
+    return ev.groupBy(unit, ts.cast("date").alias("dia"), "zona").agg(
         F.count(F.lit(1)).alias("viajes"),
         *[F.count_if(F.col("operador") == op).alias(f"v_{i}") for i, op in enumerate(operators)],
         F.count_if(X.peak_hour(ts)).alias("v_pico"),
         F.sum(X.cents(F.col("monto_gtq"))).alias("centavos"),
         F.max(ts).alias("ultimo"),
-        F.collect_set("zona").alias("zonas"),
-        F.collect_set("operador").alias("operadores"),
     )
 
 
@@ -169,6 +171,7 @@ def features(
 ) -> DataFrame:
     """Features of every cut, stacked, one row per (unit, cut) of the population.
 
+    ``operators`` lists every operator that occurs in the events.
     ``labels``: ``"auto"`` labels a cut only if the data reach the end of its horizon (minus a day),
     else null; ``"none"`` leaves them null; ``"require"`` raises :class:`InsufficientData`.
     ``last_event`` is a one-row frame with the time of the last event (``ultimo``), needed when
@@ -196,11 +199,7 @@ def features(
         total("v_pico").alias("_peak"),
         total("viajes", in_window & X.weekend(day)).alias("_weekend"),
         F.sum(F.when(in_window, F.col("centavos"))).alias("_cents"),
-        # a set of sets: at most one entry per day, so at most `window` short arrays
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(in_window, F.col("zonas")))))).alias("_zones"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(in_window, F.col("operadores")))))).alias(
-            "_modes"
-        ),
+        F.size(F.collect_set(F.when(in_window, F.col("zona")))).alias("_zones"),
         F.bool_or(~in_window).alias("_came_back"),
     )
     agg = agg.filter(F.col("_n") >= w.min_trips)
@@ -232,7 +231,7 @@ def features(
         "dias_desde_ultimo_viaje": X.seconds_between(F.col("_last"), t) / F.lit(86400.0),
         "max_dias_sin_viajar": _max_gap(days).cast("long"),
         "viajes_por_dia_activo": X.share(n, active),
-        "n_operadores": F.col("_modes").cast("long"),
+        "n_operadores": sum((F.col(f"_op_{i}") > 0).cast("long") for i in range(len(operators))),
         "n_zonas": F.col("_zones").cast("long"),
         **{f"prop_{_slug(op)}": X.share(F.col(f"_op_{i}"), n) for i, op in enumerate(operators)},
         "prop_hora_pico": X.share(F.col("_peak"), n),

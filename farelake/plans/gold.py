@@ -27,10 +27,14 @@ def zone_dimension(zones: DataFrame, zone: str = "zona_canonica") -> DataFrame:
     )
 
 
+def inline(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A constant relation as one projection: the optimizer sees its size and broadcasts it."""
+    literals = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*literals)))
+
+
 def operator_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        C.OPERATORS, "operador string, nombre string, modo string, unidades_infra int"
-    )
+    return inline(spark, C.OPERATORS, ["operador", "nombre", "modo", "unidades_infra"])
 
 
 def _catalogue(df, operator, code, name, lat=None, lon=None):

@@ -348,7 +348,7 @@ def dim_user(spark, sf):
 
 def _inline_modes(spark):
     rows = [(t, t.title(), "digital" if t in ("click", "view") else "caja") for t in EVENT_TYPES]
-    return spark.createDataFrame(rows, "operador string, nombre string, modo string")
+    return gold.inline(spark, rows, ["operador", "nombre", "modo"])
 
 
 def dim_inline(spark, sf):
@@ -438,20 +438,21 @@ def fact_trip_roles(spark, sf):
 
 
 def _operators(spark):
-    return spark.createDataFrame(
-        [("CUSTOMER", "Clientes", "digital", 1), ("SUPPLIER", "Proveedores", "carga", 2)],
-        "operador string, nombre string, modo string, unidades_infra int",
-    )
+    rows = [("CUSTOMER", "Clientes", "digital", 1), ("SUPPLIER", "Proveedores", "carga", 2)]
+    return gold.inline(spark, rows, ["operador", "nombre", "modo", "unidades_infra"])
 
 
 def _demand_parts(spark, sf):
     """Dimensions, fact and demand cube over the same station keys."""
     stations = dim_station(spark, sf)
     events = _boardings(spark, sf)
+    # repeated reads do not move the first and last hour, so the span needs no deduplication
+    shipped = table(spark, sf, "lineitem").select(F.col("l_shipdate").alias("ts"))
+    times = table(spark, sf, "events").select("ts").unionByName(shipped).withColumnRenamed("ts", "fecha_hora")
     dims = {
         "dim_estacion": stations,
         "dim_zona": _nation_zones(spark, sf),
-        "dim_tiempo": gold.hour_dimension(gold.event_span(events)),
+        "dim_tiempo": gold.hour_dimension(gold.event_span(times)),
         "dim_operador": _operators(spark),
     }
     fact = gold.boarding_fact(events, stations, SALT)

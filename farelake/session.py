@@ -46,13 +46,12 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
-
-
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it from there on."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write ``df`` once as a table in the shared folder and read it from there on.
+
+    Unlike a row checkpoint the table has a known size, which lets the optimizer choose its joins, and
+    later reads take only the columns they need. It outlives lost executors.
+    """
+    path = run_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
