@@ -55,8 +55,14 @@ def midnight(day) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Whole cents. Integer sums do not depend on the order of the partial sums."""
-    return F.round(amount * 100).cast("long")
+    """Whole cents, halves away from zero. Integer sums do not depend on the order of partial sums.
+
+    Written with a cast and comparisons because ``round`` on doubles goes through decimal objects,
+    which is felt when every raw event passes here.
+    """
+    scaled = amount * 100
+    whole = scaled.cast("long")
+    return whole + F.when(scaled - whole >= 0.5, 1).when(scaled - whole <= -0.5, -1).otherwise(0)
 
 
 def from_cents(total: Column) -> Column:

@@ -32,7 +32,7 @@ def range_blocks(df: DataFrame, order: Sequence[Column | str], parts: int | None
     return materialise(df.repartitionByRange(parts, *order).withColumn(BLOCK, F.spark_partition_id()))
 
 
-def hash_prefix_blocks(df: DataFrame, hex_col: str, digits: int = 3) -> DataFrame:
+def hash_prefix_blocks(df: DataFrame, hex_col: str, digits: int = 4) -> DataFrame:
     """Blocks for rows ordered by a uniform hex digest: its first digits are already balanced."""
     return df.withColumn(BLOCK, F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long"))
 

@@ -321,21 +321,26 @@ def card_counterfactual(
 ) -> DataFrame:
     """What a card-based unit would count: population, positives, and positives whose person went on.
 
-    One aggregate per card and one per person; a hot card or person is reduced before any shuffle.
+    The events are read once: per (card, mode), then per card, then per person with the short list of
+    the person's cards, each level with map-side partials. A card belongs to one person.
     """
     t = X.midnight(cut)
     ts = F.col("fecha_hora")
     start = X.midnight(cut - timedelta(days=w.window))
     end = X.midnight(cut + timedelta(days=w.horizon))
     rows = ev.filter((ts >= start) & (ts < end))
-    per_card = rows.groupBy(unit, "tarjeta", "operador").agg(
+    per_mode = rows.groupBy(unit, "tarjeta", "operador").agg(
         F.count_if(ts < t).alias("_n"), F.bool_or(ts >= t).alias("_again")
     )
-    # the same card text may be seen under two modes; a later trip under either counts for the card
-    card_again = per_card.groupBy("tarjeta").agg(F.bool_or("_again").alias("_card_again"))
-    unit_again = per_card.groupBy(unit).agg(F.bool_or("_again").alias("_unit_again"))
-    pop = per_card.filter(F.col("_n") >= w.min_trips).select(unit, "tarjeta")
-    pop = pop.join(card_again, "tarjeta").join(unit_again, unit)
+    # one card may serve several modes: a member per mode, but a later trip under any counts
+    per_card = per_mode.groupBy(unit, "tarjeta").agg(
+        F.count_if(F.col("_n") >= w.min_trips).alias("_members"), F.bool_or("_again").alias("_card_again")
+    )
+    per_unit = per_card.groupBy(unit).agg(
+        F.bool_or("_card_again").alias("_unit_again"),
+        F.collect_list(F.struct("tarjeta", "_members", "_card_again")).alias("_cards"),
+    )
+    pop = per_unit.select("_unit_again", F.inline("_cards")).filter(F.col("_members") > 0)
     if log is not None:
         known = log.filter(F.col("commit_ts") < t)
         gone = (
@@ -346,10 +351,14 @@ def card_counterfactual(
         )
         pop = pop.join(gone, "tarjeta", "left_anti")
     lost = ~F.col("_card_again")
+
+    def members(cond=F.lit(True)):
+        return F.coalesce(F.sum(F.when(cond, F.col("_members"))), F.lit(0))
+
     return pop.agg(
-        F.count(F.lit(1)).alias("poblacion_tarjetas"),
-        F.count_if(lost).alias("positivos_tarjeta"),
-        F.count_if(lost & F.col("_unit_again")).alias("positivos_de_personas_que_siguieron"),
+        members().alias("poblacion_tarjetas"),
+        members(lost).alias("positivos_tarjeta"),
+        members(lost & F.col("_unit_again")).alias("positivos_de_personas_que_siguieron"),
     ).withColumn(
         "proporcion",
         F.round(

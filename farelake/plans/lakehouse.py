@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from farelake import config as C
 from farelake.operators import models, quality
 from farelake.plans import cut_features, gold, marts, person_features, silver, staging
+from farelake.session import run_all
 from farelake.sources import sinks
 from farelake.sources.bronze import ingest, latest_sources
 from farelake.sources.schemas import BI_EXPORTS, CONTRACTS, KEY_CHECKS
@@ -57,7 +58,9 @@ class Lake:
         return self.read(table)
 
     def publish_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        return {name: self.publish(name, df) for name, df in tables.items()}
+        """Tables of one layer that do not read each other, written side by side."""
+        written = run_all([lambda n=n, df=df: self.publish(n, df) for n, df in tables.items()])
+        return dict(zip(tables, written))
 
 
 def build_silver(lake: Lake, frames: dict[str, DataFrame], s: C.Settings, tu_ids: str = "content"):

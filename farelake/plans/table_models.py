@@ -26,7 +26,7 @@ GRID = C.ModelGrid(
 
 
 def _training(spark, sf):
-    feats = Q.cut_features(spark, sf, {"A": Q.CUTS["A"]})
+    feats = materialise(Q.cut_features(spark, sf, {"A": Q.CUTS["A"]}))
     return materialise(evaluate.attach_folds(feats, evaluate.stratified_folds(feats)))
 
 
@@ -102,8 +102,7 @@ def final_test(spark, sf):
 
 
 def _stream(spark, sf, name):
-    schema = Q.table(spark, sf, name).schema
-    return jobs.read_files(spark, sf, schema, "parquet", f"{name}.parquet")
+    return jobs.read_files(spark, sf, Q.SCHEMAS[name], "parquet", f"{name}.parquet")
 
 
 def stream_land(spark, sf):

@@ -19,6 +19,7 @@ from farelake.operators import cdc, dedup, evaluate, quality
 from farelake.operators.quality import Rule
 from farelake.plans import cut_features as CF
 from farelake.plans import gold, marts, person_features
+from farelake.session import materialise
 from farelake.sources.bronze import newest_load
 
 SALT = "farelake-demo"
@@ -37,8 +38,24 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 COSTS = C.CostScenario()
 
 
+# Declared, not inferred: opening a table then costs no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def _k(props):
@@ -615,19 +632,10 @@ def cut_features(spark, sf, cuts=None, **kw):
     )
 
 
-ROUNDED = ["tendencia", "dias_desde", "viajes_por_dia", "prop_", "gasto_", "tarifa_"]
-
-
 def rounded(df: DataFrame) -> DataFrame:
     """Ratios to six digits, whole counts as long: the form compared with SQL."""
-    out = df
-    for f in df.schema:
-        kind = f.dataType.simpleString()
-        if kind == "double":
-            out = out.withColumn(f.name, F.round(f.name, 6))
-        elif kind == "int":
-            out = out.withColumn(f.name, F.col(f.name).cast("long"))
-    return out
+    form = {"double": lambda c: F.round(c, 6).alias(c), "int": lambda c: F.col(c).cast("long").alias(c)}
+    return df.select(*[form.get(kind, F.col)(name) for name, kind in df.dtypes])
 
 
 def feat_cut_a(spark, sf):
@@ -743,7 +751,7 @@ def folds_stratified(spark, sf):
 
 
 def _baselines_by_fold(spark, sf):
-    feats = _labelled(spark, sf)
+    feats = materialise(_labelled(spark, sf))  # read by the folds and by the scores
     folded = evaluate.attach_folds(feats, evaluate.stratified_folds(feats))
     long = evaluate.baseline_scores(folded, WINDOWS)
     both = F.array(
@@ -765,10 +773,7 @@ def baseline_ap_auc(spark, sf):
 
 
 def fold_summary(spark, sf):
-    s = evaluate.fold_summary(_baselines_by_fold(spark, sf))
-    for c in s.columns[1:]:
-        s = s.withColumn(c, F.round(c, 6))
-    return s
+    return rounded(evaluate.fold_summary(_baselines_by_fold(spark, sf)))
 
 
 def threshold_curve(spark, sf):

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs expect of a session. Partition counts are left to the cluster: AQE coalesces
@@ -55,3 +58,10 @@ def materialise(df: DataFrame) -> DataFrame:
     path = run_dir(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_all(jobs: Sequence[Callable], at_once: int = 4) -> list:
+    """Independent Spark actions submitted side by side from the driver."""
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(lambda job: job(), [inheritable_thread_target(spark)(j) for j in jobs]))
