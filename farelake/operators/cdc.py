@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from farelake.operators.ordered import BLOCK, fill_and_lead, sequence_blocks
 
@@ -48,8 +49,10 @@ def versions(log: DataFrame, key: str, body: Sequence[str], block_width: int = 1
     """Type-2 history in ``seq`` order: one row per event, body filled forward, validity interval.
 
     Adds ``estado``, ``valid_from``, ``valid_to`` (null while current) and ``es_version_vigente``.
+    Events without a key or a position in the log have no place in a history (they are quarantined).
     """
-    rows = log.select(key, "seq", "commit_ts", "op", *body)
+    rows = log.filter(F.col(key).isNotNull() & F.col("seq").isNotNull())
+    rows = rows.select(key, "seq", "commit_ts", "op", *body)
     filled = fill_and_lead(
         sequence_blocks(rows, "seq", block_width),
         [key],
@@ -76,43 +79,71 @@ def as_of(
     ts: str,
     take: Sequence[str],
     block_seconds: int = 3600,
+    group_rows: int = 5_000_000,
 ) -> DataFrame:
     """For each event, the version valid at its time: ``valid_from <= ts < valid_to``.
 
     A join on key and interval would pair every event of a hot key with all its versions. Instead
-    events and version starts are merged on one time line per key and the last start is carried
-    forward, so the work is linear in both inputs. Versions with an empty interval (commit times
-    that run against ``seq``) are never valid.
+    events and version starts are merged on one time line and the last start is carried forward, so
+    the work is linear in both inputs. The line is cut into time blocks; a block of a hot key with
+    more than ``group_rows`` events is dealt out over several groups, each with all its version
+    starts. What was valid when a block began comes from one summary row per (key, block). Versions
+    with an empty interval (commit times that run against ``seq``) are never valid.
     """
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    block = F.floor(F.timestamp_diff("SECOND", epoch, F.col("_t")) / block_seconds).alias(BLOCK)
     real = history.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
-    payload = F.struct("valid_from", "valid_to", "seq", *take)
-    starts = real.select(
-        F.col(key),
-        F.col("valid_from").alias("_t"),
-        F.lit(0).alias("_kind"),
-        F.col("seq").alias("_seq"),
-        F.lit(None).cast(events.select(F.struct(*events.columns)).schema[0].dataType).alias("_event"),
-        payload.alias("_version"),
+    version = F.struct("valid_from", "valid_to", "seq", *take).alias("_version")
+    starts = real.select(F.col(key), F.col("valid_from").alias("_t"), version).select("*", block)
+    placed = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    adrift = events.filter(~placed)  # no key or no time: no version, and no common group either
+    points = events.filter(placed).select(
+        F.col(key), F.col(ts).alias("_t"), F.struct(*events.columns).alias("_event")
     )
-    points = events.select(
-        F.col(key),
-        F.col(ts).alias("_t"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast("long").alias("_seq"),
-        F.struct(*events.columns).alias("_event"),
-        F.lit(None).cast(starts.schema["_version"].dataType).alias("_version"),
+    points = points.select("*", block)
+
+    slot = [key, BLOCK]
+    groups = F.greatest(F.ceil(F.col("_n") / group_rows), F.lit(1)).cast("long").alias("_groups")
+    busy = points.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n")).select(*slot, groups)
+    hot = busy.filter(F.col("_groups") > 1)  # at most one row per ``group_rows`` events
+    part = F.pmod(F.xxhash64("_event"), F.coalesce("_groups", F.lit(1))).cast("long")
+    last_part = F.coalesce("_groups", F.lit(1)) - 1
+    every_part = F.explode(F.sequence(F.lit(0).cast("long"), last_part.cast("long")))
+    no_event = F.lit(None).cast(points.schema["_event"].dataType)
+    no_version = F.lit(None).cast(starts.schema["_version"].dataType)
+    columns = [*slot, "_part", "_t", "_event", "_version"]
+    line = (
+        points.join(hot, slot, "left")
+        .select("*", part.alias("_part"), no_version.alias("_version"))
+        .select(*columns)
+        .unionByName(
+            starts.join(hot, slot, "left")
+            .select("*", every_part.alias("_part"), no_event.alias("_event"))
+            .select(*columns)
+        )
     )
-    line = starts.unionByName(points)
-    position = F.struct("_t", "_kind", "_seq")
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    line = line.withColumn(
-        BLOCK, F.floor(F.timestamp_diff("SECOND", epoch, F.col("_t")) / block_seconds)
-    ).withColumn("_pos", position)
-    # Events after all starts of the same instant; their mutual order is irrelevant.
-    done = fill_and_lead(line, [key], "_pos", fill=["_version"]).filter(F.col("_kind") == 1)
-    valid = F.col("_version.valid_to").isNull() | (F.col(f"_event.{ts}") < F.col("_version.valid_to"))
-    return done.select(
+    # at the same instant version starts come first, in log order
+    order = ["_t", F.col("_event").isNotNull(), F.col("_version.seq")]
+    upto = Window.partitionBy(*slot, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = line.withColumn("_here", F.last("_version", ignorenulls=True).over(upto))
+
+    ends = starts.groupBy(*slot).agg(
+        F.max_by("_version", F.struct("_t", F.col("_version.seq"))).alias("_end")
+    )
+    earlier = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        busy.join(ends, slot, "full_outer")
+        .select(*slot, "_groups", F.last("_end", ignorenulls=True).over(earlier).alias("_before"))
+        .filter(F.col("_groups").isNotNull())
+        .select(*slot, "_before", every_part.alias("_part"))
+    )
+    found = local.filter(F.col("_event").isNotNull()).join(carried, [*slot, "_part"])
+    found = found.select("_event", F.coalesce("_here", "_before").alias("_version"))
+    until = F.col("_version.valid_to")
+    valid = until.isNull() | (F.col(f"_event.{ts}") < until)
+    matched = found.select(
         "_event.*",
         *[F.when(valid, F.col(f"_version.{c}")).alias(c) for c in take],
         F.when(valid, F.col("_version.seq")).alias("version_seq"),
     )
+    return matched.unionByName(adrift, allowMissingColumns=True)

@@ -31,15 +31,15 @@ LABEL = "etiqueta"
 def stratified_folds(
     df: DataFrame, unit: str = "unidad_id", label: str = LABEL, folds: int = C.FOLDS, seed: int = C.SEED
 ) -> DataFrame:
-    """(unit, label, fold): exactly balanced inside each label, the same on every run.
+    """(unit, label, fold): exactly balanced inside each label (or its absence), the same on every run.
 
     Units are dealt out in the order of a digest of their id, so no unit's fold depends on how the
     data are partitioned. The digest's first digits cut each label into even blocks.
     """
     keyed = df.select(
-        unit, label, F.sha2(F.concat(F.col(unit).cast("string"), F.lit(f":{seed}")), 256).alias("_h")
+        unit, label, F.coalesce(label, F.lit(-1)).alias("_stratum"), F.sha2(F.concat(F.col(unit).cast("string"), F.lit(f":{seed}")), 256).alias("_h")
     )
-    dealt = row_numbers(hash_prefix_blocks(keyed, "_h"), [label], ["_h", unit], "_rn")
+    dealt = row_numbers(hash_prefix_blocks(keyed, "_h"), ["_stratum"], ["_h", unit], "_rn")
     return dealt.select(unit, label, F.pmod(F.col("_rn") - 1, folds).cast("int").alias("fold"))
 
 

@@ -60,7 +60,8 @@ def running_sums(
 ) -> DataFrame:
     """Add ``out`` = sum of ``col`` over all rows up to and including this one, for each out: col.
 
-    The order must be total inside a block, or ties must carry equal meaning for the caller.
+    The order must be total inside a block, or ties must carry equal meaning for the caller. Keys are
+    never null: a null key would not find its summary row.
     """
     upto = _local(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -113,7 +114,7 @@ def fill_and_lead(
 ) -> DataFrame:
     """Replace nulls of ``fill`` columns by the last earlier value; add next row's value per ``lead``.
 
-    ``order`` is unique inside a key and never null. ``lead`` maps output name to source column.
+    ``order`` is unique inside a key; neither it nor the keys are ever null. ``lead`` maps output name to source column.
     """
     lead = lead or {}
     w = _local(keys, [order])

@@ -83,6 +83,11 @@ def am_rules(s: C.Settings) -> list[Rule]:
     ]
 
 
+def registry_rules() -> list[Rule]:
+    """Changes without a place in the log or a time; the log itself keeps every row."""
+    return [_malformed("seq", "commit_ts", "tarjeta")]
+
+
 # ---- silver ----------------------------------------------------------------------------
 
 
@@ -221,6 +226,7 @@ def quarantine(stg: dict[str, DataFrame], s: C.Settings) -> DataFrame:
             bad(stg["stg_tu_transacciones"], tu_rules(s), C.TRANSURBANO, "transaccion_id", "fecha_hora"),
             bad(stg["stg_mr_viajes"], mr_rules(s), C.METRORIEL, "viaje_id", "ts_entrada"),
             bad(stg["stg_am_boardings"], am_rules(s), C.AEROMETRO, "boarding_id", "fecha_hora_local"),
+            bad(stg["stg_cdc_padron_raw"], registry_rules(), "PADRON", "seq", "commit_ts"),
         ]
     )
 

@@ -112,6 +112,7 @@ CDC = [
     "7,2026-06-01T09:00:00,UPDATE,TC-00000007,adulto_mayor,,ACTIVA",
     "8,2026-06-02T09:00:00,INSERT,SIN-TARJETA,general,Zona 2,ACTIVA",
     "9,2026-08-02T09:00:00,DELETE,TC-00000012,,,",
+    "not a number,2026-08-01T09:00:00,INSERT,TC-00000012,general,Zona 3,ACTIVA",
     "10,2026-08-01T09:00:00,INSERT,TC-00000012,general,Zona 3,ACTIVA",  # back, commit time before seq 9's
 ]
 

@@ -90,6 +90,7 @@ def test_quarantine(loaded):
         ("METRORIEL", "viaje_sin_salida"): 1,
         ("METRORIEL", "formato_invalido"): 1,
         ("AEROMETRO", "fecha_futura"): 1,
+        ("PADRON", "formato_invalido"): 1,
     }
 
 

@@ -1,6 +1,7 @@
 """Ordered operators against plain Python on small, skewed inputs."""
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,25 @@ def test_versions(spark, width):
     assert [r.valid_to is None for r in k] == [False, False, False, True]
 
 
+@pytest.mark.parametrize("group_rows", [1, 2, 1000])
+@pytest.mark.parametrize("block_seconds", [60, 86400, 10**9])
+def test_as_of_is_the_same_however_it_is_cut(spark, group_rows, block_seconds):
+    rng = random.Random(6)
+    t0 = datetime(2026, 1, 1)
+    log, t = [], t0
+    for seq in range(40):
+        t += timedelta(minutes=rng.randint(0, 90))
+        log.append((seq, t, "UPDATE", rng.choice(["hot", "b"]), f"p{seq}"))
+    events = [(i, rng.choice(["hot", "hot", "b", "none"]), t0 + timedelta(minutes=rng.randint(-60, 3000))) for i in range(120)]
+    hist = versions(spark.createDataFrame(log, "seq long, commit_ts timestamp_ntz, op string, k string, perfil string"), "k", ["perfil"])
+    df = spark.createDataFrame(events, "id int, k string, at timestamp_ntz")
+    got = {r.id: r.perfil for r in as_of(df, hist, "k", "at", ["perfil"], block_seconds, group_rows).collect()}
+    want = {
+        i: next((p for s, c, _, kk, p in reversed(log) if kk == k and c <= at), None) for i, k, at in events
+    }
+    assert got == want
+
+
 def test_as_of_lookup(spark):
     events = spark.createDataFrame(
         [(i, k, t) for i, (k, t) in enumerate([

@@ -61,9 +61,10 @@ def test_clean_splits_valid_and_quarantine(spark, validations, tmp_path):
     assert valid.select(updates.BATCH).distinct().count() > 1  # repeats were found across batches
 
 
-def test_dedup_needs_the_future_rule_first(spark, validations, tmp_path):
+@pytest.mark.parametrize("spread", [0, 4])
+def test_dedup_needs_the_future_rule_first(spark, validations, tmp_path, spread):
     rows = jobs.not_future(typed(validations), "fecha_hora", fx.AS_OF)
-    kept = jobs.drop_repeats(rows, ["validacion_id"], "fecha_hora", "60 days")
+    kept = jobs.drop_repeats(rows, ["validacion_id"], "fecha_hora", "60 days", spread)
     updates.run_available(kept, f"{tmp_path}/cp", updates.batch_writer(f"{tmp_path}/out"))
     got = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(r.validacion_id for r in got.collect()) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12]
