@@ -2,8 +2,8 @@
 
 For a cut ``t`` (midnight): features from events in ``[t - window, t)``, label 1 when no event falls
 in ``[t, t + horizon)``, population = enough trips in the window and not deleted from the registry
-before ``t``. All windows start at midnight, so one rollup per (unit, day) holds everything any cut
-needs: raw events are read and shuffled once however many cuts are built.
+before ``t``. All cuts are built in one pass: raw events are read and shuffled once, reduced map-side
+to one row per (unit, cut, zone).
 """
 
 from __future__ import annotations
@@ -80,25 +80,58 @@ def until(df: DataFrame, ts: str, limit) -> DataFrame:
 # ---- rollups -------------------------------------------------------------------------------
 
 
-def daily_rollup(ev: DataFrame, operators: Sequence[str], unit: str = UNIT) -> DataFrame:
-    """One row per unit, day and zone; every column is a partial sum or maximum of the features.
+def card_rollup(ev: DataFrame, unit: str = UNIT) -> DataFrame:
+    """First day each card of a unit was seen."""
+    return ev.groupBy(unit, "tarjeta").agg(F.min(F.col("fecha_hora").cast("date")).alias("primer_dia"))
+
+
+DAYS_PER_MASK = 62  # days held by one long
+
 
-    Raw events meet only fixed-width aggregates here, which run as generated hash aggregation; sets
-    of days and zones are formed later, from the far fewer rolled-up rows.
+def _masks(w: C.CutWindows) -> int:
+    return -(-w.window // DAYS_PER_MASK)
+
+
+def zone_rollup(
+    ev: DataFrame, cuts: dict[str, date], w: C.CutWindows, operators: Sequence[str], unit: str = UNIT
+) -> DataFrame:
+    """One row per unit, cut and zone, holding every partial sum the features need.
+
+    Only fixed-width aggregates meet the raw events, so this runs as generated hash aggregation with
+    map-side partials; the active days of the window are bits of longs instead of a set of dates.
     """
     ts = F.col("fecha_hora")
-    return ev.groupBy(unit, ts.cast("date").alias("dia"), "zona").agg(
-        F.count(F.lit(1)).alias("viajes"),
-        *[F.count_if(F.col("operador") == op).alias(f"v_{i}") for i, op in enumerate(operators)],
-        F.count_if(X.peak_hour(ts)).alias("v_pico"),
-        F.sum(X.cents(F.col("monto_gtq"))).alias("centavos"),
-        F.max(ts).alias("ultimo"),
+    day = ts.cast("date")
+    flat = ev.select(
+        unit, "zona", "operador", day.alias("_day"), ts.alias("_ts"),
+        X.peak_hour(ts).alias("_is_peak"), X.weekend(ts).alias("_is_weekend"),
+        X.cents(F.col("monto_gtq")).alias("_money"),
+    )
+    rows = at_cuts(flat, cuts, w, (F.col("_day") >= F.col("ini")) & (F.col("_day") < F.col("fin")))
+    ago = F.datediff("fecha_corte", "_day")  # 1 … window inside the window, 0 or less after the cut
+    inside = ago > 0
+    bit = F.pmod(ago - 1, DAYS_PER_MASK)
+    masks = [
+        F.bit_or(
+            F.when(
+                inside & (F.floor((ago - 1) / DAYS_PER_MASK) == j),
+                F.call_function("shiftleft", F.lit(1).cast("long"), bit),
+            )
+        ).alias(f"_days_{j}")
+        for j in range(_masks(w))
+    ]
+    return rows.groupBy(unit, "corte", "fecha_corte", "zona").agg(
+        F.count_if(inside).alias("_n"),
+        F.count_if(inside & (ago <= w.short)).alias("_short"),
+        F.count_if(inside & (ago <= w.half)).alias("_half"),
+        *[F.count_if(inside & (F.col("operador") == op)).alias(f"_op_{i}") for i, op in enumerate(operators)],
+        F.count_if(inside & F.col("_is_peak")).alias("_peak"),
+        F.count_if(inside & F.col("_is_weekend")).alias("_weekend"),
+        F.sum(F.when(inside, F.col("_money"))).alias("_cents"),
+        F.max(F.when(inside, F.col("_ts"))).alias("_last"),
+        F.bool_or(~inside).alias("_came_back"),
+        *masks,
     )
-
-
-def card_rollup(ev: DataFrame, unit: str = UNIT) -> DataFrame:
-    """First day each card of a unit was seen."""
-    return ev.groupBy(unit, "tarjeta").agg(F.min(F.col("fecha_hora").cast("date")).alias("primer_dia"))
 
 
 # ---- cuts -----------------------------------------------------------------------------------
@@ -107,8 +140,9 @@ def card_rollup(ev: DataFrame, unit: str = UNIT) -> DataFrame:
 def at_cuts(df: DataFrame, cuts: dict[str, date], w: C.CutWindows, relevant) -> DataFrame:
     """Repeat each row for the cuts it matters to: adds corte, fecha_corte, ini, fin.
 
-    The cuts are a literal list inside the row expression; nothing is joined. ``relevant`` takes the
-    cut as a struct column and says whether the row counts for it.
+    The cuts are a constant list inside the row expression; nothing is joined. ``relevant`` is a
+    condition on the row and the added columns, applied right behind the generator so that both stay
+    in generated code.
     """
     listed = F.array(
         *[
@@ -121,14 +155,26 @@ def at_cuts(df: DataFrame, cuts: dict[str, date], w: C.CutWindows, relevant) ->
             for name, day in cuts.items()
         ]
     )
-    return df.select("*", F.explode(F.filter(listed, relevant)).alias("_cut")).select(*df.columns, "_cut.*")
+    return df.select("*", F.inline(listed)).filter(relevant)
+
+
+def _active_days(w: C.CutWindows):
+    """The days of the window with a trip, as days before the cut, nearest first."""
+    def days_of(j):
+        first, last = j * DAYS_PER_MASK, min((j + 1) * DAYS_PER_MASK, w.window) - 1
+        mask = F.coalesce(F.col(f"_days_{j}"), F.lit(0).cast("long"))
+        held = lambda i: F.getbit(mask, (i - first).cast("int")) == 1
+        return F.filter(F.sequence(F.lit(first), F.lit(last)), held)
+
+    parts = [days_of(j) for j in range(_masks(w))]
+    return F.concat(*parts)
 
 
 def _max_gap(days):
     """Longest run of days without a trip between two active days of a short sorted list."""
     gaps = F.transform(
         F.sequence(F.lit(2), F.greatest(F.size(days), F.lit(2))),
-        lambda i: F.coalesce(F.datediff(F.get(days, i - 1), F.get(days, i - 2)) - 1, F.lit(0)),
+        lambda i: F.coalesce(F.get(days, i - 1) - F.get(days, i - 2) - 1, F.lit(0)),
     )
     return F.coalesce(F.array_max(gaps), F.lit(0))
 
@@ -159,67 +205,55 @@ def _slug(op: str) -> str:
 
 
 def features(
-    daily: DataFrame,
+    recent: DataFrame,
     cards: DataFrame,
     log: DataFrame | None,
     cuts: dict[str, date],
     w: C.CutWindows,
     operators: Sequence[str],
+    last_event: DataFrame,
     labels: str = "auto",
     unit: str = UNIT,
-    last_event: DataFrame | None = None,
 ) -> DataFrame:
     """Features of every cut, stacked, one row per (unit, cut) of the population.
 
-    ``operators`` lists every operator that occurs in the events.
-    ``labels``: ``"auto"`` labels a cut only if the data reach the end of its horizon (minus a day),
-    else null; ``"none"`` leaves them null; ``"require"`` raises :class:`InsufficientData`.
-    ``last_event`` is a one-row frame with the time of the last event (``ultimo``), needed when
-    ``daily`` covers only the days of the cuts.
+    ``recent`` are the events of the cuts' windows and horizons, ``cards`` the :func:`card_rollup` of
+    all history, ``last_event`` a one-row frame with the time of the last event (``ultimo``), and
+    ``operators`` every operator that occurs. ``labels``: ``"auto"`` labels a cut only if the data
+    reach the end of its horizon (minus a day), else null; ``"none"`` leaves labels null;
+    ``"require"`` raises :class:`InsufficientData`.
     """
-    if last_event is None:
-        last_event = daily.agg(F.max("ultimo").alias("ultimo"))
     if labels == "require":
         _require_horizon(last_event, cuts, w)
-    day = F.col("dia")
-    rows = at_cuts(daily, cuts, w, lambda c: (day >= c["ini"]) & (day < c["fin"]))
-    in_window = day < F.col("fecha_corte")
-    since = lambda days: in_window & (day >= F.date_sub("fecha_corte", days))
-
-    def total(col, cond=in_window):
-        return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0))
-
-    agg = rows.groupBy(unit, "corte", "fecha_corte").agg(
-        total("viajes").alias("_n"),
-        total("viajes", since(w.short)).alias("_short"),
-        total("viajes", since(w.half)).alias("_half"),
-        F.sort_array(F.collect_set(F.when(in_window, day))).alias("_days"),
-        F.max(F.when(in_window, F.col("ultimo"))).alias("_last"),
-        *[total(f"v_{i}").alias(f"_op_{i}") for i in range(len(operators))],
-        total("v_pico").alias("_peak"),
-        total("viajes", in_window & X.weekend(day)).alias("_weekend"),
-        F.sum(F.when(in_window, F.col("centavos"))).alias("_cents"),
-        F.size(F.collect_set(F.when(in_window, F.col("zona")))).alias("_zones"),
-        F.bool_or(~in_window).alias("_came_back"),
+    key = [unit, "corte", "fecha_corte"]
+    zones = zone_rollup(recent, cuts, w, operators, unit)
+    sums = ["_n", "_short", "_half", *[f"_op_{i}" for i in range(len(operators))], "_peak", "_weekend", "_cents"]
+    agg = zones.groupBy(*key).agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.max("_last").alias("_last"),
+        F.bool_or("_came_back").alias("_came_back"),
+        F.count_if(F.col("zona").isNotNull() & (F.col("_n") > 0)).alias("_zones"),
+        *[F.bit_or(f"_days_{j}").alias(f"_days_{j}") for j in range(_masks(w))],
     )
-    agg = agg.filter(F.col("_n") >= w.min_trips)
+    agg = agg.filter(F.col("_n") >= w.min_trips).withColumn("_days", _active_days(w))
 
     seen = (
-        at_cuts(cards, cuts, w, lambda c: F.col("primer_dia") < c["fecha_corte"])
-        .groupBy(unit, "corte", "fecha_corte")
+        at_cuts(cards, cuts, w, F.col("primer_dia") < F.col("fecha_corte"))
+        .groupBy(*key)
         .agg(F.array_join(F.array_sort(F.collect_set("tarjeta")), ";").alias("tarjetas"))
     )
-    pop = agg.join(seen, [unit, "corte", "fecha_corte"], "left")
+    pop = agg.join(seen, key, "left")
     if log is not None:
         state = registry_at(log, cuts, w, unit)
-        pop = pop.join(state, [unit, "corte", "fecha_corte"], "left").filter(
+        pop = pop.join(state, key, "left").filter(
             F.coalesce("ultima_operacion", F.lit("")) != "DELETE"
         )
     else:
         pop = pop.withColumn("perfil", F.lit(None).cast("string"))
 
     n, days = F.col("_n"), F.col("_days")
-    active = F.size(days).cast("long")
+    held = [F.coalesce(F.bit_count(f"_days_{j}"), F.lit(0)) for j in range(_masks(w))]
+    active = sum(held, F.lit(0)).cast("long")
     spent = X.from_cents(F.col("_cents"))
     t = F.col("fecha_corte").cast("timestamp_ntz")
     named = {
@@ -232,7 +266,7 @@ def features(
         "max_dias_sin_viajar": _max_gap(days).cast("long"),
         "viajes_por_dia_activo": X.share(n, active),
         "n_operadores": sum((F.col(f"_op_{i}") > 0).cast("long") for i in range(len(operators))),
-        "n_zonas": F.col("_zones").cast("long"),
+        "n_zonas": F.col("_zones"),
         **{f"prop_{_slug(op)}": X.share(F.col(f"_op_{i}"), n) for i, op in enumerate(operators)},
         "prop_hora_pico": X.share(F.col("_peak"), n),
         "prop_fin_de_semana": X.share(F.col("_weekend"), n),
@@ -262,7 +296,7 @@ def registry_at(
     log: DataFrame, cuts: dict[str, date], w: C.CutWindows = C.CutWindows(), unit: str = UNIT
 ) -> DataFrame:
     """Last operation and profile per unit among the changes committed before each cut."""
-    before = at_cuts(log, cuts, w, lambda c: F.col("commit_ts") < c["fecha_corte"].cast("timestamp_ntz"))
+    before = at_cuts(log, cuts, w, F.col("commit_ts") < F.col("fecha_corte").cast("timestamp_ntz"))
     state = cdc.current_state(before, [unit, "corte", "fecha_corte"], ["perfil"], extra=())
     return state.select(unit, "corte", "fecha_corte", "perfil", "ultima_operacion")
 
@@ -291,18 +325,9 @@ def build(
     ts = F.col("fecha_hora")
     first_day = min(cuts.values()) - timedelta(days=w.window)
     end_day = max(cuts.values()) + timedelta(days=w.horizon)
-    needed = ev.filter((ts >= X.midnight(first_day)) & (ts < X.midnight(end_day)))
-    return features(
-        daily_rollup(needed, operators, unit),
-        card_rollup(ev, unit),
-        log,
-        cuts,
-        w,
-        operators,
-        labels,
-        unit,
-        last_event=ev.agg(F.max(ts).alias("ultimo")),
-    )
+    recent = ev.filter((ts >= X.midnight(first_day)) & (ts < X.midnight(end_day)))
+    last_event = ev.agg(F.max(ts).alias("ultimo"))
+    return features(recent, card_rollup(ev, unit), log, cuts, w, operators, last_event, labels, unit)
 
 
 # ---- population questions ---------------------------------------------------------------------

@@ -117,16 +117,9 @@ def cuts_table(lake: Lake, cuts: dict[str, date], w: C.CutWindows, labels: str =
     recent = cut_features.until(cut_features.events(silver_tables, first_day), "fecha_hora", until)
     end = max(cuts.values()) + timedelta(days=w.horizon)
     recent = recent.filter(F.col("fecha_hora") < F.lit(end).cast("timestamp_ntz"))
-    return cut_features.features(
-        cut_features.daily_rollup(recent, C.OPERATOR_CODES),
-        cut_features.card_rollup(every),
-        log,
-        cuts,
-        w,
-        C.OPERATOR_CODES,
-        labels,
-        last_event=every.agg(F.max("fecha_hora").alias("ultimo")),
-    )
+    last_event = every.agg(F.max("fecha_hora").alias("ultimo"))
+    cards = cut_features.card_rollup(every)
+    return cut_features.features(recent, cards, log, cuts, w, C.OPERATOR_CODES, last_event, labels)
 
 
 def features_from_raw(
