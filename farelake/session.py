@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +40,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="farelake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="farelake-")
+
+
 def run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared one for a single run."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"

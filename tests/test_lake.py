@@ -58,6 +58,14 @@ def test_newest_load_only(spark, loaded, tmp_path):
     assert "PartitionFilters: [isnotnull(fecha_ingesta" in newest._jdf.queryExecution().toString()
 
 
+def test_views_and_out_of_fold_sink(spark, loaded, tmp_path):
+    names = bronze.register_views(spark, loaded[0].bronze)
+    assert len(names) == 9 and spark.table("bronze_tm_estaciones").count() == 3
+    oof = spark.createDataFrame([("P1", 0, 1, 0.5)], "unidad_id string, fold int, etiqueta int, modelo double")
+    assert sinks.publish(oof, str(tmp_path / "oof")) == 1
+    assert sinks.read_table(spark, str(tmp_path / "oof")).columns == oof.columns
+
+
 def test_header_mismatch_fails(spark, tmp_path):
     (tmp_path / "tu_paradas.csv").write_text("cod_parada,otra,ruta,sector\na,b,c,d\n")
     with pytest.raises(Exception, match="header"):
