@@ -3,9 +3,20 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F
 
-from farelake.llm import chat, fingerprints, licences, quality, tables, token_counts, tree_bpe, warc
+from farelake.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    licences,
+    near_duplicates,
+    quality,
+    suffix_dedup,
+    tables,
+    token_counts,
+    tree_bpe,
+    warc,
+)
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -16,6 +27,11 @@ def op1_bpe(spark, sf):
     return tree_bpe.digests(tree_bpe.decode_rows(encoded, path), path)
 
 
+def op2_decontamination(spark, sf):
+    docs = tables.read(spark, sf, "documents", "doc_id", "text")
+    return decontamination.leaks(docs, tables.read(spark, sf, "benchmark", "item_id", "text"))
+
+
 def op3_chat(spark, sf):
     said = tables.read(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     text = r"\### Assistant: </turn> ok"
@@ -23,6 +39,10 @@ def op3_chat(spark, sf):
     return chat.format_conversations(said.unionByName(extra))
 
 
+def op4_suffix_dedup(spark, sf):
+    return suffix_dedup.dedup(tables.read(spark, sf, "documents", "doc_id", "text"), ["doc_id"])
+
+
 def op5_licences(spark, sf):
     return licences.scan(tables.read(spark, sf, "documents", "doc_id", "text"))
 
@@ -42,6 +62,11 @@ def op8_fingerprints(spark, sf):
     return fingerprints.compare_neighbours(tables.read(spark, sf, "documents", "doc_id", "text"))
 
 
+def op9_near_duplicates(spark, sf):
+    docs = tables.read(spark, sf, "documents", "doc_id", "text")
+    return near_duplicates.classes(docs).select("doc_id", "class_id")
+
+
 def op10_quality(spark, sf):
     docs = tables.read(spark, sf, "documents", "doc_id", "text")
     return quality.score(docs, quality.train(docs, tables.read(spark, sf, "labels", "doc_id", "quality")))
@@ -49,6 +74,114 @@ def op10_quality(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op3_chat, op5_licences, op6_warc, op7_token_counts, op8_fingerprints, op10_quality)
+    for f in (
+        op1_bpe,
+        op2_decontamination,
+        op3_chat,
+        op4_suffix_dedup,
+        op5_licences,
+        op6_warc,
+        op7_token_counts,
+        op8_fingerprints,
+        op9_near_duplicates,
+        op10_quality,
+    )
+}
+
+_CHAT = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, length(t) + length(t) - length(replace(t, '\', ''))
+      + length(t) - length(regexp_replace(t, '#{3,}', '', 'g'))
+      + (length(t) - length(replace(t, '</turn>', ''))) // 7 AS text_chars,
+    CASE WHEN role IN ('user', 'assistant', 'system') THEN length(role)
+      ELSE 1 + length(role) + length(role) - length(replace(role, '\', ''))
+        + length(role) - length(regexp_replace(role, '#{3,}', '', 'g'))
+        + (length(role) - length(replace(role, '</turn>', ''))) // 7 + length(role) - length(replace(role, ':', ''))
+      END AS role_chars
+  FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(t) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN t ELSE '' END, '' ORDER BY turn NULLS FIRST, role, t)) AS loss_sha256,
+  CAST(sum(4 + role_chars + 2 + text_chars + 9) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+_PASSAGES = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS k,
+    hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+  SELECT r, k, p, substr(h, 2 * p + 1, 100) AS s
+  FROM (SELECT r, k, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS p FROM d)
+), leasts AS (SELECT s, min(k) AS least FROM strings GROUP BY s
+), starts AS (
+  SELECT r, p, p > lag(p) OVER (PARTITION BY r ORDER BY p) + 50 AS apart
+  FROM strings JOIN leasts USING (s) WHERE k > least
+), runs AS (
+  SELECT r, min(p) AS a, max(p) + 50 AS b
+  FROM (SELECT r, p, sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS n FROM starts)
+  GROUP BY r, n
+), cuts AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS after FROM runs
+), kept AS (
+  SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS head
+  FROM cuts JOIN d USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+_ARCHIVES = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages
+), latest AS (SELECT payload, max(page_id) AS latest FROM p WHERE n >= 1000 GROUP BY payload),
+both AS (
+  SELECT *, CASE WHEN latest IS NOT NULL AND (page_id IS NULL OR page_id < latest) THEN latest END AS refers_to
+  FROM p LEFT JOIN latest USING (payload)
+)
+SELECT page_id, n AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM both
+"""
+
+_CLASSES = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (SELECT w, min(doc_id) AS least, row_number() OVER () AS node FROM d GROUP BY w
+), grams AS (
+  SELECT node, array_to_string(w[i : i + 4], ' ') AS g, count(*) AS c
+  FROM (SELECT node, w, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 4, 1) + 1 END)) AS i FROM t)
+  GROUP BY node, g
+), sizes AS (SELECT node, sum(c) AS n FROM grams GROUP BY node
+), shared AS (
+  SELECT x.node AS a, y.node AS b, sum(least(x.c, y.c)) AS m FROM grams x JOIN grams y ON x.g = y.g AND x.node < y.node
+  GROUP BY x.node, y.node
+), links AS (
+  SELECT a, b FROM shared JOIN sizes u ON u.node = a JOIN sizes v ON v.node = b
+  WHERE CAST(m AS DOUBLE) / CAST(u.n + v.n - m AS DOUBLE) >= CAST(0.8 AS DOUBLE)
+), both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT node, node AS other FROM t
+  UNION SELECT reach.node, both.b FROM reach JOIN both ON reach.other = both.a
+), classes AS (SELECT reach.node, min(t.least) AS class_id FROM reach JOIN t ON t.node = reach.other GROUP BY reach.node)
+SELECT doc_id, class_id FROM d JOIN t USING (w) JOIN classes USING (node)
+"""
+
+SQL = {
+    "op3_chat": _CHAT,
+    "op4_suffix_dedup": _PASSAGES,
+    "op6_warc": _ARCHIVES,
+    "op9_near_duplicates": _CLASSES,
 }
-SQL = {}
