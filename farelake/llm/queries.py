@@ -144,13 +144,13 @@ _ARCHIVES = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages
 ), latest AS (SELECT payload, max(page_id) AS latest FROM p WHERE n >= 1000 GROUP BY payload),
-both AS (
+paired AS (
   SELECT *, CASE WHEN latest IS NOT NULL AND (page_id IS NULL OR page_id < latest) THEN latest END AS refers_to
   FROM p LEFT JOIN latest USING (payload)
 )
 SELECT page_id, n AS payload_bytes, sha1(payload) AS payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
-FROM both
+FROM paired
 """
 
 _CLASSES = r"""
@@ -171,10 +171,10 @@ WITH RECURSIVE d AS (
 ), links AS (
   SELECT a, b FROM shared JOIN sizes u ON u.node = a JOIN sizes v ON v.node = b
   WHERE CAST(m AS DOUBLE) / CAST(u.n + v.n - m AS DOUBLE) >= CAST(0.8 AS DOUBLE)
-), both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), paired AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
 ), reach AS (
   SELECT node, node AS other FROM t
-  UNION SELECT reach.node, both.b FROM reach JOIN both ON reach.other = both.a
+  UNION SELECT reach.node, paired.b FROM reach JOIN paired ON reach.other = paired.a
 ), classes AS (SELECT reach.node, min(t.least) AS class_id FROM reach JOIN t ON t.node = reach.other GROUP BY reach.node)
 SELECT doc_id, class_id FROM d JOIN t USING (w) JOIN classes USING (node)
 """
