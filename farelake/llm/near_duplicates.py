@@ -8,9 +8,11 @@ agree in it with the probability of their weighted Jaccard similarity. Points ar
 component empty; in the rare case that one is, the time is doubled.
 
 Signatures are banded (``BANDS`` times ``ROWS``: a pair at 0.8 shares a band but for about 3 in 10**6). In each bucket
-everyone is compared with the bucket's first member by a random order, on the whole bags. What a bucket still holds of
-different classes is compared pair by pair where the signatures don't rule it out by five standard deviations. Classes
-are the connected components of the verified pairs. Bags meet at their common partner in salted groups, so a partner of
+everyone is compared, on the whole bags, with the bucket's hub: the member whose buckets are largest in sum, as the
+original of many edited copies shares more buckets with them than they do with each other. What a bucket then still
+holds of different classes is compared pair by pair, unless a pair is ruled out by the triangle inequality (1 minus the
+similarity is a metric, and both similarities to the hub are known) or by five standard deviations of the signatures.
+Classes are the connected components of the verified pairs. Bags meet at their common partner in salted groups, so a partner of
 any number of documents fills no single task; at most one bag is held at a time.
 
 Words are runs of bytes ``[0-9a-z]`` or beyond ASCII after lower-casing A-Z. Texts with equal words are equal documents.
@@ -150,19 +152,24 @@ def _signed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, key binary, sig binary")
 
 
-def _banded(signed: DataFrame) -> DataFrame:
-    """``(bucket, key, at)``: the buckets of each distinct document; ``at`` is a random order of documents."""
+def _shared_buckets(signed: DataFrame) -> DataFrame:
+    """``(bucket, key, rank)``: buckets of two or more distinct documents; the member of largest rank is the hub."""
     width = 4 * ROWS
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * width + 1, F.lit(width))),
     )
     keyed = signed.filter("sig is not null").groupBy("key").agg(F.first("sig").alias("sig"))
-    return keyed.select("key", F.xxhash64("key").alias("at"), F.explode(bands).alias("bucket"))
+    banded = tables.written(keyed.select("key", F.explode(bands).alias("bucket")))
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = tables.written(banded.join(sizes, "bucket"))
+    degrees = shared.groupBy("key").agg(F.sum("n").alias("degree"))
+    rank = F.struct("degree", F.xxhash64("key").alias("at"), "key").alias("rank")
+    return tables.written(shared.join(degrees, "key").select("bucket", "key", rank))
 
 
-def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """The distinct ``(x, y)`` of ``pairs`` whose bags are at least ``least`` alike. ``ids``: a row id for each key."""
+def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The distinct ``(x, y)`` of ``pairs`` with the similarity of their bags. ``ids``: a row id for each key."""
     n = tables.parts(docs.sparkSession)
     salts = pairs.groupBy("y").agg(F.ceil(F.count("*") / F.lit(_SALT_MEMBERS)).cast("int").alias("salts"))
     tests = (
@@ -207,14 +214,15 @@ def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame, least: float) -
                 bag = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(counts, dtype=np.int32)
                 if not member:
                     group, own = (y, salt), bag
-                elif group == (y, salt) and similarity(*bag, *own) >= least:
-                    found.append((x, y))
+                elif group == (y, salt):
+                    found.append((x, y, similarity(*bag, *own)))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["x", "y"])
+                kinds = (pa.binary(), pa.binary(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["x", "y", "sim"])
 
     sent = texts.mapInArrow(send, "y binary, salt int, member boolean, x binary, grams binary, counts binary")
     dealt = sent.repartition(n, "y", "salt").sortWithinPartitions("y", "salt", "member")
-    return dealt.mapInArrow(meet, "x binary, y binary").distinct()
+    return dealt.mapInArrow(meet, "x binary, y binary, sim double").groupBy("x", "y").agg(F.max("sim").alias("sim"))
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -244,18 +252,25 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
 
 
-def _open_buckets(banded: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(bucket, key, root, rest)`` of buckets with several classes and three members or more; the first member, which
-    has been compared with all, is left out. ``rest``: not of the first member's class."""
-    classed = banded.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    mixed = classed.groupBy("bucket").agg(
-        F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"), F.min_by("root", "at").alias("lead")
-    )
-    mixed = mixed.filter("n > 2 and a <> b").select("bucket", "lead")
-    return (
-        classed.join(mixed, "bucket").join(first, "bucket")
-        .filter("key <> leader").select("bucket", "key", "root", (F.col("root") != F.col("lead")).alias("rest"))
+def _open_pairs(shared: DataFrame, hubs: DataFrame, tested: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Pairs ``(x, y)`` of different classes that share a bucket whose hub is neither, unless the triangle inequality
+    rules them out."""
+    classed = (
+        shared.select("bucket", "key").join(hubs, "bucket")
+        .join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        .join(roots.select(F.col("key").alias("hub"), F.col("root").alias("hub_root")), "hub", "left")
+        .withColumn("rest", F.col("root") != F.coalesce("hub_root", "hub"))
+        .filter("key <> hub")
     )
+    mixed = classed.groupBy("bucket").agg(F.max("rest").alias("some"), F.count("*").alias("n")).filter("some and n > 1")
+    members = classed.join(mixed.select("bucket"), "bucket", "left_semi").join(
+        tested.select(F.col("x").alias("key"), F.col("y").alias("hub"), "sim"), ["key", "hub"]
+    )
+    rest = members.filter("rest").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"), F.col("sim").alias("sim_x"))
+    other = members.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y"), "sim", "rest")
+    near = F.abs(F.col("sim_x") - F.col("sim")) <= 1 - least + 1e-9
+    once = ~F.col("rest") | (F.col("x") < F.col("y"))
+    return rest.join(other, (rest["bucket"] == other["bucket"]) & (F.col("root_x") != F.col("root_y")) & near & once).select("x", "y").distinct()
 
 
 def _likely(pairs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
@@ -284,24 +299,15 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = tables.written(_signed(docs))
     ids = signed.groupBy("key").agg(F.min("doc_id").alias("of_id"))
-    banded = tables.written(_banded(signed))
-    first = (
-        banded.groupBy("bucket").agg(F.min_by("key", F.struct("at", "key")).alias("leader"), F.count("*").alias("n"))
-        .filter("n > 1").select("bucket", "leader")
-    )
-    pairs = banded.join(first, "bucket").filter("key <> leader").select(F.col("key").alias("x"), F.col("leader").alias("y"))
-    links = tables.written(_compared(docs, ids, tables.written(pairs.distinct()), least))
+    shared = _shared_buckets(signed)
+    hubs = shared.groupBy("bucket").agg(F.max("rank").alias("r")).select("bucket", F.col("r.key").alias("hub"))
+    pairs = shared.join(hubs, "bucket").filter("key <> hub").select(F.col("key").alias("x"), F.col("hub").alias("y"))
+    tested = tables.written(_compared(docs, ids, tables.written(pairs.distinct())))
+    links = tested.filter(F.col("sim") >= least)
     roots = tables.written(components(links))
-    rest = _open_buckets(banded, first, roots)
-    other = rest.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y"), F.col("rest").alias("rest_y"))
-    more = (
-        rest.filter("rest").join(other, "bucket")
-        .filter("root <> root_y and (not rest_y or key < y)")
-        .select(F.col("key").alias("x"), "y").distinct()
-    )
-    more = tables.written(_likely(more, signed, least))
+    more = tables.written(_likely(_open_pairs(shared, hubs, tested, roots, least), signed, least))
     if not more.isEmpty():
-        links = links.unionByName(tables.written(_compared(docs, ids, more, least)))
+        links = links.unionByName(tables.written(_compared(docs, ids, more)).filter(F.col("sim") >= least))
         roots = tables.written(components(links))
     named = ids.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     names = named.groupBy("root").agg(F.min("of_id").alias("class_id"))
