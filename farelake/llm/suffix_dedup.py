@@ -29,7 +29,6 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,6 +209,34 @@ def _runs_of(first: np.ndarray, last: np.ndarray, length: int = LENGTH) -> tuple
     return first[at], end[np.append(at[1:], len(first)) - 1]
 
 
+def _pack(batches):
+    """Texts compressed for the way through a shuffle."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 512):
+            batch = whole.slice(at, 512)
+            packed = [packer.compress(t.encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_key"), batch.column("rest"), pa.array(packed, pa.binary())], ["doc_key", "rest", "packed"]
+            )
+
+
+def _unpacked(batch: pa.RecordBatch, rows: int = 128):
+    """Parts of a batch of text rows, with their texts."""
+    unpacker = zstandard.ZstdDecompressor()
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        texts = pa.array([unpacker.decompress(x) for x in part.column("packed").to_pylist()], pa.binary())
+        yield part.append_column("text", texts.cast(pa.string()))
+
+
+def _text_pieces(batch: pa.RecordBatch):
+    for part in _unpacked(batch):
+        keys = part.column("doc_key").to_numpy()
+        for begin, end, data, offsets in K.text_pieces(part):
+            yield part, keys, begin, end, data, offsets
+
+
 def _in_groups(batches):
     """Runs of rows of one group: ``(g, text rows?, batch)``."""
     for batch in batches:
@@ -226,6 +253,7 @@ def _settle(finish: Callable, schema: pa.Schema):
 
     def run(batches):
         group, docs, codes, kinds, tables_ = None, [], [], [], None
+        packer = zstandard.ZstdCompressor(level=3)
         for g, is_text, batch in _in_groups(batches):
             if g != group:
                 group, docs, codes, kinds, tables_ = g, [], [], [], None
@@ -240,8 +268,7 @@ def _settle(finish: Callable, schema: pa.Schema):
                 name = _named(np.concatenate(docs), np.concatenate(codes)) if docs else np.empty(0, np.uint64)
                 kind = np.concatenate(kinds) if docs else np.empty(0, np.int64)
                 tables_ = [K.Lookup(np.sort(name[kind == k])) for k in (0, 1)]
-            keys = batch.column("doc_key").to_numpy()
-            for begin, end, data, offsets in K.text_pieces(batch):
+            for batch, keys, begin, end, data, offsets in _text_pieces(batch):
                 p = parse(data, offsets)
                 name = _named(keys[begin + p["doc"]], p["code"])
                 repeated = np.zeros(len(name), dtype=bool)
@@ -257,7 +284,7 @@ def _settle(finish: Callable, schema: pa.Schema):
                     rest = batch.column("rest")[begin + i]
                     row = {"rest": rest}
                     if i in in_doubt:
-                        row |= {"doc_key": int(keys[begin + i]), "g": group, "text": raw.tobytes().decode(), "runs": _pack_runs(first, last)}
+                        row |= {"doc_key": int(keys[begin + i]), "g": group, "packed": packer.compress(raw.tobytes()), "runs": _pack_runs(first, last)}
                     else:
                         row |= finish(raw, first, last)
                     _add(rows, row)
@@ -346,15 +373,14 @@ def _close(finish: Callable, schema: pa.Schema):
                 for doc, code, starts in zip(*(batch.column(c).to_pylist() for c in ("doc_key", "code", "starts"))):
                     found.setdefault(doc, {})[code] = starts
                 continue
-            keys = batch.column("doc_key").to_numpy()
-            runs = batch.column("runs").to_pylist()
-            for begin, end, data, offsets in K.text_pieces(batch):
+            for batch, keys, begin, end, data, offsets in _text_pieces(batch):
+                runs = batch.column("runs")
                 p = parse(data, offsets)
                 codes = p["code"].view(np.int64)
                 bounds = np.searchsorted(p["doc"], np.arange(end - begin + 1)).tolist()
                 rows = {c: [] for c in schema.names}
                 for i in range(end - begin):
-                    first, last = np.frombuffer(runs[begin + i], dtype=np.int64).reshape(2, -1)
+                    first, last = np.frombuffer(runs[begin + i].as_py(), dtype=np.int64).reshape(2, -1)
                     answers = found.get(int(keys[begin + i]))
                     if answers:
                         own = codes[bounds[i] : bounds[i + 1]]
@@ -424,17 +450,18 @@ def dedup(docs: DataFrame, rest: list[str], finish: Callable = digest, kind: str
 
     none = lambda kind: F.lit(None).cast(kind)
     rest_type = docs.schema["rest"].dataType
-    texts = docs.select(
+    packed = docs.mapInArrow(_pack, f"doc_key long, rest {rest_type.simpleString()}, packed binary")
+    texts = packed.select(
         F.pmod("doc_key", F.lit(buckets)).alias("g"), F.lit(9).alias("kind"), none("binary").alias("docs"),
-        none("binary").alias("codes"), "doc_key", "text", "rest",
+        none("binary").alias("codes"), "doc_key", "packed", "rest",
     )
     both = texts.unionByName(
-        answers.select("*", none("long").alias("doc_key"), none("string").alias("text"), none(rest_type).alias("rest"))
+        answers.select("*", none("long").alias("doc_key"), none("binary").alias("packed"), none(rest_type).alias("rest"))
     )
     both = both.repartition(n, "g").sortWithinPartitions("g", "kind")
     done = f"rest {rest_type.simpleString()}, {kind}"
     settled = (
-        f"{done}, g long, doc_key long, text string, runs binary, q_trigger long, q_code long, q_doc long, q_lead int, "
+        f"{done}, g long, doc_key long, packed binary, runs binary, q_trigger long, q_code long, q_doc long, q_lead int, "
         "q_text binary"
     )
     shape = lambda ddl: _arrow(spark.createDataFrame([], ddl).schema)
@@ -445,11 +472,11 @@ def dedup(docs: DataFrame, rest: list[str], finish: Callable = digest, kind: str
     found = doubts.mapInArrow(_suffixes, "q_doc long, q_code long, starts long")
     found = found.select(
         F.pmod("q_doc", F.lit(buckets)).alias("g"), F.lit(0).alias("kind"), F.col("q_doc").alias("doc_key"),
-        F.col("q_code").alias("code"), "starts", none("string").alias("text"), none("binary").alias("runs"),
+        F.col("q_code").alias("code"), "starts", none("binary").alias("packed"), none("binary").alias("runs"),
         none(rest_type).alias("rest"),
     )
     open_ = state.filter("runs is not null").select(
-        "g", F.lit(9).alias("kind"), "doc_key", none("long").alias("code"), none("long").alias("starts"), "text", "runs", "rest"
+        "g", F.lit(9).alias("kind"), "doc_key", none("long").alias("code"), none("long").alias("starts"), "packed", "runs", "rest"
     )
     closing = open_.unionByName(found).repartition(n, "g").sortWithinPartitions("g", "kind")
     closed = closing.mapInArrow(_close(finish, shape(done)), done)
