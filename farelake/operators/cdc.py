@@ -23,9 +23,11 @@ def current_state(
     """Last state per key: body of the last INSERT/UPDATE, operation of the last event.
 
     One aggregate with map-side partials does both "latest row" lookups; ``when`` limits the events
-    that count (for example to those before a cut).
+    that count (for example to those before a cut). Events without a key or a position in the log have no state
+    (they are quarantined).
     """
     keys = [key] if isinstance(key, str) else list(key)
+    log = log.filter(F.col("seq").isNotNull()).dropna(subset=keys)
     seen = F.when(when, F.col("seq")) if when is not None else F.col("seq")
     wrote = F.when(F.col("op").isin(WRITES), seen)
     state = log.groupBy(*keys).agg(
@@ -42,7 +44,8 @@ def current_state(
 
 
 def registry_status(op: Column) -> Column:
-    return F.when(op == "DELETE", "INACTIVO").otherwise("ACTIVO")
+    """Null while no operation is known."""
+    return F.when(op == "DELETE", "INACTIVO").when(op.isNotNull(), "ACTIVO")
 
 
 def versions(log: DataFrame, key: str, body: Sequence[str], block_width: int = 1 << 20) -> DataFrame:

@@ -1,7 +1,8 @@
 """Repeated reads of one business key: keep the first, account for every other one.
 
-Both outputs start from aggregates with map-side partials, so a key read billions of times shrinks
-before the shuffle instead of filling one window partition.
+Which keys repeat is found first, by a hash aggregate over the key columns alone; it is written down, so its size is known
+to the joins that follow. Reads of other keys pass untouched, with only the columns the caller asks for. Reads without a
+key (a null in any key column) are malformed, not repeats of each other: they pass, and the quarantine rules see them.
 """
 
 from __future__ import annotations
@@ -12,51 +13,45 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.operators.ordered import (
-    BLOCK,
-    CHUNK,
-    expand_copies,
-    few_copies,
-    many_copies,
-    range_blocks,
-    running_sums,
-)
+from farelake.operators.ordered import BLOCK, expand_copies, range_blocks, running_sums
+from farelake.session import materialise
 
 
 def _ordering(df: DataFrame, keys: Sequence[str], order: Sequence[str]):
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    return F.struct(*order, *rest)  # every column takes part, so the first row is unique up to copies
+    """Nulls last; every column takes part, so the first row is unique up to copies."""
+    rest = [c for c in df.columns if c not in keys]
+    cols = [*order, *[c for c in rest if c not in order]]
+    return F.struct(*[F.struct(F.col(c).isNull().alias("null"), F.col(c).alias("value")).alias(c) for c in cols])
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that were read more than once."""
+    known = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    counted = df.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_reads"))
+    return materialise(counted.filter(F.col("_reads") > 1).select(*keys))
 
 
 def first_reads(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by ``order``, remaining columns breaking ties."""
-    best = df.groupBy(*keys).agg(F.min(_ordering(df, keys, order)).alias("_r"))
-    return best.select(*keys, "_r.*").select(*df.columns)
+    """One row per key: the smallest by ``order`` (nulls last), remaining columns breaking ties."""
+    again = repeated_keys(df, keys)
+    once = df.join(again, list(keys), "left_anti").select(*df.columns)
+    best = df.join(again, list(keys), "left_semi").groupBy(*keys).agg(F.min(_ordering(df, keys, order)).alias("_r"))
+    rest = [c for c in df.columns if c not in keys]
+    return once.unionByName(best.select(*keys, *[F.col(f"_r.{c}.value").alias(c) for c in rest]))
 
 
 def repeat_reads(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows that :func:`first_reads` leaves out, copies included."""
-    spread = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    spread = spread.withColumn("_r", _ordering(df, keys, order))
-    firsts = (
-        df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys])
-        .agg(F.min(_ordering(df, keys, order)).alias("_first"), F.count(F.lit(1)).alias("_reads"))
-        .filter(F.col("_reads") > 1)
-    )
-    same_key = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-
-    def later(part):
-        rest = F.col("_n") - F.col("_r").eqNullSafe(F.col("_first")).cast("long")
-        return part.join(firsts, same_key).select(*df.columns, rest.alias("_n")).filter(F.col("_n") > 0)
-
-    # the rare very large groups are told apart before the join, so that they cost nothing if absent
-    few = few_copies(later(spread.filter(F.col("_n") <= CHUNK)), "_n", "_i")
-    many = many_copies(later(spread.filter(F.col("_n") > CHUNK)), "_n", "_i")
-    return few.unionByName(many).select(*df.columns)
+    part = df.join(repeated_keys(df, keys), list(keys), "left_semi").select(*df.columns)
+    spread = part.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_r", _ordering(df, keys, order))
+    firsts = part.groupBy(*keys).agg(F.min(_ordering(df, keys, order)).alias("_first"))
+    rest = F.col("_n") - F.col("_r").eqNullSafe(F.col("_first")).cast("long")
+    later = spread.join(firsts, list(keys)).select(*df.columns, rest.alias("_n")).filter(F.col("_n") > 0)
+    return expand_copies(later, "_n", "_i").select(*df.columns)
 
 
-def content_ids(df: DataFrame, out: str, length: int = 16) -> DataFrame:
-    """A stable id for rows without a key: digest of the content plus ordinal among equal rows.
+def content_ids(df: DataFrame, out: str) -> DataFrame:
+    """A stable id for rows without a key: whole digest of the content plus ordinal among equal rows.
 
     Unlike a global row number it does not renumber when other rows arrive, and needs no sort.
     """
@@ -65,7 +60,7 @@ def content_ids(df: DataFrame, out: str, length: int = 16) -> DataFrame:
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     rows = expand_copies(counted, "_n", "_i")
     return rows.select(
-        F.concat(F.substring(F.sha2(text, 256), 1, length), F.lit("-"), F.col("_i").cast("string")).alias(out),
+        F.concat(F.sha2(text, 256), F.lit("-"), F.col("_i").cast("string")).alias(out),
         *cols,
     )
 

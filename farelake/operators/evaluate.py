@@ -7,6 +7,7 @@ are evaluated in one pass, so five folds of three models cost one job, not fifte
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def ranking_metrics(
     )
     order = [*[F.col(g) for g in groups], F.col(score).desc()]
     blocks = range_blocks(points, order)
-    run = running_sums(blocks, list(groups), [F.col(score).desc()], {"_tp": "_pos", "_fp": "_neg"})
+    run = running_sums(blocks, list(groups), [F.col(score).desc()], {"_tp": "_pos", "_fp": "_neg"}, null_keys=True)
     tp, fp, pos, neg = (F.col(c) for c in ("_tp", "_fp", "_pos", "_neg"))
     sums = run.groupBy(*groups).agg(
         F.sum(pos).alias("_p"),
@@ -239,17 +240,24 @@ def grouped_medians(df: DataFrame, groups: Sequence[str], columns: Sequence[str]
         .agg(F.count(F.lit(1)).alias("_k"))
     )
     keys = [*groups, "_col"]
-    run = running_sums(range_blocks(values, [*keys, "_v"]), keys, ["_v"], {"_upto": "_k"})
+    run = running_sums(range_blocks(values, [*keys, "_v"]), keys, ["_v"], {"_upto": "_k"}, null_keys=True)
     sizes = values.groupBy(*keys).agg(F.sum("_k").alias("_n"))
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     after = F.col("_upto") - F.col("_k")
     holds = lambda rank: (after < rank) & (rank <= F.col("_upto"))
-    middle = run.join(sizes, keys).groupBy(*keys).agg(
+    middle = _same_group(run, sizes, keys).groupBy(*keys).agg(
         ((F.max(F.when(holds(low), F.col("_v"))) + F.max(F.when(holds(high), F.col("_v")))) / 2).alias("_m")
     )
     return middle.groupBy(*groups).pivot("_col", list(columns)).agg(F.max("_m"))
 
 
+def _same_group(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group columns in which a null is a group like any other."""
+    renamed = right.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_g_{k}" for k in keys])
+
+
 def segment_profile(
     df: DataFrame, segment: str, medians: Sequence[str], label: str = LABEL
 ) -> DataFrame:
@@ -257,4 +265,4 @@ def segment_profile(
     sizes = df.groupBy(segment).agg(
         F.count(F.lit(1)).alias("tamano"), X.share(F.sum(label), F.count(label)).alias("tasa_abandono")
     )
-    return sizes.join(grouped_medians(df, [segment], medians), segment, "left")
+    return _same_group(sizes, grouped_medians(df, [segment], medians), [segment], "left")

@@ -10,6 +10,7 @@ block, which is what bounds its own window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -50,18 +51,23 @@ def _across(keys):
     return (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(BLOCK)
 
 
-def _join_summary(df: DataFrame, summary: DataFrame, keys) -> DataFrame:
+def _join_summary(df: DataFrame, summary: DataFrame, keys, null_keys: bool = False) -> DataFrame:
     # Without keys the summary is one row per block, as many as there are partitions.
-    return df.join(summary if keys else F.broadcast(summary), [*keys, BLOCK])
+    if not null_keys:
+        return df.join(summary if keys else F.broadcast(summary), [*keys, BLOCK])
+    on = [*keys, BLOCK]
+    right = summary.select(*[F.col(c).alias(f"_s_{c}") for c in on], *[c for c in summary.columns if c not in on])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on])
+    return df.join(right, same).drop(*[f"_s_{c}" for c in on])
 
 
 def running_sums(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], sums: dict[str, str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], sums: dict[str, str], null_keys: bool = False
 ) -> DataFrame:
     """Add ``out`` = sum of ``col`` over all rows up to and including this one, for each out: col.
 
-    The order must be total inside a block, or ties must carry equal meaning for the caller. Keys are
-    never null: a null key would not find its summary row.
+    The order must be total inside a block, or ties must carry equal meaning for the caller. With ``null_keys`` a null
+    is a key like any other, at the price of a shuffle; without it keys are never null.
     """
     upto = _local(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -70,18 +76,18 @@ def running_sums(
         *keys, BLOCK, *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in sums]
     )
     local = df.select("*", *[F.sum(c).over(upto).alias(f"_l_{o}") for o, c in sums.items()])
-    joined = _join_summary(local, offsets, keys)
+    joined = _join_summary(local, offsets, keys, null_keys)
     return joined.select(
         *[F.col(c) for c in df.columns], *[(F.col(f"_l_{o}") + F.col(f"_o_{o}")).alias(o) for o in sums]
     )
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str = "rn"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str = "rn", null_keys: bool = False
 ) -> DataFrame:
     """1, 2, 3 … in ``order`` inside ``keys``; ``df`` must carry blocks."""
     one = df.withColumn("_one", F.lit(1).cast("long"))
-    return running_sums(one, keys, order, {out: "_one"}).drop("_one")
+    return running_sums(one, keys, order, {out: "_one"}, null_keys).drop("_one")
 
 
 def number_all(df: DataFrame, order: Sequence[Column | str], out: str, parts: int | None = None) -> DataFrame:
@@ -149,29 +155,15 @@ def fill_and_lead(
 CHUNK = 100_000
 
 
-def few_copies(df: DataFrame, copies: str, ordinal: str) -> DataFrame:
-    """Turn a row standing for ``copies`` equal rows back into that many, numbered from 1."""
-    numbers = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(ordinal)
-    return df.select(*[c for c in df.columns if c != copies], numbers)
-
-
-def many_copies(df: DataFrame, copies: str, ordinal: str, chunk: int = CHUNK) -> DataFrame:
-    """The same for rows that stand for very many: cut into chunks, spread out, then expanded.
+def expand_copies(df: DataFrame, copies: str, ordinal: str, chunk: int = CHUNK) -> DataFrame:
+    """Turn a row standing for ``copies`` equal rows back into that many, numbered from 1.
 
-    No task emits more than ``chunk`` copies of a row per chunk it was dealt.
+    Rows are cut into chunks of copies, which are dealt out by size before they are expanded, so no task emits more
+    than ``chunk`` copies of a row per chunk it was dealt.
     """
     cols = [c for c in df.columns if c != copies]
     chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / chunk)))
     first = F.col("_c") * chunk + 1
     last = F.least((F.col("_c") + 1) * chunk, F.col(copies))
-    return (
-        df.select("*", chunks.alias("_c"))
-        .repartition(*cols, "_c")
-        .select(*cols, F.explode(F.sequence(first, last)).alias(ordinal))
-    )
-
-
-def expand_copies(df: DataFrame, copies: str, ordinal: str, chunk: int = CHUNK) -> DataFrame:
-    """All copies of every row; ``df`` should come from an aggregate, whose shuffle both halves reuse."""
-    few = few_copies(df.filter(F.col(copies) <= chunk), copies, ordinal)
-    return few.unionByName(many_copies(df.filter(F.col(copies) > chunk), copies, ordinal, chunk))
+    dealt = df.select("*", chunks.alias("_c")).hint("rebalance")
+    return dealt.select(*cols, F.explode(F.sequence(first, last)).alias(ordinal))

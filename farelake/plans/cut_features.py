@@ -30,10 +30,11 @@ class InsufficientData(ValueError):
 # ---- inputs ------------------------------------------------------------------------------
 
 
-def events(silver: dict[str, DataFrame], first_day: date | None = None) -> DataFrame:
+def events(silver: dict[str, DataFrame], first_day: date | None = None, end: date | None = None) -> DataFrame:
     """Valid boardings keyed by unit: unidad_id, tarjeta, operador, fecha_hora, monto_gtq, zona.
 
-    With ``first_day`` only the day folders from that day on are read.
+    With ``first_day`` and ``end`` only the day folders from the one to before the other are read. Cards without a
+    usable number have no unit and are left out.
     """
 
     def part(view, operator, card, ts, zone):
@@ -41,6 +42,8 @@ def events(silver: dict[str, DataFrame], first_day: date | None = None) -> DataF
         df = silver[view]
         if first_day is not None and "dia" in df.columns:
             df = df.filter(F.col("dia") >= F.lit(first_day))
+        if end is not None and "dia" in df.columns:
+            df = df.filter(F.col("dia") < F.lit(end))
         return df.select(
             X.unit_id(op, F.col(card)).alias(UNIT),
             F.col(card).alias("tarjeta"),
@@ -57,7 +60,7 @@ def events(silver: dict[str, DataFrame], first_day: date | None = None) -> DataF
             part("silver_mr_viajes", C.METRORIEL, "tarjeta_mr", "ts_entrada", "zona_entrada"),
             part("silver_am_boardings", C.AEROMETRO, "tarjeta_am", "fecha_hora", "zona_canonica"),
         ]
-    )
+    ).filter(F.col(UNIT).isNotNull())
 
 
 def registry(silver_cdc: DataFrame) -> DataFrame:

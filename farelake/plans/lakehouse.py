@@ -114,8 +114,8 @@ def cuts_table(lake: Lake, cuts: dict[str, date], w: C.CutWindows, labels: str =
     log = cut_features.until(cut_features.registry(silver_tables["silver_cdc_padron"]), "commit_ts", until)
     first_day = min(cuts.values()) - timedelta(days=w.window)
     every = cut_features.until(cut_features.events(silver_tables), "fecha_hora", until)
-    recent = cut_features.until(cut_features.events(silver_tables, first_day), "fecha_hora", until)
     end = max(cuts.values()) + timedelta(days=w.horizon)
+    recent = cut_features.until(cut_features.events(silver_tables, first_day, end), "fecha_hora", until)
     recent = recent.filter(F.col("fecha_hora") < F.lit(end).cast("timestamp_ntz"))
     last_event = every.agg(F.max("fecha_hora").alias("ultimo"))
     cards = cut_features.card_rollup(every)

@@ -11,7 +11,10 @@ from farelake.operators.quality import union_all
 
 
 def events(silver: dict[str, DataFrame], salt: str) -> DataFrame:
-    """Valid boardings with the person key: persona_key, operador, fecha_hora, monto_gtq, zona."""
+    """Valid boardings with the person key: persona_key, operador, fecha_hora, monto_gtq, zona.
+
+    Cards that name no person are left out.
+    """
 
     def part(view, operator, card, ts, zone):
         op = F.lit(operator)
@@ -30,7 +33,7 @@ def events(silver: dict[str, DataFrame], salt: str) -> DataFrame:
             part("silver_mr_viajes", C.METRORIEL, "tarjeta_mr", "ts_entrada", "zona_entrada"),
             part("silver_am_boardings", C.AEROMETRO, "tarjeta_am", "fecha_hora", "zona_canonica"),
         ]
-    )
+    ).filter(F.col("persona_key").isNotNull())
 
 
 def build(ev: DataFrame, person: str = "persona_key", windows: tuple[int, ...] = (7, 30, 90)) -> DataFrame:

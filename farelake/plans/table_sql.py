@@ -117,7 +117,7 @@ SQL["dq_unique_not_null"] = " union all ".join(
 )
 
 SQL["surrogate_fact_id"] = """
-select substr(sha256(concat_ws(chr(31), l_orderkey, l_linenumber, l_returnflag, l_linestatus)), 1, 16) || '-' ||
+select sha256(concat_ws(chr(31), l_orderkey, l_linenumber, l_returnflag, l_linestatus)) || '-' ||
        row_number() over (partition by l_orderkey, l_linenumber, l_returnflag, l_linestatus) as fila_id,
        l_orderkey, l_linenumber, l_returnflag, l_linestatus from lineitem"""
 SQL["surrogate_fact_rank"] = """

@@ -59,10 +59,15 @@ def test_first_and_repeat_reads_partition_the_input(spark):
     first = first_reads(df, ["id"], ["t"])
     rest = repeat_reads(df, ["id"], ["t"])
     key = lambda r: str(r)
-    assert sorted(_rows_any(first), key=key) == sorted([(1, 5, "x"), (2, 1, None), (None, 2, "z")], key=key)
-    assert sorted(_rows_any(rest), key=key) == sorted(
-        [(1, 5, "x"), (1, 5, "x"), (1, 7, "y"), (None, 3, "z")], key=key
-    )
+    # reads without a key are malformed, not repeats of each other
+    assert sorted(_rows_any(first), key=key) == sorted([(1, 5, "x"), (2, 1, None), (None, 2, "z"), (None, 3, "z")], key=key)
+    assert sorted(_rows_any(rest), key=key) == sorted([(1, 5, "x"), (1, 5, "x"), (1, 7, "y")], key=key)
+
+
+def test_a_read_without_a_time_does_not_displace_the_good_one(spark):
+    df = spark.createDataFrame([(5, None, "bad"), (5, 9, "good"), (6, None, "only")], "id int, t int, s string")
+    assert sorted(_rows_any(first_reads(df, ["id"], ["t"]))) == [(5, 9, "good"), (6, None, "only")]
+    assert _rows_any(repeat_reads(df, ["id"], ["t"])) == [(5, None, "bad")]
 
 
 def test_ids_for_rows_without_key(spark):

