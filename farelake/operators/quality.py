@@ -132,11 +132,12 @@ def reconcile(expected: DataFrame, loaded: DataFrame, on: str = "tabla") -> Data
 
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
-    """Row count and an order-independent digest of a table's content."""
-    h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    """Row count and an order-independent digest of a table's content, which any SQL engine can repeat: the sum over rows
+    of the first seven hex digits of the md5 of all columns as text, in the order of their names."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in sorted(df.columns)])
+    digits = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long")
     return df.agg(
-        F.count(F.lit(1)).alias("filas"),
-        F.coalesce(F.sum(F.pmod(h, F.lit(2147483647))), F.lit(0)).alias("huella"),
+        F.count(F.lit(1)).alias("filas"), F.coalesce(F.sum(digits), F.lit(0)).alias("huella")
     ).select(F.lit(name).alias("tabla"), "filas", "huella")
 
 

@@ -65,9 +65,21 @@ SQL["reconcile_counts"] = " union all ".join(
     f"count(*) - (cast(max({k}) as bigint) + 1) as diferencia from {t}"
     for t, k in _EXPECTED
 )
-SQL["table_fingerprints"] = " union all ".join(
-    f"select '{t}' as tabla, count(*) as filas from {t}" for t in ("customer", "orders", "events")
-)
+_MONEY, _TIME = {"c_acctbal", "o_totalprice", "value"}, {"o_orderdate", "ts"}
+
+
+def _fingerprint(t: str, cols: list) -> str:
+    plain = [
+        f"cast(round({c} * 100) as bigint)" if c in _MONEY else f"epoch_us({c})" if c in _TIME else c for c in sorted(cols)
+    ]
+    text = ", ".join(f"coalesce(cast({c} as varchar), chr(0))" for c in plain)
+    return (
+        f"select '{t}' as tabla, count(*) as filas, "
+        f"cast(sum(cast('0x' || left(md5(concat_ws('|', {text})), 7) as bigint)) as bigint) as huella from {t}"
+    )
+
+
+SQL["table_fingerprints"] = " union all ".join(_fingerprint(t, [c.split()[0] for c in Q.SCHEMAS[t].split(', ')]) for t in ("customer", "orders", "events"))
 
 SQL["dedup_first"] = f"with {FIRST} select * from first_lines"
 
