@@ -9,11 +9,11 @@ component empty; in the rare case that one is, the time is doubled.
 
 Signatures are banded (``BANDS`` times ``ROWS``: a pair at 0.8 shares a band but for about 3 in 10**6). In each bucket
 everyone is compared, on the whole bags, with the bucket's hub: the member whose buckets are largest in sum, as the
-original of many edited copies shares more buckets with them than they do with each other. What a bucket then still
-holds of different classes is compared pair by pair, unless a pair is ruled out by the triangle inequality (1 minus the
-similarity is a metric, and both similarities to the hub are known) or by five standard deviations of the signatures.
-Classes are the connected components of the verified pairs. Bags meet at their common partner in salted groups, so a partner of
-any number of documents fills no single task; at most one bag is held at a time.
+original of many edited copies shares more buckets with them than they do with each other. What is left open are members of
+other classes than their hub. Each of them is compared, again on whole bags, with all members that met the same hub, in
+blocks of about ``_BLOCK_MEMBERS``; a block gives back at most one link to each class. Classes are the connected components
+of the verified links. Two documents of one bucket have met the same hub, so no pair of a bucket stays unexamined unless
+both are of one class. Blocks and salts keep every group of bags bounded, however many documents share a hub.
 
 Words are runs of bytes ``[0-9a-z]`` or beyond ASCII after lower-casing A-Z. Texts with equal words are equal documents.
 A text of one to four words is one shingle; texts without words (null, empty) are equal to each other. The class of a
@@ -36,7 +36,7 @@ from farelake.llm import tables
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 COMPONENTS = BANDS * ROWS
-_SALT_MEMBERS = 1000
+_SALT_MEMBERS, _BLOCK_MEMBERS = 1000, 250
 _POINTS = (1, 2, 2, 4, 8)  # points generated at a time for each process
 
 
@@ -168,27 +168,16 @@ def _shared_buckets(signed: DataFrame) -> DataFrame:
     return tables.written(shared.join(degrees, "key").select("bucket", "key", rank))
 
 
-def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The distinct ``(x, y)`` of ``pairs`` with the similarity of their bags. ``ids``: a row id for each key."""
-    n = tables.parts(docs.sparkSession)
-    salts = pairs.groupBy("y").agg(F.ceil(F.count("*") / F.lit(_SALT_MEMBERS)).cast("int").alias("salts"))
-    tests = (
-        pairs.join(salts, "y")
-        .groupBy(F.col("x").alias("key"))
-        .agg(F.collect_set(F.struct("y", F.pmod(F.xxhash64("x"), "salts").cast("int").alias("salt"))).alias("tests"))
-    )
-    wanted = (
-        tests.withColumn("salts", F.lit(0))
-        .unionByName(salts.select(F.col("y").alias("key"), F.array().cast(tests.schema["tests"].dataType).alias("tests"), "salts"))
-        .groupBy("key").agg(F.flatten(F.collect_list("tests")).alias("tests"), F.max("salts").alias("salts"))
-        .join(ids, "key")
-    )
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["of_id"])).select("text", "key", "tests", "salts")
+def _texts_of(docs: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted(key, tests)`` with the text of a row that has the key. ``ids``: a row id for each key."""
+    wanted = wanted.join(ids, "key")
+    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["of_id"])).select("text", "key", "tests")
 
-    def send(batches):
-        """A bag goes to its partners' groups and, once for each salt, to its own."""
-        names = ["y", "salt", "member", "x", "grams", "counts"]
-        kinds = [pa.binary(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+
+def _send(names, kinds, fields):
+    """Rows of ``names``: for each test of a document its ``fields``, the document's key and bag."""
+
+    def run(batches):
         for batch in batches:
             for begin, end, data, offsets in K.text_pieces(batch, limit=1 << 19):
                 doc, grams, counts, keys = bags(data, offsets)
@@ -198,12 +187,30 @@ def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
                     if keys[i] != key:
                         continue  # another text with the same id
                     bag = grams[a:b].tobytes(), counts[a:b].astype(np.int32).tobytes()
-                    rows = [(t["y"], t["salt"], True, key, *bag) for t in batch.column("tests")[begin + i].as_py()]
-                    rows += [(key, s, False, key, *bag) for s in range(batch.column("salts")[begin + i].as_py())]
-                    for at in range(0, len(rows), 64):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, k) for c, k in zip(zip(*rows[at : at + 64]), kinds)], names
-                        )
+                    tests = batch.column("tests")[begin + i].as_py()
+                    for at in range(0, len(tests), 64):
+                        rows = [(*(t[f] for f in fields), key, *bag) for t in tests[at : at + 64]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return run
+
+
+def _bag(grams: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(grams, dtype=np.uint64), np.frombuffer(counts, dtype=np.int32)
+
+
+def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The distinct ``(x, y)`` of ``pairs`` with the similarity of their bags. Bags meet at (y, salt): that of y comes
+    first and is held, the others stream by."""
+    n = tables.parts(docs.sparkSession)
+    salts = pairs.groupBy("y").agg(F.ceil(F.count("*") / F.lit(_SALT_MEMBERS)).cast("int").alias("salts"))
+    own = salts.select(F.col("y").alias("key"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    tests = (
+        pairs.join(salts, "y")
+        .select(F.col("x").alias("key"), "y", F.pmod(F.xxhash64("x"), "salts").cast("int").alias("salt"), F.lit(True).alias("member"))
+        .unionByName(own.select("key", F.col("key").alias("y"), "salt", F.lit(False).alias("member")))
+        .groupBy("key").agg(F.collect_set(F.struct("y", "salt", "member")).alias("tests"))
+    )
 
     def meet(batches):
         group, own = None, None
@@ -211,20 +218,95 @@ def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
             found = []
             for at in range(batch.num_rows):
                 y, salt, member, x, grams, counts = (batch.column(i)[at].as_py() for i in range(6))
-                bag = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(counts, dtype=np.int32)
                 if not member:
-                    group, own = (y, salt), bag
+                    group, own = (y, salt), _bag(grams, counts)
                 elif group == (y, salt):
-                    found.append((x, y, similarity(*bag, *own)))
+                    found.append((x, y, similarity(*_bag(grams, counts), *own)))
             if found:
                 kinds = (pa.binary(), pa.binary(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["x", "y", "sim"])
 
-    sent = texts.mapInArrow(send, "y binary, salt int, member boolean, x binary, grams binary, counts binary")
+    send = _send(
+        ["y", "salt", "member", "x", "grams", "counts"],
+        [pa.binary(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()], ["y", "salt", "member"],
+    )
+    sent = _texts_of(docs, ids, tests).mapInArrow(send, "y binary, salt int, member boolean, x binary, grams binary, counts binary")
     dealt = sent.repartition(n, "y", "salt").sortWithinPartitions("y", "salt", "member")
     return dealt.mapInArrow(meet, "x binary, y binary, sim double").groupBy("x", "y").agg(F.max("sim").alias("sim"))
 
 
+class _Block:
+    """Bags of some members, by shingle."""
+
+    def __init__(self, members: list):
+        self.keys = [m[0] for m in members]
+        self.roots = [m[1] for m in members]
+        owner = np.repeat(np.arange(len(members)), [len(m[2]) for m in members])
+        grams = np.concatenate([m[2] for m in members])
+        counts = np.concatenate([m[3] for m in members])
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.owner, self.counts = grams[order], owner[order], counts[order]
+        self.sizes = np.bincount(owner, counts, minlength=len(members))
+
+    def similarities(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(self.grams, grams), np.searchsorted(self.grams, grams, side="right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        least = np.minimum(self.counts[at], np.repeat(counts, n))
+        both = np.bincount(self.owner[at], least, minlength=len(self.keys))
+        return both / np.maximum(1, self.sizes + counts.sum() - both)
+
+
+def _resolved(docs: DataFrame, ids: DataFrame, tested: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Links ``(x, y)`` of members of other classes than their hub to members that met the same hub: for each block of
+    members at most one to each class."""
+    n = tables.parts(docs.sparkSession)
+    hub_roots = roots.select(F.col("key").alias("y"), F.col("root").alias("hub_root"))
+    met = (
+        tested.select(F.col("x").alias("key"), "y")
+        .join(roots, "key", "left").join(hub_roots, "y", "left")
+        .select("key", "y", F.coalesce("root", "key").alias("root"), F.coalesce("hub_root", "y").alias("hub_root"))
+        .withColumn("open", F.col("root") != F.col("hub_root"))
+    )
+    groups = met.groupBy("y").agg(F.count("*").alias("n"), F.max("open").alias("some")).filter("some and n > 1")
+    groups = groups.select("y", F.ceil(F.col("n") / F.lit(_BLOCK_MEMBERS)).cast("int").alias("blocks"))
+    met = tables.written(met.join(groups, "y"))
+    members = met.select("key", "y", F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("block"), "root", F.lit(False).alias("asks"))
+    askers = met.filter("open").select(
+        "key", "y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "root", F.lit(True).alias("asks")
+    )
+    tests = members.unionByName(askers).groupBy("key").agg(F.collect_set(F.struct("y", "block", "asks", "root")).alias("tests"))
+
+    def meet(batches):
+        group, members, block = None, [], None
+        for batch in batches:
+            found = []
+            for at in range(batch.num_rows):
+                y, number, asks, root, x, grams, counts = (batch.column(i)[at].as_py() for i in range(7))
+                if group != (y, number):
+                    group, members, block = (y, number), [], None
+                bag = _bag(grams, counts)
+                if not asks:
+                    members.append((x, root, *bag))
+                    continue
+                block = block or _Block(members)
+                classes_ = {root}
+                for i in np.flatnonzero(block.similarities(*bag) >= least).tolist():
+                    if block.roots[i] not in classes_:
+                        classes_.add(block.roots[i])
+                        found.append((x, block.keys[i]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["x", "y"])
+
+    send = _send(
+        ["y", "block", "asks", "root", "x", "grams", "counts"],
+        [pa.binary(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary()], ["y", "block", "asks", "root"],
+    )
+    kind = "y binary, block int, asks boolean, root binary, x binary, grams binary, counts binary"
+    dealt = _texts_of(docs, ids, tests).mapInArrow(send, kind).repartition(n, "y", "block").sortWithinPartitions("y", "block", "asks")
+    return dealt.mapInArrow(meet, "x binary, y binary").distinct()
+
+
 def _checksum(edges: DataFrame) -> tuple:
     sums = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(sums)
@@ -252,48 +334,6 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
 
 
-def _open_pairs(shared: DataFrame, hubs: DataFrame, tested: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """Pairs ``(x, y)`` of different classes that share a bucket whose hub is neither, unless the triangle inequality
-    rules them out."""
-    classed = (
-        shared.select("bucket", "key").join(hubs, "bucket")
-        .join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        .join(roots.select(F.col("key").alias("hub"), F.col("root").alias("hub_root")), "hub", "left")
-        .withColumn("rest", F.col("root") != F.coalesce("hub_root", "hub"))
-        .filter("key <> hub")
-    )
-    mixed = classed.groupBy("bucket").agg(F.max("rest").alias("some"), F.count("*").alias("n")).filter("some and n > 1")
-    members = classed.join(mixed.select("bucket"), "bucket", "left_semi").join(
-        tested.select(F.col("x").alias("key"), F.col("y").alias("hub"), "sim"), ["key", "hub"]
-    )
-    rest = members.filter("rest").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"), F.col("sim").alias("sim_x"))
-    other = members.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y"), "sim", "rest")
-    near = F.abs(F.col("sim_x") - F.col("sim")) <= 1 - least + 1e-9
-    once = ~F.col("rest") | (F.col("x") < F.col("y"))
-    return rest.join(other, (rest["bucket"] == other["bucket"]) & (F.col("root_x") != F.col("root_y")) & near & once).select("x", "y").distinct()
-
-
-def _likely(pairs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
-    """Pairs whose signatures don't rule out a similarity of ``least`` by five standard deviations."""
-    needed = COMPONENTS * least - 5 * (COMPONENTS * least * (1 - least)) ** 0.5
-    sig = signed.filter("sig is not null").groupBy("key").agg(F.first("sig").alias("sig"))
-    both = pairs.join(sig.select(F.col("key").alias("x"), F.col("sig").alias("sx")), "x").join(
-        sig.select(F.col("key").alias("y"), F.col("sig").alias("sy")), "y"
-    )
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
-                x, y = (
-                    np.frombuffer(b"".join(some.column(c).to_pylist()), dtype=np.uint32).reshape(-1, COMPONENTS)
-                    for c in ("sx", "sy")
-                )
-                yield some.select(["x", "y"]).filter(pa.array((x == y).sum(axis=1) >= needed))
-
-    return both.mapInArrow(run, "x binary, y binary")
-
-
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``(doc_id, key, class_id)`` for every row of ``docs(doc_id, text)``; key is a digest of the words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -305,10 +345,9 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     tested = tables.written(_compared(docs, ids, tables.written(pairs.distinct())))
     links = tested.filter(F.col("sim") >= least)
     roots = tables.written(components(links))
-    more = tables.written(_likely(_open_pairs(shared, hubs, tested, roots, least), signed, least))
+    more = tables.written(_resolved(docs, ids, tested, roots, least))
     if not more.isEmpty():
-        links = links.unionByName(tables.written(_compared(docs, ids, more)).filter(F.col("sim") >= least))
-        roots = tables.written(components(links))
+        roots = tables.written(components(links.select("x", "y").unionByName(more)))
     named = ids.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     names = named.groupBy("root").agg(F.min("of_id").alias("class_id"))
     named = named.join(names, "root").select("key", "class_id")
