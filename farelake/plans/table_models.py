@@ -80,18 +80,24 @@ def pca_segments(spark, sf):
     )
 
 
+def _threshold(train):
+    """The threshold of largest gain on out-of-fold scores."""
+    val = models.cross_validate(train, "logistica_l2", _l2).filter("split = 'val'")
+    return float(evaluate.best_threshold(evaluate.threshold_curve(val, "puntaje")).first()["umbral"])
+
+
 def score_cut(spark, sf):
     """Fit on cut A, score cut B's population."""
     train = _training(spark, sf)
     model = _l2(train.count()).fit(train)
     later = Q.cut_features(spark, sf, {"B": Q.CUTS["B"]}, labels="none")
-    return models.score_population(later, model, 0.325)
+    return models.score_population(later, model, _threshold(train))
 
 
 def final_test(spark, sf):
     train = _training(spark, sf)
     test = materialise(Q.cut_features(spark, sf, {"B": Q.CUTS["B"]}))
-    _, result = models.final_test(train, test, _l2(train.count()), 0.325, Q.WINDOWS)
+    _, result = models.final_test(train, test, _l2(train.count()), _threshold(train), Q.WINDOWS)
     return result
 
 
