@@ -7,6 +7,8 @@ whatever the size of an Arrow batch. A null text counts as empty.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,6 +35,22 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
+def _find_trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return lambda _: None
+
+
+_malloc_trim = _find_trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the machine; workers live on between tasks, and each keeps its largest size else."""
+    pa.default_memory_pool().release_unused()
+    _malloc_trim(0)
+
+
 def text_pieces(batch: pa.RecordBatch, name: str = "text", limit: int = PIECE_BYTES):
     """Yields ``(first row, end row, bytes, offsets)`` with at most ``limit`` bytes, or one longer text."""
     column = batch.column(batch.schema.get_field_index(name))
@@ -50,6 +68,8 @@ def text_pieces(batch: pa.RecordBatch, name: str = "text", limit: int = PIECE_BY
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield at, end, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
+    if offsets[-1] - offsets[0] > limit:
+        trim()
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:

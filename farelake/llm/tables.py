@@ -28,8 +28,13 @@ def ship(spark: SparkSession) -> None:
     _sent.add(app)
 
 
+# Rows of an Arrow batch: texts are long, and a batch stands in memory several times on its way to Python.
+BATCH_ROWS = "1000"
+
+
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
 

@@ -29,6 +29,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.llm.kernels import trim
+
 LEAF_CHARS = 2048
 ROW_CHARS = 1 << 16
 WINDOW = 8
@@ -220,6 +222,7 @@ def _packed(ids: list[int]) -> bytes:
 def _batches(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+    trim()
 
 
 def _encoder(path, leaf):
