@@ -48,7 +48,7 @@ def registry_status(op: Column) -> Column:
     return F.when(op == "DELETE", "INACTIVO").when(op.isNotNull(), "ACTIVO")
 
 
-def versions(log: DataFrame, key: str, body: Sequence[str], block_width: int = 1 << 20) -> DataFrame:
+def versions(log: DataFrame, key: str, body: Sequence[str], blocks: int | None = None) -> DataFrame:
     """Type-2 history in ``seq`` order: one row per event, body filled forward, validity interval.
 
     Adds ``estado``, ``valid_from``, ``valid_to`` (null while current) and ``es_version_vigente``.
@@ -57,7 +57,7 @@ def versions(log: DataFrame, key: str, body: Sequence[str], block_width: int = 1
     rows = log.filter(F.col(key).isNotNull() & F.col("seq").isNotNull())
     rows = rows.select(key, "seq", "commit_ts", "op", *body)
     filled = fill_and_lead(
-        sequence_blocks(rows, "seq", block_width),
+        sequence_blocks(rows, "seq", blocks),
         [key],
         "seq",
         fill=list(body),

@@ -38,9 +38,18 @@ def hash_prefix_blocks(df: DataFrame, hex_col: str, digits: int = 4) -> DataFram
     return df.withColumn(BLOCK, F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long"))
 
 
-def sequence_blocks(df: DataFrame, seq: str, width: int = 1 << 20) -> DataFrame:
-    """Blocks of a unique running number: no (key, block) group can exceed ``width`` rows."""
-    return df.withColumn(BLOCK, F.floor(F.col(seq) / width).cast("long"))
+def sequence_blocks(df: DataFrame, seq: str, parts: int | None = None) -> DataFrame:
+    """At most ``parts`` blocks of a running number, bounded by its measured quantiles.
+
+    Dense or sparse, a block holds about the same share of the rows, so the summary of one key has at most ``parts``
+    rows, even if the key owns the whole sequence. Only the bounds reach the driver.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / parts for i in range(1, parts)]
+    bounds = df.agg(F.percentile_approx(seq, shares, max(10_000, 20 * parts)).alias("b")).first().b if shares else []
+    inner = F.array(*[F.lit(b) for b in sorted(set(bounds or []))])
+    below = F.size(F.filter(inner, lambda b: b < F.col(seq))) if bounds else F.lit(0)
+    return df.withColumn(BLOCK, below.cast("long"))
 
 
 def _local(keys, order):
