@@ -24,7 +24,7 @@ VOCABULARY = "byte_bpe_50k.json"
 def op1_bpe(spark, sf):
     path = public_tokenizers.path(VOCABULARY)
     encoded = tree_bpe.encode_rows(tables.read(spark, sf, "documents", "doc_id", "text"), path)
-    return tree_bpe.digests(tree_bpe.decode_rows(encoded, path), path)
+    return tree_bpe.digests(encoded, path)
 
 
 def op2_decontamination(spark, sf):

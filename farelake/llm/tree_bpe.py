@@ -290,40 +290,43 @@ def _joiner(path):
     return run
 
 
+def _text(vocab: Vocabulary, ids: list[int]) -> str:
+    """The text of an id sequence; bytes that are no UTF-8 become replacement characters."""
+    return vocab.decode(ids).decode(errors="replace")
+
+
 def decode_rows(encoded: DataFrame, vocab_path: str) -> DataFrame:
-    """``(doc_id, ids, text)``: the text of each id sequence; bytes that are no UTF-8 become replacement characters."""
+    """``(doc_id, text)``: the text of each id sequence."""
 
     def run(batches):
         vocab = vocabulary(vocab_path)
         for whole in batches:
             for batch in _batches(whole):
-                texts = [
-                    vocab.decode(np.frombuffer(x, dtype=np.int32).tolist()).decode(errors="replace")
-                    for x in batch.column("ids").to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
-                )
+                ids = [np.frombuffer(x, dtype=np.int32).tolist() for x in batch.column("ids").to_pylist()]
+                texts = pa.array([_text(vocab, x) for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def digests(decoded: DataFrame, vocab_path: str) -> DataFrame:
-    """Counts and digests of :func:`decode_rows`."""
+def digests(encoded: DataFrame, vocab_path: str) -> DataFrame:
+    """Counts and digests of the ids of :func:`encode_rows` and of the text decoded from them."""
 
     def run(batches):
-        names = vocabulary(vocab_path).names
+        vocab = vocabulary(vocab_path)
+        names = vocab.names
         for whole in batches:
             for batch in _batches(whole):
                 counts, hashes, texts = [], [], []
-                for ids, text in zip(batch.column("ids").to_pylist(), batch.column("text").to_pylist()):
-                    ids = np.frombuffer(ids, dtype=np.int32).tolist()
+                for packed in batch.column("ids").to_pylist():
+                    ids = np.frombuffer(packed, dtype=np.int32).tolist()
                     counts.append(len(ids))
                     hashes.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
-                    texts.append(hashlib.sha256(text.encode()).hexdigest())
+                    texts.append(hashlib.sha256(_text(vocab, ids).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(texts)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded.select("doc_id", "ids").mapInArrow(run, kind)

@@ -58,7 +58,7 @@ def test_rows(spark, library):
     data = rows(library)
     docs = spark.createDataFrame(data, SCHEMA).repartition(3)
     encoded = tree_bpe.encode_rows(docs, PATH, row_chars=200, leaf=32)
-    got = sorted(map(tuple, tree_bpe.digests(tree_bpe.decode_rows(encoded, PATH), PATH).collect()), key=str)
+    got = sorted(map(tuple, tree_bpe.digests(encoded, PATH).collect()), key=str)
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     want = []
     for i, text, _, _ in data:
@@ -66,6 +66,8 @@ def test_rows(spark, library):
         want.append((i, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
         assert library.decode(ids, skip_special_tokens=False) == (text or "")
     assert got == sorted(want, key=str)
+    texts_ = sorted((tuple(r) for r in tree_bpe.decode_rows(encoded, PATH).collect()), key=str)
+    assert texts_ == sorted(((i, t or "") for i, t, _, _ in data), key=str)
     counts = sorted(map(tuple, token_counts.count_tokens(docs, PATH, 50).collect()), key=str)
     assert counts == sorted(
         ((i, len((t or "").encode()), n, n > 50) for (i, t, _, _), (_, n, _, _) in zip(data, want)), key=str
@@ -74,7 +76,7 @@ def test_rows(spark, library):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
-    assert tree_bpe.digests(tree_bpe.decode_rows(tree_bpe.encode_rows(docs, PATH), PATH), PATH).count() == 0
+    assert tree_bpe.digests(tree_bpe.encode_rows(docs, PATH), PATH).count() == 0
     assert token_counts.count_tokens(docs, PATH).count() == 0
 
 
