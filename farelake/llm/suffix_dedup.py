@@ -38,9 +38,9 @@ from farelake.llm import tables
 from farelake.llm.fingerprints import _window_min
 
 LENGTH, WINDOW = 50, 16
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 _HALF = (LENGTH - WINDOW + 1) // 2
-_FLUSH_BYTES = 24 << 20
+_FLUSH_BYTES = 12 << 20
 _LAST = (1 << 63) - 1
 _PLACE = 40
 
@@ -120,6 +120,7 @@ def _entries(buckets: int):
                 if size >= _FLUSH_BYTES and kept:
                     yield flush(kept)
                     kept, size = [], 0
+                    K.trim()
         if kept:
             yield flush(kept)
 
@@ -185,6 +186,7 @@ def _answers(groups: int):
                 if b != bucket and kept:
                     yield from replies(kept)
                     kept = []
+                    K.trim()
                 bucket = b
                 kept.append((docs, hashes))
         if kept:
