@@ -70,9 +70,8 @@ def train_on(
     models.out_of_fold(scored, [*make, *BASELINES]).write.mode("overwrite").parquet(f"{out}/fuera_de_pliegue")
     summary = evaluate.fold_summary(evaluate.ranking_metrics(scored, ["modelo", "fold", "split"], "puntaje"))
     summary.write.mode("overwrite").parquet(f"{out}/comparacion")
-    comparison = sinks.read_table(spark, f"{out}/comparacion")
-    order = [F.desc("pr_auc_val_media"), "modelo"]
-    name = comparison.filter(F.col("modelo").isin(list(make))).orderBy(*order).first()["modelo"]
+    comparison = sinks.read_table(spark, f"{out}/comparacion").orderBy(F.desc("pr_auc_val_media"), "modelo")
+    name = comparison.filter(F.col("modelo").isin(list(make))).first()["modelo"]
     own = scored.filter((F.col("modelo") == name) & (F.col("split") == "val"))
     threshold = float(evaluate.best_threshold(evaluate.threshold_curve(own, "puntaje", costs)).first()["umbral"])
     model, result = models.final_test(feats, test, make[name](feats.count()), threshold, w, costs)

@@ -197,3 +197,12 @@ def test_final_test_has_baselines(training):
     assert set(got) == {"modelo", "tasa", "dias_desde_ultimo_viaje"}
     m = got["modelo"]
     assert m.vp + m.fp + m.fn + m.vn == 400 and abs(got["tasa"].roc_auc - 0.5) < 1e-12
+
+
+def test_a_null_group_is_a_group(spark):
+    rows = [(g, i % 2, i / 10) for g in ("m", None) for i in range(8)]
+    df = spark.createDataFrame(rows, "modelo string, etiqueta int, puntaje double")
+    got = {r.modelo: r for r in E.ranking_metrics(df, ["modelo"], "puntaje").collect()}
+    assert set(got) == {"m", None} and got[None].pr_auc == got["m"].pr_auc and got[None].n == 8
+    profile = {r.modelo: r for r in E.segment_profile(df, "modelo", ["puntaje"]).collect()}
+    assert profile[None].puntaje == profile["m"].puntaje == 0.35

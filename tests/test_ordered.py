@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelake.operators import ordered
-from farelake.operators.cdc import as_of, current_state, versions
+from farelake.operators.cdc import as_of, current_state, versions, registry_status
 from farelake.operators.dedup import content_ids, first_reads, ranked_ids, repeat_reads
 
 
@@ -153,3 +153,19 @@ def test_as_of_lookup(spark):
     hist = versions(_log(spark), "k", ["perfil", "zona"])
     got = {r.id: (r.perfil, r.version_seq) for r in as_of(events, hist, "k", "fecha_hora", ["perfil"]).collect()}
     assert got == {0: (None, None), 1: ("p1", 1), 2: ("p1", 2), 3: ("p3", 4), 4: ("p3", 4), 5: (None, None)}
+
+
+def test_sparse_sequences_have_few_blocks(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("k"), (F.col("id") * (1 << 22)).alias("seq"), F.col("id").alias("t"))
+    blocks = ordered.sequence_blocks(df, "seq", 16)
+    sizes = [r["count"] for r in blocks.groupBy(ordered.BLOCK).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 5000 / 16
+
+
+def test_changes_without_a_place_in_the_log_have_no_state(spark):
+    log = spark.createDataFrame(
+        [("a", None, "INSERT", "x"), ("b", 1, "INSERT", "y"), ("b", None, "DELETE", None), (None, 3, "INSERT", "z"), ("c", 4, None, "w")],
+        "k string, seq long, op string, perfil string",
+    ).withColumn("commit_ts", F.lit("2026-01-01").cast("timestamp_ntz"))
+    got = current_state(log, "k", ["perfil"]).withColumn("estado", registry_status(F.col("ultima_operacion")))
+    assert sorted((r.k, r.perfil, r.estado) for r in got.collect()) == [("b", "y", "ACTIVO"), ("c", None, None)]
