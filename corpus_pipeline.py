@@ -28,7 +28,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that also stand in a document with a smaller id are cut out; the document stays."""
-    whole = docs.withColumns({"text": F.col("text"), "whole_row": F.struct(*docs.columns)})
+    rest = [c for c in docs.columns if c != "text"]
+    whole = docs.select("doc_id", "text", F.struct(*rest).alias("whole_row"))
     cut = suffix_dedup.dedup(whole, ["whole_row"], suffix_dedup.remaining, suffix_dedup.REMAINING)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
     return cut.select(*(new.get(c, F.col("whole_row").getField(c)).alias(c) for c in docs.columns))

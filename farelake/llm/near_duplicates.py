@@ -165,7 +165,9 @@ def _shared_buckets(signed: DataFrame) -> DataFrame:
     shared = tables.written(banded.join(sizes, "bucket"))
     degrees = shared.groupBy("key").agg(F.sum("n").alias("degree"))
     rank = F.struct("degree", F.xxhash64("key").alias("at"), "key").alias("rank")
-    return tables.written(shared.join(degrees, "key").select("bucket", "key", rank))
+    ranked = tables.written(shared.join(degrees, "key").select("bucket", "key", rank))
+    tables.drop(banded, shared)
+    return ranked
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -326,12 +328,15 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = tables.written(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        tables.drop(now)
         now, before = after, seen
         seen = _checksum(now)
         if seen == before:
             break
     roots = now.select(F.col("u").alias("key"), F.col("v").alias("root"))
-    return roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
+    roots = tables.written(roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct()))
+    tables.drop(now)
+    return roots
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -342,21 +347,29 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     shared = _shared_buckets(signed)
     hubs = shared.groupBy("bucket").agg(F.max("rank").alias("r")).select("bucket", F.col("r.key").alias("hub"))
     pairs = shared.join(hubs, "bucket").filter("key <> hub").select(F.col("key").alias("x"), F.col("hub").alias("y"))
-    tested = tables.written(_compared(docs, ids, tables.written(pairs.distinct())))
+    pairs = tables.written(pairs.distinct())
+    tested = tables.written(_compared(docs, ids, pairs))
+    tables.drop(shared, pairs)
     links = tested.filter(F.col("sim") >= least)
-    roots = tables.written(components(links))
+    roots = components(links)
     more = tables.written(_resolved(docs, ids, tested, roots, least))
     if not more.isEmpty():
-        roots = tables.written(components(links.select("x", "y").unionByName(more)))
+        first, roots = roots, components(links.select("x", "y").unionByName(more))
+        tables.drop(first)
+    tables.drop(tested, more)
     named = ids.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     names = named.groupBy("root").agg(F.min("of_id").alias("class_id"))
     named = named.join(names, "root").select("key", "class_id")
-    return signed.select("doc_id", "key").join(named, "key").select("doc_id", "key", "class_id")
+    found = signed.select("doc_id", "key").join(named, "key").select("doc_id", "key", "class_id")
+    found.reads = [signed, roots]
+    return found
 
 
 def first_of_class(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row of each class, that with the least id, with all its columns."""
-    inside = tables.written(classes(docs, least))
+    found = classes(docs, least)
+    inside = tables.written(found)
+    tables.drop(*found.reads)
     kept = inside.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
     # Of equal ids in one class the least text stays; ids are few per class, texts stay where they are joined once.
     kept = kept.groupBy("doc_id", "class_id").agg(F.min("key").alias("key"), F.count("*").alias("n"))

@@ -47,4 +47,14 @@ def written(df: DataFrame) -> DataFrame:
     """Cut the lineage through a table in the shared folder."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def drop(*written_tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for table in written_tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
