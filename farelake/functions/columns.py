@@ -135,10 +135,6 @@ def zone_kind(zone: Column) -> Column:
     return F.when(zone.startswith("Zona "), "ZONA_GUATEMALA").otherwise("MUNICIPIO")
 
 
-def bool_int(flag: Column) -> Column:
-    return F.coalesce(flag, F.lit(False)).cast("int")
-
-
 def share(part: Column, whole: Column) -> Column:
     """Proportion of two exact counts."""
     return part.cast("double") / whole

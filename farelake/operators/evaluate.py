@@ -44,11 +44,6 @@ def stratified_folds(
     return dealt.select(unit, label, F.pmod(F.col("_rn") - 1, folds).cast("int").alias("fold"))
 
 
-def hashed_folds(df: DataFrame, unit: str = "unidad_id", folds: int = C.FOLDS) -> DataFrame:
-    """Folds balanced only on average, without any shuffle."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(unit), folds).cast("int"))
-
-
 def attach_folds(df: DataFrame, folds: DataFrame, unit: str = "unidad_id") -> DataFrame:
     """Use a stored assignment; a unit without one is an error raised by the job itself."""
     joined = df.join(folds.select(unit, F.col("fold").alias("_fold")), unit, "left")

@@ -128,11 +128,6 @@ def registry_log(df: DataFrame) -> DataFrame:
     )
 
 
-def card_catalogue(df: DataFrame, card: str) -> DataFrame:
-    """Distinct known cards of an operator that delivers no registry."""
-    return df.select(card).filter(F.col(card).isNotNull()).distinct()
-
-
 def build(frames: dict[str, DataFrame], tu_ids: str = "content") -> dict[str, DataFrame]:
     return {
         "stg_tm_estaciones": tm_stations(frames["tm_estaciones"]),
