@@ -6,8 +6,8 @@ Method. A rolling hash over ``WINDOW`` bytes runs along each document. The trigg
 place of the (leftmost) least hash in it; that depends on the string alone, and every such string holds one. Strings that
 follow each other with the same trigger form a phrase, so a document is parsed into phrases that equal passages share.
 
-1. *Parse.* Each phrase becomes an entry of 12 bytes (hashes of the trigger, the phrase, and half a context to both
-   sides) and its document. Entries meet by trigger. A phrase that also occurs in a smaller document goes whole. Of
+1. *Parse.* Each phrase becomes an entry of 16 bytes (32 bits of its trigger's hash, 64 of its own, and 16 of half a
+   context to each side) and its document. Entries meet by trigger. A phrase that also occurs in a smaller document goes whole. Of
    the others, a first occurrence has to be looked at if another phrase has the same trigger and half context: any
    string of ``LENGTH`` bytes that two phrases share holds the trigger and one of the half contexts.
 2. *Dictionary.* Documents get these answers, drop the repeated phrases, and send the bytes of the phrases in doubt,
@@ -48,8 +48,8 @@ _PLACE = 40
 def parse(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, window: int = WINDOW) -> dict[str, np.ndarray]:
     """Phrases in order: document, first and last start of their strings, trigger place, and their hashes."""
     if len(data) < length:
-        none = np.empty(0, np.int64)
-        return dict(doc=none, first=none, last=none, place=none, code=none.astype(np.uint64), left=none, right=none)
+        none, empty = np.empty(0, np.int64), np.empty(0, np.uint64)
+        return dict(doc=none, first=none, last=none, place=none, trigger=empty, code=empty, left=none, right=none)
     sums = K.prefix_sums(data)
     at = np.arange(len(data) - window + 1)
     rolling = K.span_hashes(sums, at, at + window)
@@ -67,13 +67,12 @@ def parse(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, window: i
     first, last, place = start[head], start[tail], place[head]
     doc = owner[first]
     trigger = K.mix(rolling[place] + np.uint64(1))
-    phrase = K.mix(K.span_hashes(sums, first, last + length) + (place - first).astype(np.uint64))
+    code = K.mix(K.span_hashes(sums, first, last + length) + (place - first).astype(np.uint64))
     half = (length - window + 1) // 2
     left = K.span_hashes(sums, np.maximum(place - half, offsets[doc]), place)
     right = K.span_hashes(sums, place + window, np.minimum(place + window + half, offsets[doc + 1]))
     return dict(
-        doc=doc, first=first, last=last, place=place, trigger=trigger,
-        code=((trigger >> np.uint64(32)) << np.uint64(32)) | (phrase >> np.uint64(32)),
+        doc=doc, first=first, last=last, place=place, trigger=trigger, code=code,
         left=(left >> np.uint64(48)).astype(np.uint16), right=(right >> np.uint64(48)).astype(np.uint16),
     )
 
@@ -97,13 +96,15 @@ def _entries(buckets: int):
         bucket = (trigger % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((code, doc, bucket))
         bucket, code, left, right, doc = (x[order] for x in (bucket, code, left, right, doc))
+        trigger = (trigger[order] >> np.uint64(32)).astype(np.uint32)
         new = np.ones(len(code), dtype=bool)
         new[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])
-        bucket, code, left, right, doc = (x[new] for x in (bucket, code, left, right, doc))
+        bucket, trigger, code, left, right, doc = (x[new] for x in (bucket, trigger, code, left, right, doc))
         used, bounds = np.unique(bucket, return_index=True)
         rows = []
         for b, i, j in zip(used.tolist(), bounds.tolist(), [*bounds[1:].tolist(), len(bucket)]):
-            rows.append((b, _packed_longs(doc[i:j]), code[i:j].tobytes() + left[i:j].tobytes() + right[i:j].tobytes()))
+            hashes = b"".join(x[i:j].tobytes() for x in (code, trigger, left, right))
+            rows.append((b, _packed_longs(doc[i:j]), hashes))
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["bucket", "docs", "hashes"]
         )
@@ -140,16 +141,16 @@ def _group_min_max(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _judge(docs: np.ndarray, code: np.ndarray, left: np.ndarray, right: np.ndarray):
+def _judge(docs: np.ndarray, code: np.ndarray, trigger: np.ndarray, left: np.ndarray, right: np.ndarray):
     """Of one bucket: (document, code) of repeated phrases, and of first occurrences in doubt."""
-    order = np.lexsort((docs, code))
-    docs, code, left, right = docs[order], code[order], left[order], right[order]
+    order = np.lexsort((docs, code, trigger))
+    docs, code, trigger, left, right = docs[order], code[order], trigger[order], left[order], right[order]
     head = np.ones(len(code), dtype=bool)
-    head[1:] = code[1:] != code[:-1]
+    head[1:] = (code[1:] != code[:-1]) | (trigger[1:] != trigger[:-1])
     at = np.flatnonzero(head)
     least = docs[at]
     repeated = docs > least[np.cumsum(head) - 1]
-    trigger = code[at] >> np.uint64(32) << np.uint64(32)
+    trigger = trigger[at].astype(np.uint64) << np.uint64(32)
     doubt = np.zeros(len(at), dtype=bool)
     for side, context in enumerate((left, right)):
         doubt |= _group_min_max(trigger | np.uint64(side << 16) | context[at].astype(np.uint64), least)
@@ -165,7 +166,8 @@ def _answers(groups: int):
         parts = []
         for d, h in zip(docs, hashes):
             n = len(d)
-            parts.append((np.frombuffer(h, np.uint64, n), np.frombuffer(h, np.uint16, n, 8 * n), np.frombuffer(h, np.uint16, n, 10 * n)))
+            kinds = ((np.uint64, 0), (np.uint32, 8), (np.uint16, 12), (np.uint16, 14))
+            parts.append([np.frombuffer(h, k, n, at * n) for k, at in kinds])
         found = _judge(np.concatenate(docs), *(np.concatenate(x) for x in zip(*parts)))
         rows = []
         for kind, (doc, code) in enumerate(found):
@@ -293,7 +295,7 @@ def _settle(finish: Callable, schema: pa.Schema):
                 for q in doubt.tolist():
                     a, b = p["first"][q], p["last"][q] + LENGTH
                     _add(rows, {
-                        "q_trigger": int(p["code"][q] >> np.uint64(32)), "q_code": int(p["code"][q].view(np.int64)),
+                        "q_trigger": int(p["trigger"][q] >> np.uint64(32)), "q_code": int(p["code"][q].view(np.int64)),
                         "q_doc": int(keys[begin + p["doc"][q]]), "q_lead": int(p["place"][q] - a), "q_text": data[a:b].tobytes(),
                     })
                 yield pa.RecordBatch.from_arrays([_array(rows[f.name], f.type) for f in schema], schema=schema)

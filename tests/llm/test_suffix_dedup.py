@@ -81,3 +81,10 @@ def test_no_documents(spark):
     assert suffix_dedup.dedup(docs, ["doc_id"]).count() == 0
     one = docs.unionByName(spark.range(1).select(F.lit(1).cast("long").alias("doc_id"), F.lit("w " * 99).alias("text")))
     assert [tuple(r)[1:4] for r in suffix_dedup.dedup(one, ["doc_id"]).collect()] == [(198, 0, 0)]
+
+
+def test_texts_that_agree_in_half_of_their_hashes(spark):
+    line = "the licence text that every file here repeats "[:42]
+    rows = [(1, line + "55awdx0x"), (2, line + "cittjhh3"), (3, line + "i1ktv5ao"), (4, line + "x1wa3kg4")]
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows) and not any(r.n_removed for r in got)
