@@ -14,9 +14,12 @@ follow each other with the same trigger form a phrase, so a document is parsed i
    each distinct one from its first document only.
 3. *Suffix array.* The suffixes of these phrases are sorted by their first ``LENGTH`` bytes; neighbours in that order
    that agree are occurrences of one string, whose least document keeps it. The answers go back to the documents.
+4. *Crowded triggers.* Of a trigger with more than ``CROWD`` phrases in doubt no task takes all. These phrases go as 128-bit
+   hashes of their strings, each with its least document once for a group of documents, and meet by string.
 
 Strings are judged on the input. Text moves once, and a second time for documents with phrases in doubt. All groups
-are by hash and of bounded size; the number of buckets follows from the bytes of the input.
+are by hash; the number of buckets follows from the bytes of the input. Only the entries of one trigger stay together,
+16 bytes and a document each.
 
 Null and empty texts have nothing to remove. Rows with equal ids do not judge each other. A row with a null id counts
 as larger than all others.
@@ -30,7 +33,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.llm import kernels as K
@@ -39,6 +42,8 @@ from farelake.llm.fingerprints import _window_min
 
 LENGTH, WINDOW = 50, 16
 BUCKET_BYTES = 8 << 20
+CROWD = 1000
+_FLUSH_STRINGS = 1 << 19
 _HALF = (LENGTH - WINDOW + 1) // 2
 _FLUSH_BYTES = 12 << 20
 _LAST = (1 << 63) - 1
@@ -142,7 +147,7 @@ def _group_min_max(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _judge(docs: np.ndarray, code: np.ndarray, trigger: np.ndarray, left: np.ndarray, right: np.ndarray):
-    """Of one bucket: (document, code) of repeated phrases, and of first occurrences in doubt."""
+    """Of one bucket: (document, code) of repeated phrases, of first occurrences in doubt, and of those on crowded triggers."""
     order = np.lexsort((docs, code, trigger))
     docs, code, trigger, left, right = docs[order], code[order], trigger[order], left[order], right[order]
     head = np.ones(len(code), dtype=bool)
@@ -154,11 +159,14 @@ def _judge(docs: np.ndarray, code: np.ndarray, trigger: np.ndarray, left: np.nda
     doubt = np.zeros(len(at), dtype=bool)
     for side, context in enumerate((left, right)):
         doubt |= _group_min_max(trigger | np.uint64(side << 16) | context[at].astype(np.uint64), least)
-    return (docs[repeated], code[repeated]), (least[doubt], code[at][doubt])
+    _, which, counts = np.unique(trigger[doubt], return_inverse=True, return_counts=True)
+    crowded = counts[which] > CROWD
+    least, first = least[doubt], code[at][doubt]
+    return (docs[repeated], code[repeated]), (least[~crowded], first[~crowded]), (least[crowded], first[crowded])
 
 
 def _answers(groups: int):
-    """Rows ``(g, kind, docs, codes)`` from buckets that arrive in order; kind 0: repeated, 1: in doubt."""
+    """Rows ``(g, kind, docs, codes)`` from buckets that arrive in order; kind 0: repeated, 1: in doubt, 2: in doubt on a crowded trigger."""
 
     def replies(kept):
         docs, hashes = zip(*kept)
@@ -202,6 +210,25 @@ def _named(docs: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return K.mix(codes + K.mix(docs.astype(np.uint64)))
 
 
+def _string_names(data: np.ndarray, sums: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the strings of ``LENGTH`` bytes that start at ``at``."""
+    two = np.zeros(len(at), dtype=np.uint64)
+    for step in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+        eight = np.lib.stride_tricks.sliding_window_view(data, 8)[at + step]
+        two = K.mix(two * np.uint64(K._MULTIPLIER) + eight.view("<u8").ravel())
+    return K.span_hashes(sums, at, at + LENGTH), two
+
+
+def _least_of_strings(one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
+    """Each distinct string with its least and its greatest document."""
+    order = np.lexsort((doc, two, one))
+    one, two, doc = one[order], two[order], doc[order]
+    head = np.ones(len(one), dtype=bool)
+    head[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    at = np.flatnonzero(head)
+    return [one[at].view(np.int64), two[at].view(np.int64), doc[at], doc[np.append(at[1:], len(doc)) - 1]]
+
+
 def _runs_of(first: np.ndarray, last: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of bytes covered by strings that start in ``first..last``; both sorted."""
     if not len(first):
@@ -255,11 +282,23 @@ def _in_groups(batches):
 def _settle(finish: Callable, schema: pa.Schema):
     """Texts with their answers: finished rows, or open rows and their phrases in doubt."""
 
+    def flush(group, strings):
+        found = _least_of_strings(*(np.concatenate(x) for x in zip(*strings)))
+        columns = dict(zip(("g", "s_one", "s_two", "s_least", "s_most"), [np.full(len(found[0]), group), *found]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(found[0]), f.type) for f in schema],
+            schema=schema,
+        )
+
     def run(batches):
         group, docs, codes, kinds, tables_ = None, [], [], [], None
+        strings, size = [], 0
         packer = zstandard.ZstdCompressor(level=3)
         for g, is_text, batch in _in_groups(batches):
             if g != group:
+                if strings:
+                    yield flush(group, strings)
+                strings, size = [], 0
                 group, docs, codes, kinds, tables_ = g, [], [], [], None
             if not is_text:
                 for kind, d, c in zip(*(batch.column(x).to_pylist() for x in ("kind", "docs", "codes"))):
@@ -271,15 +310,25 @@ def _settle(finish: Callable, schema: pa.Schema):
             if tables_ is None:
                 name = _named(np.concatenate(docs), np.concatenate(codes)) if docs else np.empty(0, np.uint64)
                 kind = np.concatenate(kinds) if docs else np.empty(0, np.int64)
-                tables_ = [K.Lookup(np.sort(name[kind == k])) for k in (0, 1)]
+                tables_ = [K.Lookup(np.sort(name[kind == k])) for k in (0, 1, 2)]
             for batch, keys, begin, end, data, offsets in _text_pieces(batch):
                 p = parse(data, offsets)
                 name = _named(keys[begin + p["doc"]], p["code"])
                 repeated = np.zeros(len(name), dtype=bool)
                 repeated[tables_[0].find(name)[0]] = True
-                doubt = tables_[1].find(name)[0]
+                doubt, crowded = tables_[1].find(name)[0], tables_[2].find(name)[0]
+                if len(crowded):
+                    counts = p["last"][crowded] - p["first"][crowded] + 1
+                    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                    at = np.repeat(p["first"][crowded], counts) + inner
+                    doc = keys[begin + np.repeat(p["doc"][crowded], counts)]
+                    strings.append((*_string_names(data, K.prefix_sums(data), at), doc))
+                    size += len(at)
+                    if size >= _FLUSH_STRINGS:
+                        yield flush(group, strings)
+                        strings, size = [], 0
                 rows = {c: [] for c in schema.names}
-                in_doubt = set(p["doc"][doubt].tolist())
+                in_doubt = {*p["doc"][doubt].tolist(), *p["doc"][crowded].tolist()}
                 bounds = np.searchsorted(p["doc"], np.arange(end - begin + 1)).tolist()
                 for i in range(end - begin):
                     own = np.flatnonzero(repeated[bounds[i] : bounds[i + 1]]) + bounds[i]
@@ -299,6 +348,8 @@ def _settle(finish: Callable, schema: pa.Schema):
                         "q_doc": int(keys[begin + p["doc"][q]]), "q_lead": int(p["place"][q] - a), "q_text": data[a:b].tobytes(),
                     })
                 yield pa.RecordBatch.from_arrays([_array(rows[f.name], f.type) for f in schema], schema=schema)
+        if strings:
+            yield flush(group, strings)
 
     return run
 
@@ -366,35 +417,58 @@ def _suffixes(batches):
 
 
 def _close(finish: Callable, schema: pa.Schema):
-    """Open texts with the answers from the suffix array."""
+    """Open texts with the answers from the suffix array, and with the strings of crowded triggers (kind 1)."""
+
+    def repeated_strings(keys, data, offsets, strings):
+        """Starts of strings that a smaller document than their own has, rising."""
+        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        at = np.flatnonzero(owner[: max(0, len(data) - LENGTH + 1)] == owner[LENGTH - 1 :])
+        table, twos, least = strings
+        one, two = _string_names(data, K.prefix_sums(data), at)
+        hit, which = table.find(one)
+        at, two = at[hit], two[hit]
+        return at[(twos[which] == two) & (least[which] < keys[owner[at]])]
 
     def run(batches):
-        group, found = None, {}
+        group, found, crowd, strings = None, {}, [], None
         for g, is_text, batch in _in_groups(batches):
             if g != group:
-                group, found = g, {}
+                group, found, crowd, strings = g, {}, [], None
             if not is_text:
+                of_strings = batch.column("kind").to_numpy() == 1
+                some = batch.filter(pa.array(of_strings))
+                if some.num_rows:
+                    crowd.append([some.column(c).to_numpy() for c in ("code", "starts", "doc_key")])
+                batch = batch.filter(pa.array(~of_strings))
                 for doc, code, starts in zip(*(batch.column(c).to_pylist() for c in ("doc_key", "code", "starts"))):
                     found.setdefault(doc, {})[code] = starts
                 continue
+            if crowd:
+                one, two, least = (np.concatenate(x) for x in zip(*crowd))
+                one, at = np.unique(one.view(np.uint64), return_index=True)
+                strings, crowd = (K.Lookup(one), two[at].view(np.uint64), least[at]), []
             for batch, keys, begin, end, data, offsets in _text_pieces(batch):
                 runs = batch.column("runs")
                 p = parse(data, offsets)
                 codes = p["code"].view(np.int64)
                 bounds = np.searchsorted(p["doc"], np.arange(end - begin + 1)).tolist()
+                common = repeated_strings(keys[begin:end], data, offsets, strings) if strings and len(data) >= LENGTH else np.empty(0, np.int64)
+                cuts = np.searchsorted(common, offsets).tolist()
                 rows = {c: [] for c in schema.names}
                 for i in range(end - begin):
                     first, last = np.frombuffer(runs[begin + i].as_py(), dtype=np.int64).reshape(2, -1)
-                    answers = found.get(int(keys[begin + i]))
+                    answers = found.get(int(keys[begin + i]), {})
+                    starts = (common[cuts[i] : cuts[i + 1]] - offsets[i]).tolist()
                     if answers:
                         own = codes[bounds[i] : bounds[i + 1]]
                         hit = np.flatnonzero(np.isin(own, np.fromiter(answers, np.int64, len(answers)))) + bounds[i]
-                        starts = [
+                        starts += [
                             p["first"][q] - offsets[i] + b
                             for q in hit.tolist()
                             for b in range(int(p["last"][q] - p["first"][q]) + 1)
                             if answers[int(codes[q])] >> b & 1
                         ]
+                    if starts:
                         first = np.concatenate([first, np.array(starts, dtype=np.int64)])
                         last = np.concatenate([last - LENGTH, np.array(starts, dtype=np.int64)])
                         order = np.argsort(first, kind="stable")
@@ -466,7 +540,7 @@ def dedup(docs: DataFrame, rest: list[str], finish: Callable = digest, kind: str
     done = f"rest {rest_type.simpleString()}, {kind}"
     settled = (
         f"{done}, g long, doc_key long, packed binary, runs binary, q_trigger long, q_code long, q_doc long, q_lead int, "
-        "q_text binary"
+        "q_text binary, s_one long, s_two long, s_least long, s_most long"
     )
     shape = lambda ddl: _arrow(spark.createDataFrame([], ddl).schema)
     state = tables.written(both.mapInArrow(_settle(finish, shape(settled)), settled))
@@ -479,10 +553,16 @@ def dedup(docs: DataFrame, rest: list[str], finish: Callable = digest, kind: str
         F.col("q_code").alias("code"), "starts", none("binary").alias("packed"), none("binary").alias("runs"),
         none(rest_type).alias("rest"),
     )
+    whole = Window.partitionBy("s_one", "s_two")
+    common = state.filter("s_one is not null").withColumn("least", F.min("s_least").over(whole)).filter("least < s_most")
+    common = common.select(
+        "g", F.lit(1).alias("kind"), F.col("least").alias("doc_key"), F.col("s_one").alias("code"),
+        F.col("s_two").alias("starts"), none("binary").alias("packed"), none("binary").alias("runs"), none(rest_type).alias("rest"),
+    )
     open_ = state.filter("runs is not null").select(
         "g", F.lit(9).alias("kind"), "doc_key", none("long").alias("code"), none("long").alias("starts"), "packed", "runs", "rest"
     )
-    closing = open_.unionByName(found).repartition(n, "g").sortWithinPartitions("g", "kind")
+    closing = open_.unionByName(found).unionByName(common).repartition(n, "g").sortWithinPartitions("g", "kind")
     closed = closing.mapInArrow(_close(finish, shape(done)), done)
     names = [c.split()[0] for c in kind.split(", ")]
     settled_rows = state.filter("rest is not null and runs is null").select("rest", *names)

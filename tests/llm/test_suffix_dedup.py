@@ -88,3 +88,24 @@ def test_texts_that_agree_in_half_of_their_hashes(spark):
     rows = [(1, line + "55awdx0x"), (2, line + "cittjhh3"), (3, line + "i1ktv5ao"), (4, line + "x1wa3kg4")]
     got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()
     assert sorted(map(tuple, got), key=str) == plain(rows) and not any(r.n_removed for r in got)
+
+
+def test_a_crowded_trigger_is_spread(spark, monkeypatch):
+    rnd = random.Random(7)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    line = text(80)
+    rows = [(i, line + text(60)) for i in rnd.sample(range(9000), 1500)] + [(None, line + text(60)), (None, line + text(60))]
+    rows += [(9000 + i, text(70) + line[:60] + text(30)) for i in range(20)] + [(rows[0][0], line + text(55))]
+    suffixes = suffix_dedup._suffixes
+
+    def bounded(batches):
+        taken = {}
+        for batch in batches:
+            for trigger in batch.column("q_trigger").to_pylist():
+                taken[trigger] = taken.get(trigger, 0) + 1
+                assert taken[trigger] <= 1000
+            yield from suffixes([batch])
+
+    monkeypatch.setattr(suffix_dedup, "_suffixes", bounded)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, suffix_dedup.dedup(docs, ["doc_id"]).collect()), key=str) == plain(rows)
