@@ -1,10 +1,10 @@
 """Benchmark decontamination.
 
-Method: the n-grams of every test item are counted over all documents; its seeds are those that are rare for it, at most
-``RARE`` times as frequent as its median n-gram that occurs at all, so an item that leaked everywhere still has seeds. Seeds join documents to items; where enough seeds of an item
-fall on one stretch of a document, Smith-Waterman alignment of words scores the stretch, with replaced, added and left
-out words. A stretch is a leak if its score reaches ``SHARE`` of what the whole item would score, or if it holds a
-passage of ``PASSAGE`` matching words with at least four in five alike.
+Method: all n-grams of a test item are its seeds, however frequent, so that what is found in a document depends on that
+document and the item only. Seeds join documents to items; where enough seeds of an item fall on one stretch of a
+document and a bound on the words they share allows a leak, Smith-Waterman alignment of words scores the stretch, with
+replaced, added and left out words. A stretch is a leak if its score reaches ``SHARE`` of what the whole item would
+score, or if it holds a passage of ``PASSAGE`` matching words with at least four in five alike.
 
 Items are taken in blocks whose size is bounded (``BLOCK_CHARS`` on average); each block is sent to all tasks and
 checked against all documents. Documents are never collected or dropped to limit the work.
@@ -16,8 +16,6 @@ documents are checked on their own; items with equal words are all reported.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,10 +23,11 @@ from pyspark.sql import functions as F
 
 from farelake.llm import kernels as K
 
-GRAM, MIN_SEEDS, RARE = 3, 2, 4
+GRAM, MIN_SEEDS = 3, 2
 SHARE, PASSAGE, ALIKE = 0.5, 13, 0.8
 MATCH, MISS, GAP = 2, -1, -1
 BLOCK_CHARS = 4_000_000
+_MEETINGS = 1 << 21
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int, int]:
@@ -73,8 +72,15 @@ class Items:
             if len(words):
                 for place, h in enumerate(K.gram_hashes(words, min(gram, len(words))).tolist()):
                     places.setdefault(h, []).append((item, place))
-        self.table = K.Lookup(np.array(sorted(places), dtype=np.uint64))
-        self.places = [places[h] for h in sorted(places)]
+        found = sorted(places)
+        self.table = K.Lookup(np.array(found, dtype=np.uint64))
+        # By n-gram and item: the items that hold it, and where.
+        self.item = np.array([i for h in found for i, _ in places[h]], dtype=np.int64)
+        self.place = np.array([x for h in found for _, x in places[h]], dtype=np.int64)
+        self.keys = np.repeat(np.arange(len(found)), [len(places[h]) for h in found]) * len(rows) + self.item
+        self.slack = np.array([max(4, len(w) // 4) for w in self.words], dtype=np.int64)
+        self.needed = np.array([min(MIN_SEEDS, len(set(self._grams(w).tolist()))) for w in self.words], dtype=np.int64)
+        self.known = [np.unique(w) for w in self.words]
 
     def hits(self, words: np.ndarray):
         """Places of n-grams of any item, and their numbers."""
@@ -83,16 +89,27 @@ class Items:
         at, which = (np.concatenate([f[i] for f in found] or [np.empty(0, int)]) for i in (0, 1))
         return at, which, sizes
 
-    def choose_seeds(self, frequency: np.ndarray) -> None:
-        """Each item's n-grams that occur and are not much more frequent than the middle one of these."""
-        own: list[list[int]] = [[] for _ in self.words]
-        for g, places in enumerate(self.places):
-            for item, _ in places:
-                if frequency[g]:
-                    own[item].append(g)
-        limit = [RARE * sorted(frequency[g])[len(g) // 2] if g else 0 for g in own]
-        self.seeds = [[(i, p) for i, p in places if frequency[g] <= limit[i]] for g, places in enumerate(self.places)]
-        self.needed = [min(MIN_SEEDS, len({int(g) for g in w})) for w in map(self._grams, self.words)]
+    def stretches(self, at: np.ndarray, which: np.ndarray):
+        """Of the n-grams ``which`` at ``at`` of one document: (item, first and last start) where enough fall together."""
+        n = len(self.words)
+        total = (np.searchsorted(self.keys, (which + 1) * n) - np.searchsorted(self.keys, which * n)).sum()
+        bounds = np.linspace(0, n, min(n, int(total // _MEETINGS) + 1) + 1).astype(np.int64)
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            begin, end = np.searchsorted(self.keys, which * n + low), np.searchsorted(self.keys, which * n + high)
+            counts = end - begin
+            from_ = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            item, start, gram = self.item[from_], np.repeat(at, counts) - self.place[from_], np.repeat(which, counts)
+            if not len(item):
+                continue
+            order = np.lexsort((start, item))
+            item, start, gram = item[order], start[order], gram[order]
+            new = np.ones(len(item), dtype=bool)
+            new[1:] = (item[1:] != item[:-1]) | (start[1:] > start[:-1] + self.slack[item[1:]])
+            number, heads = np.cumsum(new) - 1, np.flatnonzero(new)
+            tails = np.append(heads[1:], len(item)) - 1
+            distinct = np.bincount(np.unique(number * len(self.table.table) + gram) // len(self.table.table))
+            enough = distinct >= self.needed[item[heads]]
+            yield from zip(item[heads[enough]].tolist(), start[heads[enough]].tolist(), start[tails[enough]].tolist())
 
     def _grams(self, words: np.ndarray) -> np.ndarray:
         return K.gram_hashes(words, min(self.gram, len(words))) if len(words) else words
@@ -115,62 +132,43 @@ def _pieces(batch, items: Items):
             yield begin + d, words[first[d] : first[d + 1]], at[a:b] - first[d], which[a:b]
 
 
-def _frequencies(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents each n-gram of the items stands."""
-
-    def run(batches):
-        counts = np.zeros(len(items.places), dtype=np.int64)
-        for batch in batches:
-            for _, _, _, which in _pieces(batch, items):
-                counts[np.unique(which)] += 1
-        used = np.flatnonzero(counts)
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["g", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(items.places), dtype=np.int64)
-    for r in rows:
-        out[r.g] = r.n
-    return out
+def _may_leak(known: np.ndarray, size: int, words: np.ndarray) -> tuple[bool, bool]:
+    """Whether words of the item stand dense enough for the share of the whole item, and for a passage."""
+    index = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    member = known[index] == words
+    score = np.concatenate([[0], np.cumsum(np.where(member, MATCH, MISS))])
+    whole = (score - np.minimum.accumulate(score)).max() >= SHARE * MATCH * size
+    alike = np.concatenate([[0], np.cumsum(np.where(member, 1 - ALIKE, -ALIKE))])
+    passage = len(words) >= PASSAGE and (alike[PASSAGE:] - np.minimum.accumulate(alike[:-PASSAGE])).max() >= -1e-6
+    return bool(whole), bool(passage)
 
 
 def _find(items: Items, words: np.ndarray, at: np.ndarray, which: np.ndarray):
     """Leaks in one document: item, score, matching words, first and end word of the best stretch of each item."""
-    by_item: dict[int, list[tuple[int, int]]] = {}
-    for place, g in zip(at.tolist(), which.tolist()):
-        for item, p in items.seeds[g]:
-            by_item.setdefault(item, []).append((place - p, g))
-    for item, found in by_item.items():
+    best: dict[int, tuple[int, int, int, int]] = {}
+    for item, start, last in items.stretches(at, which):
+        size, slack = len(items.words[item]), int(items.slack[item])
+        low = max(0, start - slack)
+        stretch = words[low : last + size + slack]
+        if not any(_may_leak(items.known[item], size, stretch)):
+            continue
+        score, matches, first, end = align(items.words[item], stretch)
+        if item not in best or score > best[item][0]:
+            best[item] = (score, matches, low + first, low + end)
+    for item, (score, matches, first, end) in best.items():
         size = len(items.words[item])
-        slack = max(4, size // 4)
-        found.sort()
-        best = None
-        stretch: list[tuple[int, int]] = []
-        for start, g in [*found, (math.inf, -1)]:
-            if stretch and start > stretch[-1][0] + slack:
-                if len({x for _, x in stretch}) >= items.needed[item]:
-                    low = max(0, stretch[0][0] - slack)
-                    score, matches, first, end = align(items.words[item], words[low : stretch[-1][0] + size + slack])
-                    if best is None or score > best[0]:
-                        best = (score, matches, low + first, low + end)
-                stretch = []
-            stretch.append((start, g))
-        if best and (
-            best[0] >= SHARE * MATCH * size or best[1] >= PASSAGE and best[1] >= ALIKE * (best[3] - best[2])
-        ):
-            yield item, best[0] / (MATCH * size), *best[1:]
-
-
-def item_blocks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
-    """Blocks of items with their seeds chosen; the size of the benchmark is measured first."""
+        if score >= SHARE * MATCH * size or matches >= PASSAGE and matches >= ALIKE * (end - first):
+            yield item, score / (MATCH * size), matches, first, end
+
+
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
+    """Blocks of items with their seeds; the size of the benchmark is measured first."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     chars = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     blocks = chars // block_chars + 1
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        one = Items(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])))
-        one.choose_seeds(_frequencies(docs, one))
-        yield one
+        yield Items(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -180,7 +178,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
     names = ["doc_id", "item_id", "score", "n_matched", "first_word", "end_word"]
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
     out = None
-    for items in item_blocks(docs, benchmark, block_chars):
+    for items in item_blocks(benchmark, block_chars):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, sent=sent):
@@ -201,7 +199,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows without a leak of any item, with all their columns."""
-    for items in list(item_blocks(docs, benchmark, block_chars)):
+    for items in list(item_blocks(benchmark, block_chars)):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, sent=sent):

@@ -206,3 +206,13 @@ def test_nothing_to_check(spark):
     assert decontamination.without_leaks(docs, items.limit(0)).count() == 1
     assert decontamination.leaks(docs.limit(0), items).count() == 0
     assert decontamination.leaks(docs, items.unionByName(items)).count() == 2
+
+
+def test_a_passage_in_many_documents_and_a_whole_copy_in_one(spark):
+    rnd = random.Random(11)
+    item = prose(rnd, 40)
+    shared = " ".join(item.split(" ")[:15])
+    rows = [(i, prose(rnd, 5) + " " + shared + " " + prose(rnd, 20), "x") for i in range(200)]
+    for more in ([], [(900, item, "x")]):
+        got = leaked(spark, rows + more, [(1, item)])
+        assert {r.doc_id for r in got} == {r[0] for r in rows + more}
