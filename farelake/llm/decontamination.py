@@ -4,7 +4,9 @@ Method: all n-grams of a test item are its seeds, however frequent, so that what
 document and the item only. Seeds join documents to items; where enough seeds of an item fall on one stretch of a
 document and a bound on the words they share allows a leak, Smith-Waterman alignment of words scores the stretch, with
 replaced, added and left out words. A stretch is a leak if its score reaches ``SHARE`` of what the whole item would
-score, or if it holds a passage of ``PASSAGE`` matching words with at least four in five alike.
+score, or if it holds a passage of ``PASSAGE`` matching words with at least four in five alike. Every stretch is tested. A passage may stand
+anywhere in a stretch, whatever scores higher around it: where the best alignment as a whole is no leak, a second one
+counts matches for each number of unlike words. In that one words left out of the item count as unlike too.
 
 Items are taken in blocks whose size is bounded (``BLOCK_CHARS`` on average); each block is sent to all tasks and
 checked against all documents. Documents are never collected or dropped to limit the work.
@@ -59,6 +61,37 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int, int]:
     return best
 
 
+def _most_unlike() -> list[int]:
+    """For each number of unlike words the least matches of a passage. A longer passage holds one below twice ``PASSAGE``."""
+    out: list[int] = []
+    for matches in range(PASSAGE, 2 * PASSAGE):
+        while matches + 1e-9 >= ALIKE * (matches + len(out)):
+            out.append(matches)
+    return out
+
+
+def passage(item: np.ndarray, words: np.ndarray) -> tuple[int, int] | None:
+    """First and end word in ``words`` of a passage with enough alike, on any path. Memory is linear."""
+    n, one = len(words), np.int64(1) << 32
+    least = np.array(_most_unlike(), dtype=np.int64)[:, None] << 32
+    # Of the best path to each cell with so many unlike words: matches above, first word below.
+    fresh = np.arange(n + 1)
+    before = np.tile(fresh, (len(least), 1))
+    for word in item:
+        now = np.tile(fresh, (len(least), 1))
+        now[:, 1:] = np.where(words == word, before[:, :-1] + one, now[:, 1:])
+        now[1:, 1:] = np.maximum(now[1:, 1:], before[:-1, :-1])
+        now[1:] = np.maximum(now[1:], before[:-1])
+        for u in range(1, len(now)):
+            now[u, 1:] = np.maximum(now[u, 1:], now[u - 1, :-1])
+        found = np.argwhere(now >= least)
+        if len(found):
+            u, end = found[0]
+            return int(now[u, end] & (one - 1)), int(end)
+        before = now
+    return None
+
+
 class Items:
     """Words, n-grams and seeds of a block of test items."""
 
@@ -147,18 +180,23 @@ def _find(items: Items, words: np.ndarray, at: np.ndarray, which: np.ndarray):
     """Leaks in one document: item, score, matching words, first and end word of the best stretch of each item."""
     best: dict[int, tuple[int, int, int, int]] = {}
     for item, start, last in items.stretches(at, which):
-        size, slack = len(items.words[item]), int(items.slack[item])
-        low = max(0, start - slack)
+        own, slack = items.words[item], int(items.slack[item])
+        size, low = len(own), max(0, start - slack)
         stretch = words[low : last + size + slack]
-        if not any(_may_leak(items.known[item], size, stretch)):
+        whole, part = _may_leak(items.known[item], size, stretch)
+        if not whole and not part:
             continue
-        score, matches, first, end = align(items.words[item], stretch)
+        score, matches, first, end = align(own, stretch)
+        if score < SHARE * MATCH * size and (matches < PASSAGE or matches < ALIKE * (end - first)):
+            found = passage(own, stretch) if part else None
+            if found is None:
+                continue
+            score, matches, first, end = align(own, stretch[found[0] : found[1]])
+            first, end = found[0] + first, found[0] + end
         if item not in best or score > best[item][0]:
             best[item] = (score, matches, low + first, low + end)
-    for item, (score, matches, first, end) in best.items():
-        size = len(items.words[item])
-        if score >= SHARE * MATCH * size or matches >= PASSAGE and matches >= ALIKE * (end - first):
-            yield item, score / (MATCH * size), matches, first, end
+    for item, (score, *rest) in best.items():
+        yield item, score / (MATCH * len(items.words[item])), *rest
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):

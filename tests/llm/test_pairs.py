@@ -216,3 +216,40 @@ def test_a_passage_in_many_documents_and_a_whole_copy_in_one(spark):
     for more in ([], [(900, item, "x")]):
         got = leaked(spark, rows + more, [(1, item)])
         assert {r.doc_id for r in got} == {r[0] for r in rows + more}
+
+
+def test_a_passage_beside_a_looser_copy(spark):
+    rnd = random.Random(12)
+    item = prose(rnd, 60).split(" ")
+    loose = lambda a, b: [w if k % 3 else prose(rnd, 1) for k, w in enumerate(item[a:b])]
+    apart, other = prose(rnd, 90), prose(rnd, 30)
+    exact = item[:14]
+    rows = [
+        (1, " ".join([other, *exact, *loose(14, 44), other]), "x"),
+        (2, " ".join([*loose(14, 58), apart, *exact]), "x"),
+        (3, " ".join([other, *exact[:6], "new", *exact[7:12], "more", *exact[12:], *item[14:16], *loose(16, 40)]), "x"),
+        (4, " ".join(loose(0, 44)), "x"),
+        (5, " ".join([other, *exact[:12], apart]), "x"),
+    ]
+    got = leaked(spark, rows, [(1, " ".join(item))])
+    assert {r.doc_id for r in got} == {1, 2, 3}
+    assert all(r.n_matched >= decontamination.PASSAGE for r in got)
+
+
+def test_passages_against_all_paths():
+    rnd = random.Random(13)
+    for _ in range(60):
+        x = [rnd.randint(0, 30) for _ in range(24)]
+        y = [w if rnd.random() > 0.2 else rnd.randint(0, 30) for w in x if rnd.random() > 0.05]
+        most = {}  # (i, j, unlike) -> matches
+        for i in range(len(x) + 1):
+            for j in range(len(y) + 1):
+                for u in range(8):
+                    ways = [0]
+                    if i and j and x[i - 1] == y[j - 1]:
+                        ways.append(most[i - 1, j - 1, u] + 1)
+                    if u:
+                        ways += [most[a, b, u - 1] for a, b in ((i - 1, j - 1), (i - 1, j), (i, j - 1)) if a >= 0 <= b]
+                    most[i, j, u] = max(ways)
+        want = any(m >= 13 and m >= 4 * u for (_, _, u), m in most.items())
+        assert (decontamination.passage(np.array(x), np.array(y)) is not None) == want
