@@ -1,9 +1,10 @@
-"""Licence scans with a positional index of rare words.
+"""Licence scans with a positional index of words.
 
 Method: how rare each licence word is follows from the number of documents that hold it, counted over all documents.
-For each file its licence words with the highest IDF are looked up in the index of templates, which gives the place of
-each word in each template. Words that are as far apart in the file as in a template agree on one offset; a template
-with enough rare words on one offset is a candidate, and is a finding if all its mandatory phrases stand in the file.
+A template is a candidate if all its mandatory phrases stand in the file. All licence words of the file are looked up in
+the index of its words, which gives the place of each. Words that are as far apart in the file as in the template agree
+on one offset; a candidate with enough words on one offset is a finding, whatever else the file holds. Its weight is that
+of the ``RARE`` words of highest IDF found on an offset.
 Base findings are places where the words of a base phrase stand one after another.
 
 Words are runs of bytes ``[0-9a-z]`` or beyond ASCII after lower-casing A-Z; they don't cross documents. Null and
@@ -83,11 +84,16 @@ class Index:
         by_hash = sorted((int(K.hash_words(w)[0]), w) for w in self.words)
         self.table = K.Lookup(np.array([h for h, _ in by_hash], dtype=np.uint64))
         self.order = [w for _, w in by_hash]
-        self.postings = {
-            i: [(t, p) for t, x in enumerate(words) for p, y in enumerate(x) if y == w] for i, w in enumerate(self.order)
-        }
-        self.in_template = [sorted({self.order.index(w) for w in x}) for x in words]
+        number = {w: i for i, w in enumerate(self.order)}
+        # For each template, of each word: where its places begin, and the places.
+        self.postings = []
+        for x in words:
+            held = np.array([number[w] for w in x], dtype=np.int64)
+            places = np.argsort(held, kind="stable")
+            self.postings.append((np.searchsorted(held[places], np.arange(len(self.order) + 1)), places))
+        self.in_template = [sorted({number[w] for w in x}) for x in words]
         self.mandatory = [[K.hash_words(p) for p in phrases] for _, _, phrases in templates]
+        self.asked = [{number[w] for p in phrases for w in p.split() if w in number} for _, _, phrases in templates]
 
 
 def _phrase_places(words: np.ndarray, phrase: np.ndarray) -> np.ndarray:
@@ -127,22 +133,29 @@ def document_frequencies(docs: DataFrame, index: Index) -> tuple[int, np.ndarray
 
 def _scan(index, idf, words, at, which, rare, agree):
     """Labels of one file and its best share of a template's weight. ``at``: places of licence words."""
-    distinct = sorted(set(which.tolist()), key=lambda w: (-idf[w], w))[:rare]
-    chosen = set(distinct)
-    votes: dict[tuple[int, int], set[int]] = {}
-    for place, word in zip(at.tolist(), which.tolist()):
-        if word in chosen:
-            for template, p in index.postings[word]:
-                votes.setdefault((template, place - p), set()).add(word)
+    present = set(which.tolist())
     labels, best = set(), 0.0
-    for (template, _), found in votes.items():
-        if len(found) < agree:
+    for template, (begin, places) in enumerate(index.postings):
+        if not index.asked[template] <= present:
             continue
         if not all(len(_phrase_places(words, p)) for p in index.mandatory[template]):
             continue
+        counts = begin[which + 1] - begin[which]
+        from_ = np.repeat(begin[which] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        offset, word = np.repeat(at, counts) - places[from_], np.repeat(which, counts)
+        low = offset.min(initial=0)
+        offset, word = np.divmod(np.unique((offset - low) * len(idf) + word), len(idf))
+        weight = np.asarray(idf)[word]
+        order = np.lexsort((-weight, offset))
+        offset, weight = offset[order], weight[order]
+        _, heads, found = np.unique(offset, return_index=True, return_counts=True)
+        if not (found >= agree).any():
+            continue
         labels.add(index.labels[template])
+        rank = np.arange(len(offset)) - np.repeat(heads, found)
+        share = np.add.reduceat(np.where(rank < rare, weight, 0.0), heads)[found >= agree].max()
         top = sorted((idf[w] for w in index.in_template[template]), reverse=True)[:rare]
-        best = max(best, min(1.0, sum(idf[w] for w in found) / max(sum(top), 1e-9)))
+        best = max(best, min(1.0, float(share) / max(sum(top), 1e-9)))
     return labels, best
 
 

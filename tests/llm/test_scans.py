@@ -145,3 +145,13 @@ def arrays(texts):
     raw = [t.encode() for t in texts]
     np = kernels.np
     return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
+def test_a_file_with_many_notices(spark):
+    notices = [text for _, text, _ in licences.TEMPLATES]
+    rows = [(i, text) for i, text in enumerate(notices)] + [(100, " --- ".join(notices))]
+    rows += [(200 + i, "licensed under cc by nc 4 0 and cc by sa") for i in range(40)]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    every = {label for label, _, _ in licences.TEMPLATES}
+    assert set().union(*(got[i].labels.split(",") for i in range(len(notices)))) >= every
+    assert every <= set(got[100].labels.split(","))
