@@ -2,9 +2,9 @@
 
 Method: a k-mer of bytes is an anchor if, of its inner substrings, the one with the smallest hash lies at its first or
 last place. That depends on the k-mer alone, so equal passages have equal anchors whatever surrounds them. A
-fingerprint keeps the anchors with the smallest hashes, with the place of their first occurrence. The likeness of two
-fingerprints is the share of anchors, among the smallest of both together, that both hold in the same order (longest
-chain of places that rise in both).
+fingerprint keeps all distinct anchors, with the place of their first occurrence. The likeness of two fingerprints is
+the share of anchors, among those of both together, that both hold in the same order (longest chain of places that rise
+in both). Callers may ask for the ``size`` anchors of smallest hash only.
 
 A text too short for an anchor has its whole hash as its only anchor; a null or empty text has an empty fingerprint,
 like only to another empty one. Equal texts have equal fingerprints. Rows with a null id come last in the order by
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from farelake.llm import kernels as K
 from farelake.llm import tables
 
-KMER, INNER, ANCHORS = 24, 8, 48
+KMER, INNER, ANCHORS = 24, 8, None
 _FLUSH_CHARS = 1 << 19
 _LOWEST = -(1 << 63)
 
@@ -59,7 +59,7 @@ def syncmers(data: np.ndarray, offsets: np.ndarray, k: int = KMER, s: int = INNE
     return at, K.span_hashes(sums, at, at + k)
 
 
-def fingerprints(texts: list[str], k: int = KMER, s: int = INNER, size: int = ANCHORS) -> list[tuple[list, list]]:
+def fingerprints(texts: list[str], k: int = KMER, s: int = INNER, size: int | None = ANCHORS) -> list[tuple[list, list]]:
     """For each text the hashes of its anchors, rising, and their places."""
     raw = [t.encode() for t in texts]
     offsets = np.cumsum([0, *map(len, raw)])
@@ -75,7 +75,7 @@ def fingerprints(texts: list[str], k: int = KMER, s: int = INNER, size: int = AN
     bounds = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
     out = []
     for i, (begin, end) in enumerate(zip(bounds, bounds[1:])):
-        end = min(end, begin + size)
+        end = end if size is None else min(end, begin + size)
         if begin < end:
             out.append((hashes[begin:end].tolist(), (at[begin:end] - offsets[i]).tolist()))
         elif raw[i]:
@@ -91,7 +91,7 @@ def to_text(fingerprint: tuple[list, list]) -> str:
     return base64.b64encode(packed).decode()
 
 
-def likeness(x: tuple[list, list], y: tuple[list, list], size: int = ANCHORS) -> float:
+def likeness(x: tuple[list, list], y: tuple[list, list], size: int | None = ANCHORS) -> float:
     if x == y:
         return 1.0
     if not x[0] or not y[0]:
@@ -148,7 +148,7 @@ def _pairs(rows):
             held = (block, doc_id, text)
 
 
-def compare_neighbours(docs: DataFrame, k: int = KMER, s: int = INNER, size: int = ANCHORS, blocks: int | None = None):
+def compare_neighbours(docs: DataFrame, k: int = KMER, s: int = INNER, size: int | None = ANCHORS, blocks: int | None = None):
     """Fingerprints of each row of ``docs(doc_id, text)`` and of its edited text, compared with each other and with the
     next row's (see the module for the order). The last third of an edited text comes from the start of the next."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

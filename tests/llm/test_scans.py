@@ -155,3 +155,14 @@ def test_a_file_with_many_notices(spark):
     every = {label for label, _, _ in licences.TEMPLATES}
     assert set().union(*(got[i].labels.split(",") for i in range(len(notices)))) >= every
     assert every <= set(got[100].labels.split(","))
+
+
+def test_long_texts_that_share_a_passage():
+    import random
+
+    rnd = random.Random(5)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnop ") for _ in range(n))
+    shared = text(3000)
+    a, b = (fingerprints.fingerprints([text(60_000) + shared + text(40_000)])[0] for _ in range(2))
+    least = len(fingerprints.fingerprints([shared])[0][0])
+    assert fingerprints.likeness(a, b) == pytest.approx(least / len({*a[0], *b[0]}), rel=0.02)
