@@ -6,7 +6,8 @@ batch that is retried after a failure replaces what it wrote. Readers take the n
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,27 @@ from pyspark.sql import functions as F
 BATCH = "lote"
 
 
+# State on local disk with its changes logged under the checkpoint: a micro-batch costs what it touches, not what is kept.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; the session's settings are put back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in ROCKSDB}
+    for key, value in ROCKSDB.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def batch_writer(out: str) -> Callable[[DataFrame, int], None]:
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
