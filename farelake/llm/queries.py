@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from farelake.llm import (
     chat,
     decontamination,
+    filter_audit,
     fingerprints,
+    lexical_search,
     licences,
     near_duplicates,
     quality,
+    sharding,
     suffix_dedup,
     tables,
     token_counts,
@@ -72,6 +76,25 @@ def op10_quality(spark, sf):
     return quality.score(docs, quality.train(docs, tables.read(spark, sf, "labels", "doc_id", "quality")))
 
 
+SHARDS = 24
+
+
+def op11_sharding(spark, sf):
+    placed = sharding.assign(tables.read(spark, sf, "documents", "doc_id", "text"), SHARDS)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op12_lexical_search(spark, sf):
+    docs = tables.read(spark, sf, "documents", "doc_id", "text")
+    return lexical_search.search(docs, tables.read(spark, sf, "benchmark", "item_id", "text"))
+
+
+def op13_filter_audit(spark, sf):
+    labels = tables.read(spark, sf, "labels", "doc_id", "quality", "toxic")
+    docs = filter_audit.read_documents(spark, f"{sf}/documents.parquet").select("doc_id", "text", "source")
+    return filter_audit.audit(docs, labels, f"{tables.shared_dir(spark)}/audit-{tables.uuid.uuid4().hex}")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +108,9 @@ QUERIES = {
         op8_fingerprints,
         op9_near_duplicates,
         op10_quality,
+        op11_sharding,
+        op12_lexical_search,
+        op13_filter_audit,
     )
 }
 
@@ -179,9 +205,101 @@ WITH RECURSIVE d AS (
 SELECT doc_id, class_id FROM d JOIN t USING (w) JOIN classes USING (node)
 """
 
+_SHARDS = """
+WITH crc AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY i) AS steps
+  FROM range(256) t(i)
+), d AS (
+  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size,
+    CAST(xor(4294967295, list_reduce(
+      [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+        lambda x: CAST('0x' || x AS BIGINT)),
+      lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]))) AS BIGINT) AS text_crc32
+  FROM documents, crc
+), placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS LAST, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS upto,
+    row_number() OVER (ORDER BY doc_id NULLS LAST, size, text_crc32) AS nth, sum(size) OVER () AS total
+  FROM d
+), dealt AS (SELECT *, CAST((2 * upto - size) * 24 // (2 * total) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  nth - min(nth) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM dealt
+"""
+
+_RANKED = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), q AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), asked AS (SELECT i, item_id, term, count(*) AS times FROM q GROUP BY ALL
+), size AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM d WHERE len(w) > 0
+), bags AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight
+  FROM bags, size GROUP BY term, n_docs
+), lengths AS (
+  SELECT r, doc_id, 75 + CAST((25 * len(w) * n_docs) // n_words AS BIGINT) AS m FROM d, size
+), scored AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN bags USING (term) JOIN weights USING (term) JOIN lengths USING (r) GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+_AUDIT = r"""
+WITH marked AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), d AS (
+  SELECT coalesce(source, '') AS part, coalesce(text, '') AS t, coalesce(doc_id, 9223372036854775807) AS id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM documents LEFT JOIN marked USING (doc_id)
+), masks AS (
+  SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f
+    WHEN 'A' THEN len(w) < 50 WHEN 'B' THEN 100 * len(list_distinct(w)) < 65 * len(w)
+    WHEN 'C' THEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t)
+    WHEN 'D' THEN regexp_matches(t, '[#$%&*|]') ELSE id > least END) AS fails
+  FROM (SELECT *, min(id) OVER (PARTITION BY t) AS least FROM d)
+), counts AS (SELECT part, good, toxic, fails, count(*) AS n FROM masks GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), tested AS (
+  SELECT part, array_to_string(o, '') AS filter_order, CAST(step AS INTEGER) AS step, o[step] AS f, n, good, toxic, fails,
+    list_contains(fails, o[step]) AS here, list_has_any(fails, o[1:step - 1]) AS gone
+  FROM counts, steps
+), sums AS (
+  SELECT part, filter_order, step, f,
+    sum(n) FILTER (NOT here AND NOT gone) AS kept, sum(n) FILTER (here AND NOT gone) AS removed,
+    sum(n) FILTER (here AND gone) AS redundant, sum(n) FILTER (fails = [f]) AS unique_fails,
+    sum(n) FILTER (here AND NOT gone AND good = 1) AS good_lost, sum(n) FILTER (here AND NOT gone AND toxic = 1) AS toxic_lost
+  FROM tested GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM sums
+"""
+
 SQL = {
     "op3_chat": _CHAT,
     "op4_suffix_dedup": _PASSAGES,
     "op6_warc": _ARCHIVES,
     "op9_near_duplicates": _CLASSES,
+    "op11_sharding": _SHARDS,
+    "op12_lexical_search": _RANKED,
+    "op13_filter_audit": _AUDIT,
 }
