@@ -4,13 +4,15 @@ Method: the files arrive as micro-batches. Which of the filters A to D a text fa
 by column expressions. Filter E, a copy of a text with a smaller id, depends on what else has arrived: state keyed by the
 digest of the text holds the least id so far and who holds it. A document with a larger id than the least fails E; when a
 smaller id arrives, the earlier holder's mask is retracted from the counter of its part and counted again with E set.
-What leaves the state are changes of counters by (part, mask, labels), added up over the micro-batches; after the last one
-they are those of the whole table in whatever order its files came. The report for all orders of the filters is computed
-from these counters.
+What comes of a micro-batch are changes of counters by (part, mask, labels), added up over the micro-batches; after the
+last one they are those of the whole table in whatever order its files came. The report for all orders of the filters is
+computed from these counters.
 
-Before the state, each task folds chunks of ``CHUNK`` rows: of each text only the holders of the chunk's least id go on,
-and all others are already known to fail E, so that a text with a third of all rows sends one row a chunk. State lies in
-RocksDB under the checkpoint in the shared folder, so a lost executor or a restart goes on from the last micro-batch.
+Before rows meet the state they are counted by text, part, mask and labels with partial sums on the map side, so a text
+with a third of all rows is a few rows. The state is a table of the shared folder with one row a text and kind of holder
+(digest, id, counts; no texts). A micro-batch merges it with its own rows and writes the next generation: its cost grows
+with the state, so micro-batches are taken few and large (``BATCHES``), and the work of a run is linear in its input. A
+retried micro-batch reads the generation before it and writes its own anew; a restart goes on from the last one.
 
 A null text is empty; a null source is the part ``''``; a null id is greater than all others. Rows with the same id and
 text are copies of each other, not of a smaller id, so none fails E for the other. Several label rows of an id count as 1
@@ -19,24 +21,22 @@ where any is 1. An empty table gives no rows. Texts of any length are read whole
 
 from __future__ import annotations
 
-from collections import Counter
 from itertools import permutations
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql.window import Window
 
 from farelake.llm import tables
 from farelake.streaming import updates
 
 FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
-CHUNK = 50_000
+BATCHES = 4
 _LAST_ID = (1 << 63) - 1
-_ROW = "key binary, id long, part string, mask int, good int, toxic int, n long"
-_COUNT = "part string, mask int, good int, toxic int, n long"
 _CLASS = ["part", "mask", "good", "toxic"]
+_COUNT = "part string, mask int, good int, toxic int, n long"
+_STATE = f"key binary, {_COUNT}, low long"
 
 
 def measured(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -61,129 +61,58 @@ def measured(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = tables.written(marked.filter((F.col("good") == 1) | (F.col("toxic") == 1)))
     return short.join(known, "doc_id", "left").select(
         "key", F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), "part", "mask",
-        F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"), F.lit(1).cast("long").alias("n"),
+        F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"),
     )
 
 
-def _fold(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """Holders of the least id of each text, and counts of the others without a text."""
-    df = pa.Table.from_batches(rows).to_pandas()
-    first = df["id"] == df.groupby("key")["id"].transform("min")
-    held = df[first].groupby(["key", "id", *_CLASS], as_index=False)["n"].sum()
-    rest = df[~first].assign(mask=df["mask"] | COPY).groupby(_CLASS, as_index=False)["n"].sum()
-    columns = {}
-    for name, kind in zip(("key", "id", *_CLASS, "n"), (pa.binary(), pa.int64(), pa.string(), *[pa.int32()] * 3, pa.int64())):
-        other = rest[name].tolist() if name in rest else [None] * len(rest)
-        columns[name] = pa.array(held[name].tolist() + other, kind)
-    return pa.RecordBatch.from_pydict(columns)
-
-
-def folded(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Fewer rows with the same counts: see the module's text."""
-
-    def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= chunk:
-                yield _fold(held)
-                held, size = [], 0
-        if size:
-            yield _fold(held)
-
-    return rows.mapInArrow(run, _ROW)
-
-
-class LeastIds(StatefulProcessor):
-    """Keeps the least id of each text of a bucket and gives the changes of the counters."""
-
-    MOST = 20_000
-
-    def init(self, handle) -> None:
-        holders = "array<struct<part string, mask int, good int, toxic int, n long>>"
-        self.least = handle.getMapState("least", "key binary", f"id long, holders {holders}")
-
-    def handleInputRows(self, key, rows, timers):
-        changes: Counter = Counter()
-        fresh: dict[bytes, tuple[int, Counter]] = {}
-        for r in rows:
-            kind = (r.part, r.mask, r.good, r.toxic)
-            if r.key is None:
-                changes[kind] += r.n
-                continue
-            text = bytes(r.key)
-            if text not in fresh and len(fresh) >= self.MOST:
-                self._settle(fresh, changes)
-                fresh = {}
-            fresh[text] = self._merged(fresh.get(text), r.id, Counter({kind: r.n}), changes)
-        self._settle(fresh, changes)
-        for kind, n in changes.items():
-            if n:
-                yield Row(part=kind[0], mask=kind[1], good=kind[2], toxic=kind[3], n=n)
-
-    @staticmethod
-    def _fail(holders: Counter, changes: Counter) -> None:
-        for (part, mask, good, toxic), n in holders.items():
-            changes[part, mask | COPY, good, toxic] += n
-
-    def _merged(self, known, new_id, holders, changes):
-        """Who holds the least id of two; the others fail E."""
-        if known is None:
-            return new_id, holders
-        if known[0] == new_id:
-            return new_id, known[1] + holders
-        lower, higher = sorted([known, (new_id, holders)], key=lambda x: x[0])
-        self._fail(higher[1], changes)
-        return lower
-
-    def _settle(self, fresh, changes) -> None:
-        for text, (new_id, holders) in fresh.items():
-            stored = self.least.getValue((text,))
-            if stored is None:
-                now = (new_id, holders)
-                changes.update(holders)
-            elif stored[0] < new_id:
-                self._fail(holders, changes)
-                continue
-            else:
-                old = Counter({tuple(h[:4]): h[4] for h in stored[1]})
-                if stored[0] == new_id:
-                    now = (new_id, old + holders)
-                else:  # retract the holder so far
-                    changes.subtract(old)
-                    self._fail(old, changes)
-                    now = (new_id, holders)
-                changes.update(holders)
-            self.least.updateValue((text,), (now[0], [(*kind, n) for kind, n in now[1].items()]))
-
-    def close(self) -> None:
-        pass
-
-
-def changes(stream: DataFrame, labels: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Changes of the counters as a stream."""
-    buckets = 8 * tables.parts(stream.sparkSession)
-    rows = folded(measured(stream, labels), chunk)
-    spread = F.when(F.col("key").isNull(), F.xxhash64(*_CLASS)).otherwise(F.xxhash64("key"))
-    return (
-        rows.withColumn("bucket", F.pmod(spread, F.lit(buckets)))
-        .groupBy("bucket")
-        .transformWithState(LeastIds(), _COUNT, "append", "none")
+def merged(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """State rows and new rows by text and class, with the least id of the text over both.
+
+    ``n`` documents of the class hold the row's own least id ``low``; ``more`` new ones have larger ids.
+    """
+    by_id = rows.groupBy("key", *_CLASS, "id").agg(F.count(F.lit(1)).alias("n"))
+    total = by_id.groupBy("key", *_CLASS).agg(
+        F.sum("n").alias("total"), F.min("id").alias("low"), F.min_by("n", "id").alias("n")
     )
+    fresh = total.select("key", *_CLASS, "n", "low", (F.col("total") - F.col("n")).alias("more"), F.lit(True).alias("is_new"))
+    known = state.select("*", F.lit(0).cast("long").alias("more"), F.lit(False).alias("is_new"))
+    least = F.min("low").over(Window.partitionBy("key"))  # as many rows as kinds of holders
+    return fresh.unionByName(known).select("*", (F.col("low") == least).alias("holds"))
 
 
-def count_masks(stream: DataFrame, labels: DataFrame, out: str, chunk: int = CHUNK) -> DataFrame:
+def next_state(rows: DataFrame) -> DataFrame:
+    """Who holds the least id of each text, from :func:`merged`."""
+    return rows.filter("holds").groupBy("key", *_CLASS, "low").agg(F.sum("n").alias("n")).select("key", *_CLASS, "n", "low")
+
+
+def changes(rows: DataFrame) -> DataFrame:
+    """Changes of the counters, from :func:`merged`: new documents counted, earlier holders retracted."""
+    n = F.col("n")
+    first = F.when(F.col("is_new") & F.col("holds"), n).when(~F.col("is_new") & ~F.col("holds"), -n).otherwise(0)
+    later = F.col("more") + F.when(~F.col("holds"), n).otherwise(0)
+    both = F.array(
+        F.struct(F.col("mask"), first.alias("n")), F.struct(F.col("mask").bitwiseOR(F.lit(COPY)).alias("mask"), later.alias("n"))
+    )
+    counted = rows.select("part", "good", "toxic", F.explode(both).alias("c")).select("part", "c.mask", "good", "toxic", "c.n")
+    return counted.filter("n <> 0").groupBy(*_CLASS).agg(F.sum("n").alias("n"))
+
+
+def count_masks(stream: DataFrame, labels: DataFrame, out: str) -> DataFrame:
     """Process all there is; documents by (part, mask, good, toxic). Run again, it goes on with files that came since."""
     spark = stream.sparkSession
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        total = rows.groupBy(*_CLASS).agg(F.sum("n").alias("n"))
-        total.write.mode("overwrite").parquet(f"{out}/counts/{updates.BATCH}={batch_id}")
-
-    spark.createDataFrame([], _COUNT).write.mode("overwrite").parquet(f"{out}/counts/{updates.BATCH}=-1")
-    with updates.rocksdb(spark):
-        updates.run_available(changes(stream, labels, chunk), f"{out}/checkpoint", write)
+        state = spark.read.schema(_STATE).parquet(f"{out}/state-{batch_id - 1}")
+        table = tables.written(merged(rows, state))
+        next_state(table).write.mode("overwrite").parquet(f"{out}/state-{batch_id}")
+        changes(table).write.mode("overwrite").parquet(f"{out}/counts/{updates.BATCH}={batch_id}")
+        tables.drop(table)
+        tables.drop_path(spark, f"{out}/state-{batch_id - 2}")
+
+    if not tables.exists(spark, f"{out}/counts"):
+        spark.createDataFrame([], _STATE).write.mode("overwrite").parquet(f"{out}/state--1")
+        spark.createDataFrame([], _COUNT).write.parquet(f"{out}/counts/{updates.BATCH}=-1")
+    updates.run_available(measured(stream, labels), f"{out}/checkpoint", write)
     found = spark.read.schema(f"{_COUNT}, {updates.BATCH} long").parquet(f"{out}/counts")
     return found.groupBy(*_CLASS).agg(F.sum("n").alias("n"))
 
@@ -226,12 +155,9 @@ def report(counts: DataFrame) -> DataFrame:
     )
 
 
-def audit(stream: DataFrame, labels: DataFrame, out: str, chunk: int = CHUNK) -> DataFrame:
+def audit(stream: DataFrame, labels: DataFrame, out: str) -> DataFrame:
     """The report over all files of ``stream(doc_id, text, source)`` with ``labels(doc_id, quality, toxic)``."""
-    return report(count_masks(stream, labels, out, chunk))
-
-
-BATCHES = 4
+    return report(count_masks(stream, labels, out))
 
 
 def read_documents(spark, path: str, files_per_batch: int | None = None) -> DataFrame:

@@ -52,9 +52,22 @@ def written(df: DataFrame) -> DataFrame:
     return table
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def drop(*written_tables: DataFrame) -> None:
     """Delete tables of :func:`written` that nothing reads any more."""
     for table in written_tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_path(table.sparkSession, table.written_to)

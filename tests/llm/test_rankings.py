@@ -205,12 +205,11 @@ def as_dict(report):
     return {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in report.collect()}
 
 
-@pytest.mark.parametrize("chunk", [3, 50_000])
-def test_audit_retracts_over_batches(spark, tmp_path, chunk):
+def test_audit_retracts_over_batches(spark, tmp_path):
     files, docs = files_of_documents()
     write_files(spark, f"{tmp_path}/in", files)
     stream = filter_audit.read_documents(spark, f"{tmp_path}/in", files_per_batch=1)
-    got = filter_audit.audit(stream, label_frame(spark), f"{tmp_path}/out", chunk)
+    got = filter_audit.audit(stream, label_frame(spark), f"{tmp_path}/out")
     assert as_dict(got) == plain_audit(docs, LABELS)
     assert spark.read.parquet(f"{tmp_path}/out/counts").filter("n < 0").count() > 0  # something was retracted
 
@@ -225,25 +224,14 @@ def test_audit_goes_on_after_a_restart(spark, tmp_path):
     assert as_dict(run()) == plain_audit(docs, LABELS)
 
 
-def test_state_settles_in_pieces():
-    class Map(dict):
-        getValue = lambda self, k: self.get(bytes(k[0]))
-        updateValue = lambda self, k, v: self.__setitem__(bytes(k[0]), v)
-
-    class Handle:
-        def getMapState(self, *_):
-            return Map()
-
-    Row = filter_audit.Row
-    one = filter_audit.LeastIds()
-    one.init(Handle())
-    one.MOST = 2
-    rows = [Row(key=bytes([k % 5]), id=100 - k, part="p", mask=k % 5, good=0, toxic=0, n=1) for k in range(40)]
-    total = Counter()
-    for a in (0, 13, 26):
-        for r in one.handleInputRows((0,), iter(rows[a : a + 13] if a < 26 else rows[a:]), None):
-            total[r.mask] += r.n
-    assert {m: n for m, n in total.items() if n} == {**{m: 1 for m in range(5)}, **{m | 16: 7 for m in range(5)}}
+def test_one_hot_text_is_few_rows_of_state(spark):
+    rows = spark.range(5000).selectExpr("unhex('00') key", "id", "cast(id % 3 as string) part", "0 mask", "0 good", "0 toxic")
+    state = spark.createDataFrame([(b"\0", "9", 0, 0, 0, 2, 7)], filter_audit._STATE)
+    table = filter_audit.merged(rows, state)
+    assert table.count() == 4
+    assert [tuple(r)[1:] for r in filter_audit.next_state(table).collect()] == [("0", 0, 0, 0, 1, 0)]
+    got = {(r.part, r.mask): r.n for r in filter_audit.changes(table).collect()}
+    assert got == {("0", 0): 1, ("0", 16): 1666, ("1", 16): 1667, ("2", 16): 1666, ("9", 0): -2, ("9", 16): 2}
 
 
 def test_audit_of_an_empty_table(spark, tmp_path):
