@@ -17,7 +17,7 @@ from farelake.operators.ordered import BLOCK, expand_copies, range_blocks, runni
 from farelake.session import materialise
 
 
-def _ordering(df: DataFrame, keys: Sequence[str], order: Sequence[str]):
+def ordering(df: DataFrame, keys: Sequence[str], order: Sequence[str]):
     """Nulls last; every column takes part, so the first row is unique up to copies."""
     rest = [c for c in df.columns if c not in keys]
     cols = [*order, *[c for c in rest if c not in order]]
@@ -31,23 +31,32 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return materialise(counted.filter(F.col("_reads") > 1).select(*keys))
 
 
+def best_rows(part: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key by one aggregate, for rows whose keys are known to repeat."""
+    best = part.groupBy(*keys).agg(F.min(ordering(part, keys, order)).alias("_r"))
+    rest = [c for c in part.columns if c not in keys]
+    return best.select(*keys, *[F.col(f"_r.{c}.value").alias(c) for c in rest]).select(*part.columns)
+
+
+def other_rows(part: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows that :func:`best_rows` leaves out, copies included."""
+    spread = part.groupBy(*part.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_r", ordering(part, keys, order))
+    firsts = part.groupBy(*keys).agg(F.min(ordering(part, keys, order)).alias("_first"))
+    rest = F.col("_n") - F.col("_r").eqNullSafe(F.col("_first")).cast("long")
+    later = spread.join(firsts, list(keys)).select(*part.columns, rest.alias("_n")).filter(F.col("_n") > 0)
+    return expand_copies(later, "_n", "_i").select(*part.columns)
+
+
 def first_reads(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``order`` (nulls last), remaining columns breaking ties."""
     again = repeated_keys(df, keys)
     once = df.join(again, list(keys), "left_anti").select(*df.columns)
-    best = df.join(again, list(keys), "left_semi").groupBy(*keys).agg(F.min(_ordering(df, keys, order)).alias("_r"))
-    rest = [c for c in df.columns if c not in keys]
-    return once.unionByName(best.select(*keys, *[F.col(f"_r.{c}.value").alias(c) for c in rest]))
+    return once.unionByName(best_rows(df.join(again, list(keys), "left_semi").select(*df.columns), keys, order))
 
 
 def repeat_reads(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows that :func:`first_reads` leaves out, copies included."""
-    part = df.join(repeated_keys(df, keys), list(keys), "left_semi").select(*df.columns)
-    spread = part.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_r", _ordering(df, keys, order))
-    firsts = part.groupBy(*keys).agg(F.min(_ordering(df, keys, order)).alias("_first"))
-    rest = F.col("_n") - F.col("_r").eqNullSafe(F.col("_first")).cast("long")
-    later = spread.join(firsts, list(keys)).select(*df.columns, rest.alias("_n")).filter(F.col("_n") > 0)
-    return expand_copies(later, "_n", "_i").select(*df.columns)
+    return other_rows(df.join(repeated_keys(df, keys), list(keys), "left_semi").select(*df.columns), keys, order)
 
 
 def content_ids(df: DataFrame, out: str) -> DataFrame:

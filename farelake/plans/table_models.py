@@ -117,35 +117,45 @@ def stream_land(spark, sf):
     return spark.read.parquet(f"{out}/bronze")
 
 
-FILES = 3
+ARRIVALS = 3
 
 
-def _line_files(spark, sf):
-    """``lineitem`` in several files, one micro-batch each, in the order in which the reads were made."""
+def _arriving_lines(spark, sf, job):
+    """``lineitem`` arrives in parts, in the order in which the reads were made; the job runs after each and goes on."""
     folder = run_dir(spark, "lines")
     lines = Q.table(spark, sf, "lineitem")
-    bounds = lines.select(F.percentile_approx("l_shipdate", [i / FILES for i in range(1, FILES)]).alias("b")).first().b
-    part = sum(((F.col("l_shipdate") > F.lit(b)).cast("int") for b in bounds), F.lit(0))
-    for i in range(FILES):
-        lines.filter(part == i).coalesce(1).write.mode("append").parquet(folder)
-    return jobs.read_files(spark, folder, Q.SCHEMAS["lineitem"], "parquet", "*.parquet", files_per_batch=1)
+    shares = [i / ARRIVALS for i in range(1, ARRIVALS)]
+    bounds = lines.select(F.percentile_approx("l_shipdate", shares).alias("b")).first().b or []
+    # reads without a time come first, so that none is left out
+    part = sum((F.coalesce(F.col("l_shipdate") > F.lit(b), F.lit(False)).cast("int") for b in bounds), F.lit(0))
+    for i in range(ARRIVALS):
+        lines.filter(part == i).write.mode("append").parquet(folder)
+        job(jobs.read_files(spark, folder, Q.SCHEMAS["lineitem"], "parquet", "*.parquet"))
 
 
 def stream_dedup(spark, sf):
-    """Keys of the reads that survive the streaming duplicate filter, over several micro-batches."""
+    """Keys of the reads that survive the streaming duplicate filter, over several runs of the job."""
     out = run_dir(spark, "dedup")
-    lines = jobs.not_future(_line_files(spark, sf), "l_shipdate", Q.AS_OF)
-    jobs.first_arrivals(lines, out, f"{out}/cp", Q.LINE_KEY, Q.LINE_ORDER)
+
+    def job(lines):
+        timely = jobs.not_future(lines, "l_shipdate", Q.AS_OF)
+        jobs.first_arrivals(timely, out, f"{out}/cp", Q.LINE_KEY, Q.LINE_ORDER)
+
+    _arriving_lines(spark, sf, job)
     return spark.read.parquet(f"{out}/primeras").select(*Q.LINE_KEY)
 
 
 def stream_quarantine(spark, sf):
     """Streaming form of the valid/quarantine split; returns both sides, told apart by the reason."""
     out = run_dir(spark, "clean")
-    jobs.clean(
-        _line_files(spark, sf), out, f"{out}/cp", "lineitem", Q.LINE_KEY, Q.LINE_ORDER, "l_shipdate",
-        Q._line_id(), Q.line_rules(), Rule(C.REASON_DUPLICATE, F.lit(True), "lectura repetida"), "month",
-    )
+
+    def job(lines):
+        jobs.clean(
+            lines, out, f"{out}/cp", "lineitem", Q.LINE_KEY, Q.LINE_ORDER, "l_shipdate",
+            Q._line_id(), Q.line_rules(), Rule(C.REASON_DUPLICATE, F.lit(True), "lectura repetida"), "month",
+        )
+
+    _arriving_lines(spark, sf, job)
     valid = spark.read.parquet(f"{out}/validos").select(
         Q._line_id().alias("id_registro"), F.lit("valido").alias("motivo"),
         F.col("l_shipdate").alias("fecha_hora_evento"),

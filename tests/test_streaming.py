@@ -87,10 +87,10 @@ def test_clean_remembers_rejected_reads_and_survives_a_batch_without_valid_rows(
 
 def test_first_arrivals_over_batches(spark, tmp_path):
     at = lambda h: datetime(2026, 1, 1, h)
-    files = [[(1, at(1), True), (1, at(0), True)], [(1, at(2), True), (2, at(3), True)], [(2, at(4), True)]]
+    files = [[(1, at(1), True), (1, at(0), True)], [(1, at(2), True), (2, at(3), True)], [(2, at(4), True), (None, at(5), True), (None, at(5), True)]]
     jobs.first_arrivals(_batches(spark, tmp_path, files), f"{tmp_path}/out", f"{tmp_path}/cp", ["id"], ["t"])
     got = spark.read.parquet(f"{tmp_path}/out/primeras")
-    assert sorted((r.id, r.t.hour) for r in got.collect()) == [(1, 0), (2, 3)]
+    assert sorted((str(r.id), r.t.hour) for r in got.collect()) == [("1", 0), ("2", 3), ("None", 5), ("None", 5)]
 
 
 @pytest.mark.parametrize("spread", [0, 4])
@@ -139,3 +139,40 @@ def test_profile_lookup_on_a_stream(spark, validations, log, tmp_path):
     assert got[1] == ("adulto_mayor", "ACTIVO")
     assert got[6] == ("general", "INACTIVO")
     assert got[4] == (None, None)
+
+
+def test_key_state_survives_a_restart_and_reads_only_its_own_batch(spark, tmp_path):
+    """Each run starts the query anew; repeats of keys read by earlier runs are still found."""
+    at = lambda h: datetime(2026, 1, 1, h)
+    runs = [[(k, at(1), True) for k in range(50)], [(k, at(2), True) for k in range(40, 60)], [(7, at(3), True), (59, at(4), True), (60, at(5), True)]]
+    rules = [Rule("malo", ~F.col("ok"), "no vale")]
+    for i, rows in enumerate(runs):
+        spark.createDataFrame(rows, "id long, t timestamp_ntz, ok boolean").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        schema = spark.read.parquet(f"{tmp_path}/in").schema
+        stream = jobs.read_files(spark, f"{tmp_path}/in", schema, "parquet", "*.parquet")
+        jobs.clean(
+            stream, f"{tmp_path}/out", f"{tmp_path}/cp", "x", ["id"], ["t"], "t", F.col("id").cast("string"), rules,
+            Rule(C.REASON_DUPLICATE, F.lit(True), "repetida"),
+        )
+    valid = spark.read.parquet(f"{tmp_path}/out/validos")
+    assert sorted(r.id for r in valid.collect()) == list(range(61))
+    bad = spark.read.parquet(f"{tmp_path}/out/cuarentena").groupBy(updates.BATCH).count()
+    assert {r[updates.BATCH]: r["count"] for r in bad.collect()} == {1: 10, 2: 2}
+    assert not os.path.exists(f"{tmp_path}/out/vistos")
+
+
+def test_marks_name_the_new_keys_of_each_batch(spark, tmp_path):
+    at = lambda h: datetime(2026, 1, 1, h)
+    files = [[(1, at(1), True), (1, at(1), True), (None, at(1), True)], [(1, at(2), True), (2, at(3), True)], [(2, at(4), True)]]
+    seen, sizes = {}, []
+
+    def write(batch, batch_id):
+        batch.persist()
+        seen[batch_id] = sorted(r.id for r in batch.filter(jobs.MARK).collect())
+        sizes.append(batch.filter(~F.col(jobs.MARK)).count())
+        batch.unpersist()
+
+    with updates.rocksdb(spark):
+        updates.run_available(jobs.mark_new_keys(_batches(spark, tmp_path, files), ["id"]), f"{tmp_path}/cp", write)
+    assert seen == {0: [1], 1: [2], 2: []} and sizes == [3, 2, 1]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
