@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from farelake import config as C
-from farelake.operators import cdc, evaluate, models
+from farelake.operators import cdc, evaluate, linear, models
 from farelake.operators.quality import Rule
 from farelake.plans import cut_features as CF
 from farelake.plans import tables as Q
@@ -39,8 +39,11 @@ def _gbt(n):
     return models.tree_pipeline(NUMERIC, models.boosting(GRID))
 
 
+L2 = linear.Spec("logistica_l2", 0.0, 100.0)
+
+
 def lr_cv(spark, sf):
-    scored = models.cross_validate(_training(spark, sf), "logistica_l2", _l2)
+    scored = models.cross_validate_logistic(_training(spark, sf), NUMERIC, [L2])
     return evaluate.fold_summary(evaluate.ranking_metrics(scored, ["modelo", "fold", "split"], "puntaje"))
 
 
@@ -82,7 +85,7 @@ def pca_segments(spark, sf):
 
 def _threshold(train):
     """The threshold of largest gain on out-of-fold scores."""
-    val = models.cross_validate(train, "logistica_l2", _l2).filter("split = 'val'")
+    val = models.cross_validate_logistic(train, NUMERIC, [L2]).filter("split = 'val'")
     return float(evaluate.best_threshold(evaluate.threshold_curve(val, "puntaje")).first()["umbral"])
 
 

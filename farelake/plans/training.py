@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake import config as C
-from farelake.operators import evaluate, models
+from farelake.operators import evaluate, linear, models
 from farelake.operators.quality import union_all
 from farelake.plans.lakehouse import Lake, cuts_table, full_load, predict
 from farelake.session import materialise
@@ -31,17 +31,24 @@ class Trained:
     package: str
 
 
-def candidates(feats: DataFrame, numeric: Sequence[str], grid: C.ModelGrid) -> dict:
-    """Pipelines by name: each penalty with its best λ, boosting and forest."""
+def candidates(feats: DataFrame, numeric: Sequence[str], grid: C.ModelGrid) -> tuple[dict, list[linear.Spec]]:
+    """Pipelines by name: each penalty with its best λ, boosting and forest; and the logistic ones as one sweep."""
     curve = materialise(models.lambda_curve(feats, numeric, grid))
     best = {r["castigo"]: r["lambda"] for r in models.best_lambda(curve).collect()}  # one row per penalty
-    out = {
-        f"logistica {name}": lambda n, r=ratio, v=best[name]: models.logistic_pipeline(numeric, r, v, n, grid)
-        for name, ratio in grid.penalties.items()
-    }
+    specs = [linear.Spec(f"logistica {name}", ratio, best[name]) for name, ratio in grid.penalties.items()]
+    out = {s.name: lambda n, s=s: models.logistic_pipeline(numeric, s.l1_ratio, s.lam, n, grid) for s in specs}
     out["boosting"] = lambda n: models.tree_pipeline(numeric, models.boosting(grid))
     out["bosque"] = lambda n: models.tree_pipeline(numeric, models.forest(grid))
-    return out
+    return out, specs
+
+
+def cross_validated(feats: DataFrame, numeric: Sequence[str], make: dict, specs: Sequence[linear.Spec], w: C.CutWindows) -> DataFrame:
+    """Scores of all candidates and baselines, each written by itself."""
+    swept = {s.name for s in specs}
+    parts = [materialise(models.cross_validate_logistic(feats, numeric, specs))]
+    parts += [models.cross_validate(feats, name, pipeline) for name, pipeline in make.items() if name not in swept]
+    parts.append(materialise(baseline_folds(feats, w)))
+    return union_all(parts)
 
 
 def baseline_folds(feats: DataFrame, w: C.CutWindows) -> DataFrame:
@@ -64,9 +71,8 @@ def train_on(
     spark = train.sparkSession
     sinks.write_once(spark.createDataFrame([(version,)], "version string"), f"{out}/prueba_unica")
     feats = materialise(evaluate.attach_folds(train, evaluate.stratified_folds(train)))
-    make = candidates(feats, numeric, grid)
-    scored = union_all([models.cross_validate(feats, name, f) for name, f in make.items()])
-    scored = materialise(scored.unionByName(baseline_folds(feats, w)))
+    make, specs = candidates(feats, numeric, grid)
+    scored = cross_validated(feats, numeric, make, specs, w)
     models.out_of_fold(scored, [*make, *BASELINES]).write.mode("overwrite").parquet(f"{out}/fuera_de_pliegue")
     summary = evaluate.fold_summary(evaluate.ranking_metrics(scored, ["modelo", "fold", "split"], "puntaje"))
     summary.write.mode("overwrite").parquet(f"{out}/comparacion")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -49,6 +51,21 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="farelake-")
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_sent = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark send the package to its Python workers, unless they find it by themselves."""
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    app = spark.sparkContext.applicationId
+    if app in _sent or any(os.path.abspath(p) == _ROOT for p in paths if p):
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "farelake"), "zip", root_dir=_ROOT, base_dir="farelake")
+    spark.sparkContext.addPyFile(archive)
+    _sent.add(app)
+
+
 def run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared one for a single run."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"

@@ -189,6 +189,15 @@ def test_trees_fit(training):
         assert E.ranking_metrics(M.score(model, training), [], "puntaje").first().roc_auc > 0.7
 
 
+def test_models_score_after_the_session_ran_an_observation(training):
+    from pyspark.sql import Observation
+
+    training.observe(Observation("rows"), F.count(F.lit(1)).alias("n")).count()
+    for make in (M.logistic_pipeline(["x", "z"], 0.0, 1.0, 400), M.tree_pipeline(["x", "z"], M.forest(C.ModelGrid(rf_trees=2, rf_depth=2)))):
+        assert M.score(make.fit(training), training).filter("puntaje is null").count() == 0
+    assert M.with_segments(M.scaled(training, ["x", "z"]), 2, 1).count() == 400
+
+
 def test_final_test_has_baselines(training):
     df = training.withColumn("dias_desde_ultimo_viaje", F.col("x"))
     model, result = M.final_test(df, df, M.logistic_pipeline(["x", "z"], 0.0, 1.0, 400), 1 / 3, C.CutWindows())
