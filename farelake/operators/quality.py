@@ -131,14 +131,47 @@ def reconcile(expected: DataFrame, loaded: DataFrame, on: str = "tabla") -> Data
     )
 
 
+WORDS = ["w0", "w1", "w2", "w3"]
+_WORD = 1 << 32
+
+
+def _row_words(df: DataFrame) -> list[Column]:
+    """Four numbers of 32 bits a row: the md5 of all columns in the order of their names, each with its length."""
+    texts = [F.col(c).cast("string") for c in sorted(df.columns)]
+    plain = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+    digest = F.md5(plain)
+    return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)").alias(w) for i, w in enumerate(WORDS)]
+
+
+def _added(rows: DataFrame, count: Column, by: Sequence[str]) -> DataFrame:
+    sums = [F.pmod(F.coalesce(F.sum(w), F.lit(0)), F.lit(_WORD)).cast("decimal(20,0)").alias(w) for w in WORDS]
+    return rows.groupBy(*by).agg(F.coalesce(count, F.lit(0)).cast("long").alias("filas"), *sums)
+
+
+def part_fingerprints(df: DataFrame, name: str, part: str) -> DataFrame:
+    """Rows and content digest of each value of ``part`` (a day, say). Digests of parts add up to that of the table."""
+    rows = df.select(F.col(part).cast("string").alias("parte"), *_row_words(df))
+    return _added(rows, F.count(F.lit(1)), ["parte"]).select(F.lit(name).alias("tabla"), "parte", "filas", *WORDS)
+
+
+def refreshed_parts(stored: DataFrame, df: DataFrame, name: str, part: str, changed: Sequence) -> DataFrame:
+    """Stored digests with those of the ``changed`` parts taken anew; of ``df`` only these parts are read."""
+    changed = list(changed)
+    rest = stored.filter(~F.coalesce(F.col("parte").isin([str(c) for c in changed]), F.lit(False)))
+    return rest.unionByName(part_fingerprints(df.filter(F.col(part).isin(changed)), name, part))
+
+
+def merged_fingerprint(parts: DataFrame) -> DataFrame:
+    """One row a table from the digests of its parts: rows, and the sums of the four words as 32 hex digits."""
+    whole = _added(parts, F.sum("filas"), ["tabla"])
+    digits = [F.lpad(F.lower(F.hex(F.col(w).cast("long"))), 8, "0") for w in WORDS]
+    return whole.select("tabla", "filas", F.concat(*digits).alias("huella"))
+
+
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
-    """Row count and an order-independent digest of a table's content, which any SQL engine can repeat: the sum over rows
-    of the first seven hex digits of the md5 of all columns as text, in the order of their names."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in sorted(df.columns)])
-    digits = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long")
-    return df.agg(
-        F.count(F.lit(1)).alias("filas"), F.coalesce(F.sum(digits), F.lit(0)).alias("huella")
-    ).select(F.lit(name).alias("tabla"), "filas", "huella")
+    """Row count and an order-independent digest of 128 bits of a table's content, which any SQL engine can repeat."""
+    whole = _added(df.select(*_row_words(df)), F.count(F.lit(1)), [])
+    return merged_fingerprint(whole.select(F.lit(name).alias("tabla"), "filas", *WORDS))
 
 
 # ---- comparison -----------------------------------------------------------------------

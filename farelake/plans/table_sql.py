@@ -72,11 +72,11 @@ def _fingerprint(t: str, cols: list) -> str:
     plain = [
         f"cast(round({c} * 100) as bigint)" if c in _MONEY else f"epoch_us({c})" if c in _TIME else c for c in sorted(cols)
     ]
-    text = ", ".join(f"coalesce(cast({c} as varchar), chr(0))" for c in plain)
-    return (
-        f"select '{t}' as tabla, count(*) as filas, "
-        f"cast(sum(cast('0x' || left(md5(concat_ws('|', {text})), 7) as bigint)) as bigint) as huella from {t}"
+    text = " || ".join(f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in plain)
+    words = " || ".join(
+        f"printf('%08x', cast(sum(cast('0x' || substr(h, {1 + 8 * i}, 8) as bigint)) % 4294967296 as bigint))" for i in range(4)
     )
+    return f"select '{t}' as tabla, count(*) as filas, {words} as huella from (select md5({text}) as h from {t})"
 
 
 SQL["table_fingerprints"] = " union all ".join(_fingerprint(t, [c.split()[0] for c in Q.SCHEMAS[t].split(', ')]) for t in ("customer", "orders", "events"))

@@ -276,6 +276,29 @@ def test_second_load_is_identical(spark, loaded, tmp_path):
     assert quality.table_diff(a, b, ["tabla"]).first().diferencias == 0
 
 
+def test_fingerprints_add_up_by_part(spark, tmp_path):
+    rows = [(i, "a|b" if i % 2 else "a", "c", None if i % 5 else f"n{i}", f"2026-01-0{1 + i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "i long, x string, y string, z string, dia string")
+    whole = quality.fingerprint(df, "t").first()
+    parts = quality.part_fingerprints(df, "t", "dia")
+    assert parts.count() == 3 and quality.merged_fingerprint(parts).first() == whole and len(whole.huella) == 32
+    assert quality.fingerprint(df.repartition(5), "t").first() == whole
+    swapped = df.selectExpr("i", "y as x", "x as y", "z", "dia")
+    moved = df.selectExpr("i", "case when i = 1 then 'a' else x end x", "case when i = 1 then 'b|c' else y end y", "z", "dia")
+    empty = df.selectExpr("i", "x", "y", "coalesce(z, '') z", "dia")
+    assert len({quality.fingerprint(d, "t").first().huella for d in (df, swapped, moved, empty, df.unionByName(df))}) == 5
+    # only the changed day is read again
+    df.write.partitionBy("dia").parquet(f"{tmp_path}/t")
+    new = spark.createDataFrame([(99, "q", "c", None)], "i long, x string, y string, z string")
+    new.write.mode("append").parquet(f"{tmp_path}/t/dia=2026-01-02")
+    table = spark.read.schema(df.schema).parquet(f"{tmp_path}/t")
+    again = quality.refreshed_parts(parts, table, "t", "dia", ["2026-01-02"])
+    assert quality.merged_fingerprint(again).first() == quality.fingerprint(table, "t").first() != whole
+    plan = quality.part_fingerprints(table.filter("dia in ('2026-01-02')"), "t", "dia")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dia" in plan and "2026-01-02" in plan
+    assert quality.fingerprint(df.limit(0), "t").first().huella == "0" * 32
+
+
 def test_predict_and_invariance(spark, loaded, tmp_path):
     lake = loaded[0]
     w = C.CutWindows()
