@@ -6,6 +6,7 @@ so no job recomputes the one before it.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -90,22 +91,42 @@ def full_load(
     cuts: dict[str, date] | None = None,
     w: C.CutWindows = C.CutWindows(),
     tu_ids: str = "content",
+    expected: dict[str, int] | None = None,
 ) -> dict:
-    """Ingest, transform, test, export, features. Returns tables, counts and the test report."""
+    """Ingest, transform, test, export, features. Returns tables, counts, the test report, the seconds of each stage and,
+    where the ``expected`` rows of the sources are given, their comparison with what was loaded. It reports and does not
+    stop the load."""
+    started, seconds = time.monotonic(), {}
+
+    def done(stage: str) -> None:
+        seconds[stage] = round(time.monotonic() - started - sum(seconds.values()), 3)
+
     counts = ingest(lake.spark, raw, lake.bronze, loaded_at, load_date)
+    checked = reconciliation(lake.spark, expected, counts) if expected is not None else None
+    done("ingesta")
     frames = latest_sources(lake.spark, lake.bronze)
     stg, silver_tables = build_silver(lake, frames, s, tu_ids)
     gold_tables = build_gold(lake, stg, silver_tables, s)
     persons = person_features.build(person_features.events(silver_tables, s.salt))
     feat = lake.publish("feat_usuario", persons)
     tables = {**silver_tables, **gold_tables, "feat_usuario": feat}
+    done("transformacion")
     report = quality.check_report(tables, KEY_CHECKS)
+    done("pruebas")
     for name in BI_EXPORTS:
         sinks.export_csv(tables[name], f"{lake.root}/export/{name}")
+    done("exportacion")
     if cuts:
         sinks.write_features(cuts_table(lake, cuts, w), lake.path("feat_cortes"))
         tables["feat_cortes"] = lake.read("feat_cortes")
-    return {"tables": tables, "counts": counts, "checks": report}
+        done("features")
+    return {"tables": tables, "counts": counts, "checks": report, "reconciliation": checked, "seconds": seconds}
+
+
+def reconciliation(spark: SparkSession, expected: dict[str, int], counts: dict[str, int]) -> DataFrame:
+    """Expected and loaded rows of each expected source; one that was not loaded has a null count."""
+    wanted = spark.createDataFrame(list(expected.items()), "tabla string, filas_esperadas long")
+    return quality.reconcile(wanted, spark.createDataFrame(list(counts.items()), "tabla string, filas long"))
 
 
 def cuts_table(lake: Lake, cuts: dict[str, date], w: C.CutWindows, labels: str = "auto", until=None):

@@ -24,7 +24,7 @@ def loaded(spark, tmp_path_factory):
     expected = fx.write(raw)
     lake = lakehouse.Lake(spark, root)
     result = lakehouse.full_load(
-        lake, raw, fx.SETTINGS, datetime(2026, 9, 1, 5), date(2026, 9, 1), cuts=CUTS
+        lake, raw, fx.SETTINGS, datetime(2026, 9, 1, 5), date(2026, 9, 1), cuts=CUTS, expected={**expected, "otra": 5}
     )
     return lake, raw, expected, result
 
@@ -44,6 +44,16 @@ def test_bronze_counts_and_reconciliation(spark, loaded):
     assert bronze.bronze(spark, lake.bronze, "tu_transacciones").schema["num_tarjeta"].dataType.simpleString() == "string"
 
 
+def test_load_reports_reconciliation_and_stage_times(spark, loaded):
+    _, _, expected, result = loaded
+    got = {r.tabla: (r.filas_esperadas, r.filas_cargadas, r.diferencia) for r in result["reconciliation"].collect()}
+    assert got == {**{n: (c, c, 0) for n, c in expected.items()}, "otra": (5, None, None)}
+    assert list(result["seconds"]) == ["ingesta", "transformacion", "pruebas", "exportacion", "features"]
+    assert all(v > 0 for v in result["seconds"].values())
+    short = lakehouse.reconciliation(spark, {"a": 3}, {"a": 1, "b": 2}).collect()
+    assert [tuple(r) for r in short] == [("a", 3, 1, -2)]
+
+
 def test_newest_load_only(spark, loaded, tmp_path):
     _, raw, expected, _ = loaded
     root = str(tmp_path / "bronze")
