@@ -6,10 +6,13 @@ does not begin with the one before rewrites history, and is refused. Only spans,
 used to find roles, texts and the loss mask.
 
 The work is dealt out by ranges of (conversation, turn, role, text), so one conversation may fill many partitions. In a
-partition each run of ``BLOCK`` turns is rendered after one anchor turn, which bounds the prefixes whatever the length
-of the conversation; ``check_template`` makes sure beforehand that a turn's span does not depend on more than that. Only
-conversations that touch the edge of a partition or fill more than one block go on to a second stage, which streams
-their blocks in order through the digests.
+partition each run of ``BLOCK`` turns is rendered after the ``CONTEXT`` real turns before it, or all of them if there are
+fewer; this bounds the prefixes whatever the length of the conversation. What a block renders for its context must equal
+what the block before gave for the same turns; a template whose spans reach back further is refused where this differs.
+The first block of a partition waits for the last turns of the partition before and is rendered in a second stage.
+``check_template`` renders prefixes of an invented conversation as long as the longest one (up to ``PROBE_TURNS``), which
+refuses templates that drop or shorten turns beyond some length. Only conversations that touch the edge of a partition or
+fill more than one block go on to a last stage, which streams their blocks in order through the digests.
 
 Turns are ordered by turn (nulls first), then role, then text; null texts and roles count as empty. Repeated rows are
 turns of their own. Rows with a null conversation id form one conversation.
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 
 from farelake.llm import tables
 
-BLOCK = 32
-ANCHOR = ("user", "-")
+BLOCK = CONTEXT = 32
+PROBE_TURNS = 1_000_000
 _NAMES = {"user": "User", "assistant": "Assistant", "system": "System"}
 _CONTROL = re.compile(r"\\|#{3,}|</turn>")
 _ESCAPED = re.compile(r"\\(.)", re.S)
@@ -84,13 +87,33 @@ PROBES = [[("system", "a"), ("user", "b"), ("assistant", "c"), ("user", "d"), ("
           [("user", "x"), ("user", "y"), ("assistant", "</turn> ### User:"), ("assistant", "z"), ("", "q")]]
 
 
-def check_template(render: Callable) -> None:
-    """Refuses templates that rewrite history or whose spans depend on more than the turn before."""
+def check_template(render: Callable, longest: int = 0, context: int = CONTEXT) -> None:
+    """Refuses templates that rewrite history in the probes or in a conversation of ``longest`` turns, or whose spans
+    depend on more than the ``context`` turns before."""
     for probe in PROBES:
-        whole = spans(render, probe)
-        for i in range(1, len(probe)):
-            if spans(render, probe[i:], [ANCHOR])[0] != whole[i]:
-                raise RewritesHistory("the span of a turn depends on earlier turns")
+        long = [("user", "p"), *(probe[i % len(probe)] for i in range(context + 1))]
+        whole = spans(render, long)
+        spans(render, probe)
+        if spans(render, long[-1:], long[-1 - context : -1])[0] != whole[-1]:
+            raise RewritesHistory("the span of a turn depends on earlier turns")
+    turns = [(("user", "assistant")[i % 2], str(i)) for i in range(min(longest, PROBE_TURNS))]
+    whole, n = render(turns) if turns else "", 1
+    while n < len(turns):
+        if not whole.startswith(render(turns[:n])):
+            raise RewritesHistory(f"{len(turns)} turns change what was rendered for the first {n}")
+        n *= 2
+
+
+def _after(render: Callable, turns: list, before: list, known: list) -> list[str]:
+    """Spans of ``turns`` after the real turns ``before``, whose own spans must come out as ``known`` (null: not known).
+
+    The first turn of the context may carry what opens a conversation, so it is not compared.
+    """
+    found = spans(render, [*before, *turns])
+    for i in range(1, len(before)):
+        if known[i] is not None and known[i] != found[i]:
+            raise RewritesHistory(f"the span of a turn depends on turns more than {i} before it")
+    return found[len(before) :]
 
 
 def _ordered(conversations: DataFrame) -> DataFrame:
@@ -106,107 +129,132 @@ def _ordered(conversations: DataFrame) -> DataFrame:
 
 
 _DONE = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-_BLOCKS = f"conv_id long, open boolean, seq long, {_DONE}, turns_text binary, loss_text binary, opening_chars long"
-
-
-def format_conversations(conversations: DataFrame, render: Callable = turn_template, parse: Callable = parse_turn, block: int = BLOCK):
-    """One row of facts for each conversation, read back from the rendered spans."""
-    check_template(render)
-
-    def facts(turns, first):
-        """Facts of a block; ``first``: it opens the conversation."""
-        found = spans(render, turns, () if first else [ANCHOR])
-        told, loss = [], []
-        for span in found:
-            role, text, _, _ = parse(span)
-            told.append(f"{role}\n{text}\n")
-            if role == "assistant":
-                loss.append(text)
-        return len(found), "".join(told).encode(), "".join(loss), sum(map(len, found))
+_FACTS = f"conv_id long, seq long, {_DONE}, turns_text binary, loss_text binary"
+_BLOCKS = f"{_FACTS}, kind string, roles array<string>, texts array<string>, spans array<string>"
+_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+
+
+def _batch(rows: list[dict], columns: str) -> pa.RecordBatch:
+    schema = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split() for c in columns.split(", "))])
+    return pa.RecordBatch.from_pylist(rows, schema)
+
+
+def _facts(found: list[str], parse: Callable, open_: bool) -> dict:
+    """What is read back from the spans of a block: digests, or the bytes for them if other blocks follow or precede."""
+    told, loss = [], []
+    for span in found:
+        role, text, _, _ = parse(span)
+        told.append(f"{role}\n{text}\n")
+        if role == "assistant":
+            loss.append(text)
+    all_, own = "".join(told).encode(), "".join(loss).encode()
+    row = dict(n_turns=len(found), loss_chars=sum(map(len, loss)), formatted_chars=sum(map(len, found)))
+    if open_:
+        return row | dict(turns_text=all_, loss_text=own)
+    return row | dict(turns_sha256=hashlib.sha256(all_).hexdigest(), loss_sha256=hashlib.sha256(own).hexdigest())
+
+
+def format_conversations(
+    conversations: DataFrame, render: Callable = turn_template, parse: Callable = parse_turn, block: int = BLOCK,
+    context: int = CONTEXT,
+) -> DataFrame:
+    """One row of facts for each conversation, read back from the rendered spans."""
+    longest = conversations.groupBy("conv_id").count().agg(F.max("count").alias("n")).first().n or 0
+    check_template(render, longest, context)
 
     def stage(batches):
-        columns = {name.split()[0]: [] for name in _BLOCKS.split(", ")}
-
-        def emit(conv, open_, seq, turns, first):
-            n, told, loss, chars = facts(turns, first)
-            own = loss.encode()
-            row = dict(conv_id=conv, open=open_, seq=seq, n_turns=n, loss_chars=len(loss), formatted_chars=chars)
-            if open_:
-                opening = facts(turns, True)[3] if seq == 0 else None
-                row |= dict(turns_text=told, loss_text=own, opening_chars=opening)
+        rows, conv, seq, held, before, known, at_edge, began = [], None, 0, [], [], [], True, False
+
+        def emit(open_):
+            """The block held; the first of the partition goes out as it is."""
+            nonlocal before, known
+            row = dict(conv_id=conv, seq=seq, kind="open" if open_ else "done")
+            if at_edge and seq == 0:
+                found = [None] * len(held)
+                row |= dict(kind="head", roles=[r for r, _ in held], texts=[t for _, t in held])
             else:
-                row |= dict(turns_sha256=hashlib.sha256(told).hexdigest(), loss_sha256=hashlib.sha256(own).hexdigest())
-            for name, values in columns.items():
-                values.append(row.get(name))
-
-        def flush():
-            batch = pa.RecordBatch.from_pydict(columns, schema=_arrow_schema())
-            for values in columns.values():
-                values.clear()
-            return batch
+                found = _after(render, held, before, known)
+                row |= _facts(found, parse, open_)
+            rows.append(row)
+            before, known = [*before, *held][-context:], [*known, *found][-context:]
 
-        conv, held, seq, at_edge, began = None, [], 0, True, False
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")))
-            for now, role, text in rows:
+            for now, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if began and now != conv:
-                    emit(conv, at_edge or seq > 0, seq, held, first=seq == 0 and not at_edge)
-                    held, seq, at_edge = [], 0, False
+                    emit(at_edge or seq > 0)
+                    seq, held, before, known, at_edge = 0, [], [], [], False
                 elif len(held) == block:
-                    emit(conv, True, seq, held, first=False)
-                    held, seq = [], seq + 1
+                    emit(True)
+                    seq, held = seq + 1, []
                 began, conv = True, now
                 held.append((role, text))
-            if len(columns["conv_id"]):
-                yield flush()
+            if rows:
+                yield _batch(rows, _BLOCKS)
+                rows.clear()
         if held:
-            emit(conv, True, seq, held, first=False)
-            yield flush()
+            emit(True)
+            tail = dict(roles=[r for r, _ in before], texts=[t for _, t in before], spans=known)
+            yield _batch([*rows, dict(conv_id=conv, seq=seq, kind="tail", **tail)], _BLOCKS)
 
-    blocks = _ordered(conversations)
-    blocks = blocks.select("conv_id", "role", "text").mapInArrow(stage, _BLOCKS)
-    blocks = tables.written(blocks.withColumn("part", F.spark_partition_id()))
+    blocks = _ordered(conversations).select("conv_id", "role", "text").mapInArrow(stage, _BLOCKS)
+    blocks = tables.written(blocks.withColumn("part", F.spark_partition_id().cast("long")))
     names = [x.split()[0] for x in _DONE.split(", ")]
-    return blocks.filter("not open").select("conv_id", *names).unionByName(_streamed(blocks.filter("open")))
+    used = ["conv_id", "part", "seq", "n_turns", "loss_chars", "formatted_chars", "turns_text", "loss_text"]
+    opened = blocks.filter("kind = 'open'").select(used).unionByName(_heads(blocks, render, parse).select(used))
+    return blocks.filter("kind = 'done'").select("conv_id", *names).unionByName(_streamed(opened))
+
+
+def _heads(blocks: DataFrame, render: Callable, parse: Callable) -> DataFrame:
+    """The first block of each partition, rendered after the last turns of the partition before if they go on there."""
+    edges = blocks.filter("kind in ('head', 'tail')").select("part", "kind", "conv_id").collect()  # two a partition
+    first, last = ({r.part: r.conv_id for r in edges if r.kind == k} for k in ("head", "tail"))
+    order = sorted(first)
+    pairs = [(p, q) for q, p in zip(order, order[1:]) if last[q] == first[p]]
+    follows = blocks.sparkSession.createDataFrame(pairs, "part long, prev long")
+    tails = blocks.filter("kind = 'tail'").select(
+        F.col("part").alias("prev"), F.col("roles").alias("b_roles"), F.col("texts").alias("b_texts"), F.col("spans").alias("b_spans")
+    )
+    heads = blocks.filter("kind = 'head'").select("conv_id", "part", "seq", "roles", "texts")
+    both = heads.join(follows, "part", "left").join(tails, "prev", "left")
 
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                before = list(zip(r["b_roles"] or [], r["b_texts"] or []))
+                found = _after(render, list(zip(r["roles"], r["texts"])), before, r["b_spans"] or [])
+                rows.append(dict(conv_id=r["conv_id"], seq=r["seq"], part=r["part"], **_facts(found, parse, True)))
+            yield _batch(rows, f"{_FACTS}, part long")
 
-def _arrow_schema():
-    kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
-    return pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in _BLOCKS.split(", ")])
+    return both.mapInArrow(run, f"{_FACTS}, part long")
 
 
 def _streamed(blocks: DataFrame) -> DataFrame:
     """Conversations in several blocks: their digests, block after block."""
 
     def run(batches):
-        conv, began, state = None, False, None
-        names = ["conv_id", *(x.split()[0] for x in _DONE.split(", "))]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        conv, state = None, None
 
         def done():
             n, told, chars, loss, formatted = state
-            row = (conv, n, told.hexdigest(), chars, loss.hexdigest(), formatted)
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+            row = dict(conv_id=conv, n_turns=n, turns_sha256=told.hexdigest(), loss_chars=chars)
+            return _batch([row | dict(loss_sha256=loss.hexdigest(), formatted_chars=formatted)], f"conv_id long, {_DONE}")
 
         for batch in batches:
             for row in batch.to_pylist():
-                if not began or row["conv_id"] != conv:
-                    if began:
+                if state is None or row["conv_id"] != conv:
+                    if state is not None:
                         yield done()
-                    conv, began = row["conv_id"], True
-                    state = [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                    opening = row["opening_chars"]
-                else:
-                    opening = None
+                    conv, state = row["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 state[0] += row["n_turns"]
                 state[1].update(row["turns_text"])
                 state[2] += row["loss_chars"]
                 state[3].update(row["loss_text"])
-                state[4] += row["formatted_chars"] if opening is None else opening
-        if began:
+                state[4] += row["formatted_chars"]
+        if state is not None:
             yield done()
 
     n = tables.parts(blocks.sparkSession)
     dealt = blocks.repartition(n, "conv_id").sortWithinPartitions("conv_id", "part", "seq")
-    used = ["conv_id", "n_turns", "loss_chars", "formatted_chars", "turns_text", "loss_text", "opening_chars"]
+    used = ["conv_id", "n_turns", "loss_chars", "formatted_chars", "turns_text", "loss_text"]
     return dealt.select(*used).mapInArrow(run, f"conv_id long, {_DONE}")

@@ -140,3 +140,55 @@ def test_rows_of_an_archive_are_bounded(spark):
     df = spark.createDataFrame([(1, "u", "a" * 100_000, "c")], SCHEMA)
     rows = warc.rows_of_records(warc.with_roles(df), chunk=1000)
     assert rows.select(F.max(F.length("value")).alias("n")).first().n < 1200 and rows.count() == 102
+
+
+def _only_the_last(n):
+    return lambda turns: chat.turn_template(turns[-n:])
+
+
+def test_a_template_that_drops_old_turns_is_refused(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i}", "x") for i in range(90)] + [(2, 0, "user", "a", "x")]
+    df = spark.createDataFrame(rows, CHAT_SCHEMA)
+    for n in (33, 40, 64, 89):
+        with pytest.raises(chat.RewritesHistory):
+            chat.format_conversations(df, _only_the_last(n))
+    got = chat.format_conversations(df, _only_the_last(90))
+    assert sorted(map(tuple, got.collect()), key=str) == plain_chats(rows)
+
+
+def test_spans_that_depend_on_far_turns_are_refused(spark):
+    def counts_thoughts(turns):
+        thoughts, out = 0, ""
+        for role, text in turns:
+            thoughts += "(hm)" in text
+            out += f"### {role.title()}: {text}{thoughts} </turn>\n"
+        return out
+
+    def strips_thoughts(turns):
+        last = max((i for i, (r, _) in enumerate(turns) if r == "user"), default=0)
+        return chat.turn_template([(r, t if i > last else t.replace("(hm)", "")) for i, (r, t) in enumerate(turns)])
+
+    rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i}" + "(hm)" * (i in (3, 71)), "x") for i in range(80)]
+    df = spark.createDataFrame(rows, CHAT_SCHEMA).coalesce(1)
+    for template in (counts_thoughts, strips_thoughts):
+        with pytest.raises(Exception, match="RewritesHistory"):
+            chat.format_conversations(df, template).collect()
+
+
+def test_real_turns_before_a_block_are_used(spark):
+    """A template that may name the turn before needs the real one at the edges of blocks and partitions."""
+
+    def names_the_last(turns):
+        lines = [f"### {r.title()}: {t} after {b} </turn>\n" for (r, t), (b, _) in zip(turns, [("none", ""), *turns])]
+        return "".join(lines)
+
+    rows = [(c, i, ("user", "assistant", "system")[i * i % 3], f"{i}", "x") for c in range(5) for i in range(37 + c * 20)]
+    df = spark.createDataFrame(rows, CHAT_SCHEMA)
+    want = []
+    for c in range(5):
+        turns = [(r[2], r[3]) for r in rows if r[0] == c]
+        told = [(r, f"{t} after {b}") for (r, t), (b, _) in zip(turns, [("none", ""), *turns])]
+        want.append(hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in told).encode()).hexdigest())
+    for block, context in ((1, 1), (4, 2), (32, 32)):
+        got = chat.format_conversations(df, names_the_last, block=block, context=context).collect()
+        assert [r.turns_sha256 for r in sorted(got, key=lambda r: r.conv_id)] == want
