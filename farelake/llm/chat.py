@@ -7,9 +7,10 @@ used to find roles, texts and the loss mask.
 
 The work is dealt out by ranges of (conversation, turn, role, text), so one conversation may fill many partitions. In a
 partition each run of ``BLOCK`` turns is rendered after the ``CONTEXT`` real turns before it, or all of them if there are
-fewer; this bounds the prefixes whatever the length of the conversation. What a block renders for its context must equal
-what the block before gave for the same turns; a template whose spans reach back further is refused where this differs.
-The first block of a partition waits for the last turns of the partition before and is rendered in a second stage.
+fewer; this bounds the prefixes whatever the length of the conversation. What a block renders for the later half of its
+context must equal what the block before gave for the same turns; a template whose spans reach back further is refused where
+this differs. The first block of a partition waits for the last turns of the partitions before and is rendered in a second
+stage, where it must come out the same after twice as many turns.
 ``check_template`` renders prefixes of an invented conversation as long as the longest one (up to ``PROBE_TURNS``), which
 refuses templates that drop or shorten turns beyond some length. Only conversations that touch the edge of a partition or
 fill more than one block go on to a last stage, which streams their blocks in order through the digests.
@@ -105,12 +106,10 @@ def check_template(render: Callable, longest: int = 0, context: int = CONTEXT) -
 
 
 def _after(render: Callable, turns: list, before: list, known: list) -> list[str]:
-    """Spans of ``turns`` after the real turns ``before``, whose own spans must come out as ``known`` (null: not known).
-
-    The first turn of the context may carry what opens a conversation, so it is not compared.
-    """
+    """Spans of ``turns`` after the real turns ``before``, of which those with half the context before them must have the
+    spans ``known`` (null: not known)."""
     found = spans(render, [*before, *turns])
-    for i in range(1, len(before)):
+    for i in range(max(1, len(before) // 2), len(before)):
         if known[i] is not None and known[i] != found[i]:
             raise RewritesHistory(f"the span of a turn depends on turns more than {i} before it")
     return found[len(before) :]
@@ -130,7 +129,7 @@ def _ordered(conversations: DataFrame) -> DataFrame:
 
 _DONE = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 _FACTS = f"conv_id long, seq long, {_DONE}, turns_text binary, loss_text binary"
-_BLOCKS = f"{_FACTS}, kind string, roles array<string>, texts array<string>, spans array<string>"
+_BLOCKS = f"{_FACTS}, kind string, roles array<string>, texts array<string>"
 _KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
 
 
@@ -163,26 +162,26 @@ def format_conversations(
     check_template(render, longest, context)
 
     def stage(batches):
-        rows, conv, seq, held, before, known, at_edge, began = [], None, 0, [], [], [], True, False
+        rows, conv, seq, held, recent, known, at_edge, began = [], None, 0, [], [], [], True, False
 
         def emit(open_):
             """The block held; the first of the partition goes out as it is."""
-            nonlocal before, known
+            nonlocal recent, known
             row = dict(conv_id=conv, seq=seq, kind="open" if open_ else "done")
             if at_edge and seq == 0:
                 found = [None] * len(held)
                 row |= dict(kind="head", roles=[r for r, _ in held], texts=[t for _, t in held])
             else:
-                found = _after(render, held, before, known)
+                found = _after(render, held, recent[-context:], known)
                 row |= _facts(found, parse, open_)
             rows.append(row)
-            before, known = [*before, *held][-context:], [*known, *found][-context:]
+            recent, known = [*recent, *held][-2 * context :], [*known, *found][-context:]
 
         for batch in batches:
             for now, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if began and now != conv:
                     emit(at_edge or seq > 0)
-                    seq, held, before, known, at_edge = 0, [], [], [], False
+                    seq, held, recent, known, at_edge = 0, [], [], [], False
                 elif len(held) == block:
                     emit(True)
                     seq, held = seq + 1, []
@@ -193,40 +192,52 @@ def format_conversations(
                 rows.clear()
         if held:
             emit(True)
-            tail = dict(roles=[r for r, _ in before], texts=[t for _, t in before], spans=known)
+            tail = dict(roles=[r for r, _ in recent], texts=[t for _, t in recent], n_turns=len(recent))
             yield _batch([*rows, dict(conv_id=conv, seq=seq, kind="tail", **tail)], _BLOCKS)
 
     blocks = _ordered(conversations).select("conv_id", "role", "text").mapInArrow(stage, _BLOCKS)
     blocks = tables.written(blocks.withColumn("part", F.spark_partition_id().cast("long")))
     names = [x.split()[0] for x in _DONE.split(", ")]
     used = ["conv_id", "part", "seq", "n_turns", "loss_chars", "formatted_chars", "turns_text", "loss_text"]
-    opened = blocks.filter("kind = 'open'").select(used).unionByName(_heads(blocks, render, parse).select(used))
+    opened = blocks.filter("kind = 'open'").select(used).unionByName(_heads(blocks, render, parse, context).select(used))
     return blocks.filter("kind = 'done'").select("conv_id", *names).unionByName(_streamed(opened))
 
 
-def _heads(blocks: DataFrame, render: Callable, parse: Callable) -> DataFrame:
-    """The first block of each partition, rendered after the last turns of the partition before if they go on there."""
-    edges = blocks.filter("kind in ('head', 'tail')").select("part", "kind", "conv_id").collect()  # two a partition
-    first, last = ({r.part: r.conv_id for r in edges if r.kind == k} for k in ("head", "tail"))
-    order = sorted(first)
-    pairs = [(p, q) for q, p in zip(order, order[1:]) if last[q] == first[p]]
-    follows = blocks.sparkSession.createDataFrame(pairs, "part long, prev long")
-    tails = blocks.filter("kind = 'tail'").select(
-        F.col("part").alias("prev"), F.col("roles").alias("b_roles"), F.col("texts").alias("b_texts"), F.col("spans").alias("b_spans")
-    )
-    heads = blocks.filter("kind = 'head'").select("conv_id", "part", "seq", "roles", "texts")
-    both = heads.join(follows, "part", "left").join(tails, "prev", "left")
+def _heads(blocks: DataFrame, render: Callable, parse: Callable, context: int) -> DataFrame:
+    """The first block of each partition, rendered after the last turns of the partitions before if it goes on from there."""
+    edges = blocks.filter("kind in ('head', 'tail')").select("part", "kind", "conv_id", "n_turns").collect()  # two a partition
+    first = {r.part: r.conv_id for r in edges if r.kind == "head"}
+    last = {r.part: (r.conv_id, r.n_turns) for r in edges if r.kind == "tail"}
+    order, follows = sorted(first), []
+    for i, part in enumerate(order):
+        have, conv = 0, first[part]
+        for prev in reversed(order[:i]):
+            if last[prev][0] != conv or have >= 2 * context:
+                break
+            follows.append((part, prev))
+            have += last[prev][1]
+            if first[prev] != conv:
+                break
+    follows = blocks.sparkSession.createDataFrame(follows, "part long, prev long")
+    tails = blocks.filter("kind = 'tail'").select(F.col("part").alias("prev"), F.arrays_zip("roles", "texts").alias("turns"))
+    # at most 2 * context turns of each of at most 2 * context partitions
+    found = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("prev", "turns"))), lambda t: t["turns"]))
+    before = follows.join(tails, "prev").groupBy("part").agg(found.alias("before"))
+    heads = blocks.filter("kind = 'head'").select("conv_id", "part", "seq", "roles", "texts").join(before, "part", "left")
 
     def run(batches):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                before = list(zip(r["b_roles"] or [], r["b_texts"] or []))
-                found = _after(render, list(zip(r["roles"], r["texts"])), before, r["b_spans"] or [])
+                turns = list(zip(r["roles"], r["texts"]))
+                before = [(t["roles"], t["texts"]) for t in r["before"] or []][-2 * context :]
+                found = _after(render, turns, before[-context:], [None] * context)
+                if len(before) > context and _after(render, turns, before, [None] * len(before)) != found:
+                    raise RewritesHistory(f"the span of a turn depends on turns more than {context} before it")
                 rows.append(dict(conv_id=r["conv_id"], seq=r["seq"], part=r["part"], **_facts(found, parse, True)))
             yield _batch(rows, f"{_FACTS}, part long")
 
-    return both.mapInArrow(run, f"{_FACTS}, part long")
+    return heads.mapInArrow(run, f"{_FACTS}, part long")
 
 
 def _streamed(blocks: DataFrame) -> DataFrame:
