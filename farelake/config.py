@@ -95,8 +95,10 @@ class ModelGrid:
     lr_tol: float = 1e-4
     gbt_rounds: int = 300
     gbt_step: float = 0.05
-    gbt_depth: int = 5  # at most 32 leaves
+    gbt_depth: int = 5  # of Spark's trees, at most 32 leaves
     gbt_min_leaf: int = 100
+    gbt_leaves: int = 31
+    gbt_l2: float = 1.0
     rf_trees: int = 300
     rf_min_leaf: int = 20
     rf_depth: int = 20

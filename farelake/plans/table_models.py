@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from farelake import config as C
-from farelake.operators import cdc, evaluate, forest, linear, models
+from farelake.operators import boosting, cdc, evaluate, forest, linear, models
 from farelake.operators.quality import Rule
 from farelake.plans import cut_features as CF
 from farelake.plans import tables as Q
@@ -57,7 +57,8 @@ def lr_coefficients(spark, sf):
 
 
 def gbt_oof(spark, sf):
-    scored = models.cross_validate(_training(spark, sf), "boosting", _gbt)
+    """300 rounds a fold, at most 31 leaves a tree."""
+    scored = boosting.cross_validate(_training(spark, sf), NUMERIC, "boosting", models.LABEL, models.UNIT, models.PROFILE)
     return models.out_of_fold(scored, ["boosting"])
 
 
