@@ -149,6 +149,10 @@ class Boosted:
     trees: list
     passes: int
 
+    def one(self, k: int) -> Boosted:
+        """The ``k``-th model alone."""
+        return Boosted(self.bins, self.left_out[k : k + 1], self.start[k : k + 1], self.trees[k : k + 1], self.passes)
+
     def scores(self, df: DataFrame, out: str = "puntajes") -> DataFrame:
         """``df`` with an array of the probability of label 1 by each model."""
         sent = df.sparkSession.sparkContext.broadcast((self.start, self.trees))

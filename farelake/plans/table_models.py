@@ -1,7 +1,7 @@
 """Model and streaming operators on the benchmark tables.
 
-Fits use the labelled orders cut. The penalties, λ, clusterings and forests are those of
-:class:`farelake.config.ModelGrid`; only the rounds of boosting are fewer here.
+Fits use the labelled orders cut. All penalties, λ, clusterings, trees and rounds are those of
+:class:`farelake.config.ModelGrid`.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from farelake.session import materialise, run_dir
 from farelake.streaming import jobs, updates
 
 NUMERIC = CF.feature_columns(Q.WINDOWS, Q.STATUSES)
-GRID = C.ModelGrid(gbt_rounds=40)
+GRID = C.ModelGrid()
 
 
 def _training(spark, sf):
@@ -35,10 +35,6 @@ def _l2(n):
     return models.logistic_pipeline(NUMERIC, 0.0, 100.0, n, GRID)
 
 
-def _gbt(n):
-    return models.tree_pipeline(NUMERIC, models.boosting(GRID))
-
-
 L2 = linear.Spec("logistica_l2", 0.0, 100.0)
 
 
@@ -71,7 +67,7 @@ def rf_oof(spark, sf):
 
 
 def permutation_importance(spark, sf):
-    return models.permutation_importance(_training(spark, sf), NUMERIC, _gbt, GRID.permutation_repeats)
+    return models.boosting_importance(_training(spark, sf), NUMERIC, GRID)
 
 
 def kmeans_k(spark, sf):

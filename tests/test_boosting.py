@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelake import config as C
-from farelake.operators import boosting, evaluate, forest
+from farelake.operators import boosting, evaluate, forest, models
 
 GRID = C.ModelGrid(gbt_rounds=23, gbt_min_leaf=12, gbt_leaves=7)
 NUMERIC = ["x", "z", "flat"]
@@ -83,3 +83,10 @@ def test_cross_validation(units):
 def test_no_units(units):
     none = units.filter("false")
     assert boosting.cross_validate(none, NUMERIC, "boosting", "etiqueta", "unidad_id", "perfil", grid=GRID).count() == 0
+
+
+def test_importance_of_the_signal(units):
+    found = models.boosting_importance(units.filter("etiqueta is not null"), NUMERIC, C.ModelGrid(gbt_rounds=10, gbt_min_leaf=12, gbt_leaves=7))
+    by = {r.feature: r.importancia_media for r in found.collect()}
+    assert set(by) == {*NUMERIC, "perfil"} and by["x"] == max(by.values()) > 0.1
+    assert abs(by["flat"]) < 1e-12 and by["perfil"] > 0.02 > abs(by["z"])
