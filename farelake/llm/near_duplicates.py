@@ -13,7 +13,8 @@ original of many edited copies shares more buckets with them than they do with e
 other classes than their hub. Each of them is compared, again on whole bags, with all members that met the same hub, in
 blocks of about ``_BLOCK_MEMBERS``; a block gives back at most one link to each class. Classes are the connected components
 of the verified links. Two documents of one bucket have met the same hub, so no pair of a bucket stays unexamined unless
-both are of one class. Blocks and salts keep every group of bags bounded, however many documents share a hub.
+both are of one class. Blocks and salts bound every group of bags, but not their number: an open member is sent to each
+block of its hub, so the rows sent grow with the open members of a hub times the blocks of all that met it.
 
 Words are runs of bytes ``[0-9a-z]`` or beyond ASCII after lower-casing A-Z. Texts with equal words are equal documents.
 A text of one to four words is one shingle; texts without words (null, empty) are equal to each other. The class of a
