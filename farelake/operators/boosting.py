@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from farelake import config as C
 from farelake.operators.forest import Bins, matrix, points
-from farelake.session import materialise, run_dir, ship
+from farelake.session import drop_dir, materialise, run_dir, ship
 
 BLOCK_ROWS = 1 << 16
 WRITE_EVERY = 10
@@ -209,7 +209,7 @@ def fit(
 
     blocks = units.rdd.mapPartitions(blocks_of).persist(StorageLevel.MEMORY_AND_DISK)
     depth = 1 if blocks.getNumPartitions() <= 32 else 2
-    trees, recent, passes = [[] for _ in models], [[] for _ in models], 0
+    trees, recent, passes, written = [[] for _ in models], [[] for _ in models], 0, None
 
     def sums(growing):
         asked = [(k, g.tree(False), g.wanted) for k, g in enumerate(growing) if g.wanted]
@@ -244,8 +244,12 @@ def fit(
             blocks.map(lambda b, recent=recent: with_trees(b, recent)).saveAsPickleFile(path)
             blocks = sc.pickleFile(path).persist(StorageLevel.MEMORY_AND_DISK)
             old.unpersist()
-            recent = [[] for _ in models]
+            if written:
+                drop_dir(df.sparkSession, written)
+            recent, written = [[] for _ in models], path
     blocks.unpersist()
+    if written:
+        drop_dir(df.sparkSession, written)
     return Boosted(bins, models, start, trees, passes)
 
 

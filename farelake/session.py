@@ -71,6 +71,12 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`run_dir` that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` once as a table in the shared folder and read it from there on.
 
