@@ -1,35 +1,54 @@
 """Benchmark decontamination.
 
-Method: all n-grams of a test item are its seeds, however frequent, so that what is found in a document depends on that
-document and the item only. Seeds join documents to items; where enough seeds of an item fall on one stretch of a
-document and a bound on the words they share allows a leak, Smith-Waterman alignment of words scores the stretch, with
-replaced, added and left out words. A stretch is a leak if its score reaches ``SHARE`` of what the whole item would
-score, or if it holds a passage of ``PASSAGE`` matching words with at least four in five alike. Every stretch is tested. A passage may stand
-anywhere in a stretch, whatever scores higher around it: where the best alignment as a whole is no leak, a second one
-counts matches for each number of unlike words. In that one words left out of the item count as unlike too.
-
-Items are taken in blocks whose size is bounded (``BLOCK_CHARS`` on average); each block is sent to all tasks and
-checked against all documents. Documents are never collected or dropped to limit the work.
-
-Words are runs of bytes ``[0-9a-z]`` or beyond ASCII after lower-casing A-Z. An item of fewer words than an n-gram has
-itself as its only seed. Null and empty items are never found; null and empty documents have no leaks. Repeated rows of
-documents are checked on their own; items with equal words are all reported.
+Method: rare n-grams of the test items are seeds that join documents to items, and Smith-Waterman alignment of words
+scores the stretch of the document around them, with replaced, added and left out words.
+
+1. Items become word hashes; items of equal words are one. N-grams of ``GRAM`` words are rare by the number of items that
+   hold them, that is the pairs each place of a document would make: in each window of ``PASSAGE`` words of an item the
+   ``RAREST`` n-grams held by the fewest items are seeds, and any held by up to ``LENIENT`` times as many. So a passage of
+   ``PASSAGE`` words always has seeds of its own, and an opening shorter than that, which many items share, makes no pairs.
+   Documents have no part in the choice: what is found in one depends on that document and the items only.
+2. Documents are scanned once, whatever the number of items. Tasks get a bitmap of the seeds of at most ``SIEVE_BITS`` bits,
+   which lets few other n-grams pass; documents with any are written as blocks of words, equal texts once.
+3. Seeds meet by a join on their hash. Where ``MIN_SEEDS`` different seeds of an item (all, if it has fewer) fall on one
+   stretch, the stretch is cut out of the blocks and meets the words of the item. A bound on the words they share skips
+   most alignments.
+
+A stretch is a leak if its score reaches ``SHARE`` of what the whole item would score, or if it holds a passage of
+``PASSAGE`` matching words with at least four in five alike, anywhere in the stretch, whatever scores higher around it:
+where the best alignment as a whole is no leak, a second one counts matches for each number of unlike words. In that
+one words left out of the item count as unlike too. Every stretch is tested, of any length of text; the best one of a
+document and item is reported, of equal scores the first.
+
+A document that holds ``PASSAGE`` consecutive words of an item, or more, is always found. An edited copy is found if enough
+of its unbroken n-grams are seeds. Words are runs of bytes ``[0-9a-z]`` or beyond ASCII after lower-casing A-Z. An item
+of fewer words than an n-gram has itself as its only seed. Null and empty items are never found; null and empty
+documents have no leaks; empty tables give empty results, or all documents back. Repeated rows of documents and items are all
+reported. Other columns of documents, whatever their names, are untouched.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm import kernels as K
+from farelake.llm import tables
 
 GRAM, MIN_SEEDS = 3, 2
+RAREST, LENIENT = 4, 4
 SHARE, PASSAGE, ALIKE = 0.5, 13, 0.8
 MATCH, MISS, GAP = 2, -1, -1
-BLOCK_CHARS = 4_000_000
-_MEETINGS = 1 << 21
+BLOCK_WORDS = 4096
+SIEVE_BITS = 1 << 27
+_PROBES = (0, 12, 24, 36)
+_ROWS = 64
+_FACTS = "score double, n_matched long, first_word long, end_word long"
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int, int]:
@@ -92,79 +111,6 @@ def passage(item: np.ndarray, words: np.ndarray) -> tuple[int, int] | None:
     return None
 
 
-class Items:
-    """Words, n-grams and seeds of a block of test items."""
-
-    def __init__(self, rows: list[tuple[int, str]], gram: int = GRAM):
-        self.gram = gram
-        self.ids = [i for i, _ in rows]
-        self.words = [K.hash_words(text) for _, text in rows]
-        places: dict[int, list[tuple[int, int]]] = {}
-        self.sizes = sorted({min(gram, len(w)) for w in self.words if len(w)})
-        for item, words in enumerate(self.words):
-            if len(words):
-                for place, h in enumerate(K.gram_hashes(words, min(gram, len(words))).tolist()):
-                    places.setdefault(h, []).append((item, place))
-        found = sorted(places)
-        self.table = K.Lookup(np.array(found, dtype=np.uint64))
-        # By n-gram and item: the items that hold it, and where.
-        self.item = np.array([i for h in found for i, _ in places[h]], dtype=np.int64)
-        self.place = np.array([x for h in found for _, x in places[h]], dtype=np.int64)
-        self.keys = np.repeat(np.arange(len(found)), [len(places[h]) for h in found]) * len(rows) + self.item
-        self.slack = np.array([max(4, len(w) // 4) for w in self.words], dtype=np.int64)
-        self.needed = np.array([min(MIN_SEEDS, len(set(self._grams(w).tolist()))) for w in self.words], dtype=np.int64)
-        self.known = [np.unique(w) for w in self.words]
-
-    def hits(self, words: np.ndarray):
-        """Places of n-grams of any item, and their numbers."""
-        found = [self.table.find(K.gram_hashes(words, n)) for n in self.sizes]
-        sizes = np.concatenate([np.full(len(at), n) for (at, _), n in zip(found, self.sizes)] or [np.empty(0, int)])
-        at, which = (np.concatenate([f[i] for f in found] or [np.empty(0, int)]) for i in (0, 1))
-        return at, which, sizes
-
-    def stretches(self, at: np.ndarray, which: np.ndarray):
-        """Of the n-grams ``which`` at ``at`` of one document: (item, first and last start) where enough fall together."""
-        n = len(self.words)
-        total = (np.searchsorted(self.keys, (which + 1) * n) - np.searchsorted(self.keys, which * n)).sum()
-        bounds = np.linspace(0, n, min(n, int(total // _MEETINGS) + 1) + 1).astype(np.int64)
-        for low, high in zip(bounds[:-1], bounds[1:]):
-            begin, end = np.searchsorted(self.keys, which * n + low), np.searchsorted(self.keys, which * n + high)
-            counts = end - begin
-            from_ = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            item, start, gram = self.item[from_], np.repeat(at, counts) - self.place[from_], np.repeat(which, counts)
-            if not len(item):
-                continue
-            order = np.lexsort((start, item))
-            item, start, gram = item[order], start[order], gram[order]
-            new = np.ones(len(item), dtype=bool)
-            new[1:] = (item[1:] != item[:-1]) | (start[1:] > start[:-1] + self.slack[item[1:]])
-            number, heads = np.cumsum(new) - 1, np.flatnonzero(new)
-            tails = np.append(heads[1:], len(item)) - 1
-            distinct = np.bincount(np.unique(number * len(self.table.table) + gram) // len(self.table.table))
-            enough = distinct >= self.needed[item[heads]]
-            yield from zip(item[heads[enough]].tolist(), start[heads[enough]].tolist(), start[tails[enough]].tolist())
-
-    def _grams(self, words: np.ndarray) -> np.ndarray:
-        return K.gram_hashes(words, min(self.gram, len(words))) if len(words) else words
-
-
-def _pieces(batch, items: Items):
-    """``(row of the batch, words of the document, places, n-grams)`` for documents with hits."""
-    for begin, _, data, offsets in K.text_pieces(batch):
-        lowered = K.lower_ascii(data)
-        starts, ends, first = K.word_spans(lowered, offsets)
-        words = K.span_hashes(K.prefix_sums(lowered), starts, ends)
-        at, which, sizes = items.hits(words)
-        doc = np.searchsorted(first, at, side="right") - 1
-        inside = at + sizes <= first[doc + 1]
-        at, which, doc = at[inside], which[inside], doc[inside]
-        order = np.lexsort((at, doc))
-        at, which, doc = at[order], which[order], doc[order]
-        for d in np.unique(doc).tolist():
-            a, b = np.searchsorted(doc, [d, d + 1])
-            yield begin + d, words[first[d] : first[d + 1]], at[a:b] - first[d], which[a:b]
-
-
 def _may_leak(known: np.ndarray, size: int, words: np.ndarray) -> tuple[bool, bool]:
     """Whether words of the item stand dense enough for the share of the whole item, and for a passage."""
     index = np.minimum(np.searchsorted(known, words), len(known) - 1)
@@ -176,78 +122,253 @@ def _may_leak(known: np.ndarray, size: int, words: np.ndarray) -> tuple[bool, bo
     return bool(whole), bool(passage)
 
 
-def _find(items: Items, words: np.ndarray, at: np.ndarray, which: np.ndarray):
-    """Leaks in one document: item, score, matching words, first and end word of the best stretch of each item."""
-    best: dict[int, tuple[int, int, int, int]] = {}
-    for item, start, last in items.stretches(at, which):
-        own, slack = items.words[item], int(items.slack[item])
-        size, low = len(own), max(0, start - slack)
-        stretch = words[low : last + size + slack]
-        whole, part = _may_leak(items.known[item], size, stretch)
-        if not whole and not part:
-            continue
-        score, matches, first, end = align(own, stretch)
-        if score < SHARE * MATCH * size and (matches < PASSAGE or matches < ALIKE * (end - first)):
-            found = passage(own, stretch) if part else None
-            if found is None:
-                continue
-            score, matches, first, end = align(own, stretch[found[0] : found[1]])
-            first, end = found[0] + first, found[0] + end
-        if item not in best or score > best[item][0]:
-            best[item] = (score, matches, low + first, low + end)
-    for item, (score, *rest) in best.items():
-        yield item, score / (MATCH * len(items.words[item])), *rest
-
-
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
-    """Blocks of items with their seeds; the size of the benchmark is measured first."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    chars = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    blocks = chars // block_chars + 1
-    for block in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        yield Items(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])))
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def _score(own: np.ndarray, known: np.ndarray, stretch: np.ndarray):
+    """Score, matching words, first and end word of a leak in a stretch, or nothing."""
+    size = len(own)
+    whole, part = _may_leak(known, size, stretch)
+    if not whole and not part:
+        return None
+    score, matches, first, end = align(own, stretch)
+    if score < SHARE * MATCH * size and (matches < PASSAGE or matches < ALIKE * (end - first)):
+        found = passage(own, stretch) if part else None
+        if found is None:
+            return None
+        score, matches, first, end = align(own, stretch[found[0] : found[1]])
+        first, end = found[0] + first, found[0] + end
+    return score / (MATCH * size), matches, first, end
+
+
+def _batch(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def item_words(benchmark: DataFrame) -> DataFrame:
+    """``(item_id, key, words)``: the word hashes of each item with any, as bytes, and their digest."""
+
+    def run(batches):
+        for batch in batches:
+            ids, keys, words = [], [], []
+            for item_id, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
+                own = K.hash_words(text)
+                if len(own):
+                    ids.append(item_id)
+                    words.append(own.tobytes())
+                    keys.append(hashlib.sha1(words[-1]).hexdigest())
+            yield _batch({"item_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.string()), "words": pa.array(words, pa.binary())})
+
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    return items.mapInArrow(run, "item_id long, key string, words binary")
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """``(key, h, place, size)``: every n-gram of each of the different items of ``items(key, words)``, ``size`` words long."""
+
+    def run(batches):
+        for batch in batches:
+            for key, raw in zip(batch.column("key").to_pylist(), batch.column("words").to_pylist()):
+                own = np.frombuffer(raw, dtype=np.uint64)
+                size = min(GRAM, len(own))
+                h = K.gram_hashes(own, size).view(np.int64)
+                yield _batch({
+                    "key": pa.array([key] * len(h), pa.string()), "h": pa.array(h),
+                    "place": pa.array(np.arange(len(h))), "size": pa.array(np.full(len(h), size)),
+                })
+
+    return items.mapInArrow(run, "key string, h long, place long, size long")
+
+
+class Sieve:
+    """A bitmap that each of the given n-grams passes, and few others."""
+
+    def __init__(self, grams: DataFrame):
+        sizes = grams.groupBy("size").agg(F.approx_count_distinct("h").alias("n")).collect()  # at most GRAM rows
+        self.sizes = sorted(r["size"] for r in sizes)
+        bits = 1 << max(16, (64 * sum(r["n"] for r in sizes)).bit_length())
+        self.mask = min(bits, SIEVE_BITS) - 1
+        probes = F.array(*(F.shiftrightunsigned("h", s).bitwiseAND(F.lit(self.mask)) + 1 for s in _PROBES))
+        pages = (
+            grams.select(F.explode(probes).alias("bit"))
+            .groupBy(F.bitmap_bucket_number("bit").alias("page"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+        )
+        self.bits = np.zeros((self.mask + 1) // 8, dtype=np.uint8)
+        for r in pages.collect():  # at most SIEVE_BITS / 8 bytes
+            page = np.frombuffer(r["bits"], dtype=np.uint8)
+            at = (r["page"] - 1) * len(page)
+            self.bits[at : at + len(page)] = page
+
+    def passing(self, h: np.ndarray) -> np.ndarray:
+        """Positions of the hashes that pass."""
+        left = np.arange(len(h))
+        for s in _PROBES:
+            bit = (h[left] >> np.uint64(s)) & np.uint64(self.mask)
+            left = left[(self.bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        return left
+
+    def pieces(self, batch):
+        """``(first row, bytes, offsets, words, first words, places, hashes)`` of the n-grams that pass, by piece of a batch."""
+        for begin, _, data, offsets in K.text_pieces(batch):
+            lowered = K.lower_ascii(data)
+            starts, ends, first = K.word_spans(lowered, offsets)
+            words = K.span_hashes(K.prefix_sums(lowered), starts, ends)
+            at, h = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+            for size in self.sizes:
+                grams = K.gram_hashes(words, size)
+                found = self.passing(grams)
+                found = found[found + size <= first[np.searchsorted(first, found, side="right")]]
+                at.append(found)
+                h.append(grams[found])
+            at, h = np.concatenate(at), np.concatenate(h)
+            order = np.argsort(at, kind="stable")
+            yield begin, data, offsets, words, first, at[order], h[order]
+
+
+def rare(held: np.ndarray) -> np.ndarray:
+    """Which n-grams of an item are seeds, given in order how many items hold each."""
+    span = min(PASSAGE - GRAM + 1, len(held))
+    windows = np.sort(sliding_window_view(held, span), axis=1)
+    limit = windows[:, min(RAREST, span) - 1] * LENIENT
+    # The highest limit of all windows that hold the n-gram.
+    limit = sliding_window_view(np.pad(limit, span - 1), span).max(axis=1)
+    return held <= limit
+
+
+def choose_seeds(grams: DataFrame) -> DataFrame:
+    """``(key, h, place, n_words, needed)``: the rare n-grams of each item."""
+    held = grams.groupBy("h").agg(F.count_distinct("key").alias("held"))
+    per_item = grams.join(held, "h").groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("place", "h", "held"))).alias("all"), F.first("size").alias("size")
+    )
+
+    def run(batches):
+        for batch in batches:
+            for key, size, grams in zip(*(batch.column(c) for c in ("key", "size", "all"))):
+                place, h, held = (grams.values.field(c).to_numpy() for c in ("place", "h", "held"))
+                seeds = rare(held)
+                n = int(seeds.sum())
+                yield _batch({
+                    "key": pa.array([key.as_py()] * n, pa.string()), "h": pa.array(h[seeds]), "place": pa.array(place[seeds]),
+                    "n_words": pa.array(np.full(n, len(h) + size.as_py() - 1)),
+                    "needed": pa.array(np.full(n, min(MIN_SEEDS, len(np.unique(h[seeds]))))),
+                })
+
+    return per_item.mapInArrow(run, "key string, h long, place long, n_words long, needed long")
+
+
+def seeded_blocks(docs: DataFrame, sieve: Sieve, block_words: int) -> DataFrame:
+    """``(doc_id, uid, block, words, at, h)``: the words of documents with seeds, by block, and where seeds stand."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve)
+    kind = pa.schema([
+        ("doc_id", pa.int64()), ("uid", pa.string()), ("block", pa.int64()), ("words", pa.binary()),
+        ("at", pa.list_(pa.int64())), ("h", pa.list_(pa.int64())),
+    ])
+
+    def run(batches):
+        rows = []
+        for batch in batches:
+            doc_id = batch.column("doc_id")
+            for begin, data, offsets, words, first, at, h in sent.value.pieces(batch):
+                doc = np.searchsorted(first, at, side="right") - 1
+                for d in np.unique(doc).tolist():
+                    own = words[first[d] : first[d + 1]]
+                    a, b = np.searchsorted(doc, [d, d + 1])
+                    place, gram = at[a:b] - first[d], h[a:b].view(np.int64)
+                    uid = hashlib.sha1(data[offsets[d] : offsets[d + 1]].tobytes()).hexdigest()
+                    for block, low in enumerate(range(0, len(own), block_words)):
+                        x, y = np.searchsorted(place, [low, low + block_words])
+                        part = own[low : low + block_words].tobytes()
+                        rows.append((doc_id[begin + d].as_py(), uid, block, part, place[x:y], gram[x:y]))
+                        if len(rows) == _ROWS:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
+                            rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
+
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return ids.mapInArrow(run, "doc_id long, uid string, block long, words binary, at array<long>, h array<long>")
+
+
+def stretches(blocks: DataFrame, seeds: DataFrame, block_words: int) -> DataFrame:
+    """``(uid, key, span, low, stretch)``: where enough seeds of an item fall together, with room for words added or left out.
+
+    An item would start at the place of its seed less that in the item. Starts are dealt to spans that overlap by half,
+    so that starts no further apart than the item is long share one.
+    """
+    slack = F.greatest(F.lit(4).cast("long"), F.expr("n_words div 4"))
+    step = (F.col("n_words") + slack).alias("step")
+    hits = blocks.select("uid", F.explode(F.arrays_zip("at", "h")).alias("x")).select("uid", "x.at", "x.h")
+    met = hits.join(seeds, "h").select("uid", "key", "h", "n_words", "needed", step, (F.col("at") - F.col("place")).alias("start"))
+    span = F.floor(F.col("start") / F.col("step"))
+    spans = met.withColumn("span", F.explode(F.array(span - 1, span)))
+    together = spans.groupBy("uid", "key", "span", "n_words", "step").agg(
+        F.count_distinct("h").alias("seeds"), F.max("needed").alias("needed")
+    )
+    low = F.greatest(F.lit(0).cast("long"), F.col("span") * F.col("step") - slack).alias("low")
+    high = ((F.col("span") + 3) * F.col("step")).alias("high")
+    wanted = together.filter("seeds >= needed").select("uid", "key", "span", low, high).filter("high > low")
+    parts = wanted.withColumn("block", F.explode(F.expr(f"sequence(low div {block_words}, (high - 1) div {block_words})")))
+    base = F.col("block") * block_words
+    begin = F.greatest("low", base)
+    count = F.least("high", base + block_words) - begin
+    piece = F.substring("words", ((begin - base) * 8 + 1).cast("int"), (count * 8).cast("int"))
+    pieces = parts.join(blocks.select("uid", "block", "words"), ["uid", "block"]).select("uid", "key", "span", "low", "block", piece.alias("piece"))
+    whole = F.sort_array(F.collect_list(F.struct("block", "piece")))
+    joined = F.aggregate(whole, F.lit(b""), lambda text, x: F.concat(text, x["piece"]))
+    return pieces.groupBy("uid", "key", "span", "low").agg(joined.alias("stretch"))
+
+
+def scored(found: DataFrame, items: DataFrame) -> DataFrame:
+    """``(uid, key, score, n_matched, first_word, end_word)``: the best leak of each text and item."""
+
+    def run(batches):
+        for batch in batches:
+            rows, last = [], None
+            for uid, key, low, raw, stretch in zip(*(batch.column(c).to_pylist() for c in ("uid", "key", "low", "words", "stretch"))):
+                if key != last:
+                    last, own = key, np.frombuffer(raw, dtype=np.uint64)
+                    known = np.unique(own)
+                leak = _score(own, known, np.frombuffer(stretch, dtype=np.uint64))
+                if leak:
+                    rows.append((uid, key, leak[0], leak[1], low + leak[2], low + leak[3]))
+            if rows:
+                kinds = [pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+                names = ["uid", "key", "score", "n_matched", "first_word", "end_word"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    tested = found.join(items, "key").select("uid", "key", "low", "words", "stretch").mapInArrow(run, f"uid string, key string, {_FACTS}")
+    order = F.struct("score", -F.col("first_word"), -F.col("end_word"), "n_matched")
+    facts = F.struct("score", "n_matched", "first_word", "end_word")
+    return tested.groupBy("uid", "key").agg(F.max_by(facts, order).alias("best")).select("uid", "key", "best.*")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, block_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: leaks by text and words of an item, ``(uid, doc_id)`` and others of documents, and items."""
+    named = tables.written(item_words(benchmark))
+    items = named.groupBy("key").agg(F.first("words").alias("words"))
+    grams = tables.written(item_grams(items))
+    seeds = tables.written(choose_seeds(grams))
+    sizes = seeds.withColumn("size", F.least("n_words", F.lit(GRAM)))
+    rows = tables.written(seeded_blocks(docs, Sieve(sizes), block_words))
+    blocks = rows.groupBy("uid", "block").agg(*(F.first(c).alias(c) for c in ("words", "at", "h")))
+    best = tables.written(scored(stretches(blocks, seeds, block_words), items))
+    tables.drop(grams, seeds)
+    return best, rows, named
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(doc_id, item_id, score, n_matched, first_word, end_word)`` for every row of ``docs(doc_id, text)`` and each
     item it holds; the words are numbered from 0."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    names = ["doc_id", "item_id", "score", "n_matched", "first_word", "end_word"]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
-    out = None
-    for items in item_blocks(benchmark, block_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
-
-        def run(batches, sent=sent):
-            items = sent.value
-            for batch in batches:
-                doc_id, rows = batch.column("doc_id"), []
-                for row, words, at, which in _pieces(batch, items):
-                    for item, *facts in _find(items, words, at, which):
-                        rows.append((doc_id[row].as_py(), items.ids[item], *facts))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-        kind = "doc_id long, item_id long, score double, n_matched long, first_word long, end_word long"
-        found = docs.mapInArrow(run, kind)
-        out = found if out is None else out.unionByName(found)
+    best, rows, named = _found(docs, benchmark, block_words)
+    facts = ("score", "n_matched", "first_word", "end_word")
+    copies = rows.filter("block = 0").select("uid", "doc_id")
+    out = tables.written(best.join(copies, "uid").join(named.select("key", "item_id"), "key").select("doc_id", "item_id", *facts))
+    tables.drop(best, rows, named)
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows without a leak of any item, with all their columns."""
-    for items in list(item_blocks(benchmark, block_chars)):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
-
-        def run(batches, sent=sent):
-            items = sent.value
-            for batch in batches:
-                clean = np.ones(batch.num_rows, dtype=bool)
-                for row, words, at, which in _pieces(batch, items):
-                    if next(_find(items, words, at, which), None) is not None:
-                        clean[row] = False
-                yield batch.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    best, rows, named = _found(docs.select("doc_id", "text"), benchmark, block_words)
+    tables.drop(rows, named)
+    found = best.select("uid").distinct()
+    return docs.join(found, F.sha1(docs["text"]) == found["uid"], "left_anti")
