@@ -17,7 +17,7 @@ and streamed in order through an incremental SHA-1. No record is put together an
 
 Of records with equal payloads of at least ``LEAST`` bytes that with the largest id is the response and the others
 revisit it, without payload; equal means equal SHA-1 digest. Null html counts as empty. Smaller payloads are always
-responses. A row with a null id revisits one with an id; repeated rows with the largest id are all responses. Line
+responses. A revisit refers to the record id of its response. A row with a null id revisits one with an id; repeated rows with the largest id are all responses. Line
 ends in a URL are dropped.
 """
 
@@ -40,19 +40,30 @@ _TAIL = len(CRLF) + 8  # what stands after the text of a chunk: a line end and t
 
 
 def with_roles(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """Payload facts and, for revisits, the id of the response."""
+    """Payload facts, the record id ``rid`` and, for revisits, the page and the record of the response. Record ids number the
+    rows, so ``pages`` must be read alike each time, as a table is."""
     facts = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.regexp_replace(F.coalesce("url", F.lit("")), "[\\r\\n]", "").alias("url"),
         F.coalesce("html", F.lit("")).alias("payload"),
     ).select("*", F.octet_length("payload").cast("long").alias("n"), F.sha1("payload").alias("digest"))
-    # Digests and ids only; combined before the shuffle.
-    latest = facts.filter(F.col("n") >= least).groupBy("digest").agg(F.max("page_id").alias("latest"))
+    facts = facts.withColumn("row", F.monotonically_increasing_id())
+    rid = lambda page, row: F.concat_ws("-", F.coalesce(F.col(page).cast("string"), F.lit("null")), row)
+    # Digests and ids only, combined before the shuffle; digests that occur once have no revisits.
+    latest = (
+        facts.filter(F.col("n") >= least)
+        .groupBy("digest")
+        .agg(F.max("page_id").alias("latest"), F.max_by("row", "page_id").alias("latest_row"), F.count("*").alias("rows"))
+        .filter("rows > 1 and latest is not null")
+        .drop("rows")
+    )
     is_revisit = F.col("latest").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("latest")))
     return (
-        facts.join(latest.filter("latest is not null"), "digest", "left")
+        facts.join(latest, "digest", "left")
         .withColumn("refers_to", F.when(is_revisit, F.col("latest")))
-        .drop("latest")
+        .withColumn("refers_to_rid", F.when(is_revisit, rid("latest", "latest_row")))
+        .withColumn("rid", rid("page_id", "row"))
+        .drop("latest", "latest_row", "row")
     )
 
 
@@ -61,9 +72,7 @@ def _chunks(payload: Column, size: int) -> Column:
     pieces = F.when(payload.contains(MARK), F.split(payload, "(?<=;record)(?==)", -1)).otherwise(F.array(payload))
     cut = F.transform(
         pieces,
-        lambda p: F.when(F.length(p) <= size, F.array(p)).otherwise(
-            F.transform(F.sequence(F.lit(0), F.ceil(F.length(p) / F.lit(size)).cast("int") - 1), lambda i: F.substr(p, i * size + 1, F.lit(size)))
-        ),
+        lambda p: F.when(F.length(p) <= size, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))),
     )
     return F.filter(F.flatten(cut), lambda p: p != "")
 
@@ -72,7 +81,6 @@ def rows_of_records(roles: DataFrame, date: str = "2024-01-01T00:00:00Z", chunk:
     """The rows of the archive, in order, as ``value``."""
     records = roles.select(
         "*",
-        F.concat_ws("-", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.monotonically_increasing_id()).alias("rid"),
         F.when(F.col("refers_to").isNull(), _chunks(F.col("payload"), chunk)).otherwise(F.array().cast("array<string>")).alias("c"),
     )
     extension = lambda i: F.concat(F.lit(MARK), "rid", F.lit(";chunk="), i, F.lit(";of="), F.size("c"), F.lit(CRLF))
@@ -97,7 +105,7 @@ def rows_of_records(roles: DataFrame, date: str = "2024-01-01T00:00:00Z", chunk:
         F.coalesce(
             F.concat(
                 line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-                line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
+                line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), "refers_to_rid", F.lit(">"))),
                 line("WARC-Payload-Length", F.col("n").cast("string")),
             ),
             F.lit(""),
@@ -165,6 +173,11 @@ def _digest_streams(chunks: DataFrame) -> DataFrame:
     return dealt.select("rid", "text").mapInArrow(run, "rid string, n long, digest string")
 
 
+def _page(rid: Column) -> Column:
+    """The page of a record id, which ends with the number of a row."""
+    return F.regexp_extract(rid, "^(.*)-", 1).try_cast("bigint")
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of each record."""
     table = chunk_table(spark, path)
@@ -176,7 +189,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         F.struct(
             field("WARC-Record-ID", "<urn:page:(.*?)>").alias("rid"),
             kind.alias("kind"),
-            F.when(kind == "revisit", field("WARC-Refers-To", "<urn:page:(.*?)>").cast("long")).alias("refers_to"),
+            F.when(kind == "revisit", _page(field("WARC-Refers-To", "<urn:page:(.*?)>"))).alias("refers_to"),
             F.when(kind == "revisit", field("WARC-Payload-Length").cast("long")).alias("n"),
             F.when(kind == "revisit", field("WARC-Payload-Digest", "sha1:(.*?)")).alias("digest"),
             F.lit(False).alias("empty"),
@@ -202,7 +215,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         .groupBy("rid")
         .agg(*(F.max(c).alias(c) for c in ("kind", "refers_to", "n", "digest")))
         .select(
-            F.expr("try_cast(substring_index(rid, '-', size(split(rid, '-')) - 1) as bigint)").alias("page_id"),
+            _page(F.col("rid")).alias("page_id"),
             F.coalesce("n", F.lit(0)).cast("long").alias("payload_bytes"),
             F.coalesce("digest", empty).alias("payload_digest"),
             F.col("kind").alias("record_type"),

@@ -43,9 +43,9 @@ def test_archives(spark, tmp_path, chunk):
 
 
 def test_files_are_valid_archives(spark, tmp_path):
-    """Every record's length leads to the next one, and its chunks give the payload."""
+    """Every record's length leads to the next one, its chunks give the payload, and revisits name a response."""
     warc.write_archives(spark.createDataFrame(PAGES, SCHEMA).coalesce(1), str(tmp_path / "a"), chunk=600)
-    seen = []
+    seen, responses, named = [], {}, []
     for file in (tmp_path / "a").glob("*.gz"):
         raw = gzip.decompress(file.read_bytes())
         while raw:
@@ -65,8 +65,12 @@ def test_files_are_valid_archives(spark, tmp_path):
             assert not body
             if fields[b"WARC-Type"] == b"response":
                 assert fields[b"WARC-Payload-Digest"] == b"sha1:" + hashlib.sha1(payload).hexdigest().encode()
+                responses[fields[b"WARC-Record-ID"]] = fields[b"WARC-Payload-Digest"]
+            else:
+                named.append((fields[b"WARC-Refers-To"], fields[b"WARC-Payload-Digest"]))
             seen.append(fields[b"WARC-Type"])
-    assert len(seen) == len(PAGES)
+    assert len(seen) == len(PAGES) and len(responses) + len(named) == len(PAGES)
+    assert named and all(responses[to] == digest for to, digest in named)
 
 
 def test_no_pages(spark, tmp_path):
