@@ -1,11 +1,14 @@
 """Gradient boosting on histograms: leaf-wise trees with an L2 term on leaf values, the models of all folds side by side.
 
-Rows are quantile bins (:class:`farelake.operators.forest.Bins`), held as blocks of ``BLOCK_ROWS`` with the raw score of every
-model. A pass adds up, for the nodes asked for of all models at once, the row count, gradient and second derivative of the
-log-loss by feature and bin; what reaches the driver is 6 KB a model, node and feature, whatever the number of rows. The
-driver plays the splits through in order of gain; where it meets nodes whose children are not known yet, one pass brings
-those of all of them, so a tree needs about as many passes as it is deep and comes out as if split one leaf at a time.
-Trees are added to the scores on the fly; every ``WRITE_EVERY`` rounds the blocks are written with new scores.
+Rows are quantile bins (:class:`farelake.operators.forest.Bins`). Each model holds those it learns in parts of about
+``PART_ROWS``, one block a part with their labels and raw scores. A pass adds up, for the nodes asked for of all models at
+once, the row count, gradient and second derivative of the log-loss by feature and bin. The sums of the parts of a model meet
+on the executors, which find the best split of each node; the driver gets that split alone, so what it holds does not
+depend on rows, features or parts. A model of one part needs no shuffle for this. The driver plays the splits through in
+order of gain; where it meets nodes whose children are not known yet, one pass brings those of all of them, so a tree needs
+about as many passes as it is deep and comes out as if split one leaf at a time. Trees are added to the scores on the fly;
+every ``WRITE_EVERY`` rounds the blocks are written with new scores. Rows lie in the order of a digest of their unit and
+parts are added in order, so that sums do not depend on the layout.
 
 A split must leave ``min_leaf`` rows on both sides and gain more than nothing. Ties go to the first feature and lowest bin.
 A model is its trees: at most ``rounds`` times ``leaves`` nodes, which is what a scoring job sends to its tasks.
@@ -16,6 +19,8 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +33,9 @@ from farelake import config as C
 from farelake.operators.forest import Bins, matrix, points
 from farelake.session import drop_dir, materialise, run_dir, ship
 
-BLOCK_ROWS = 1 << 16
+PART_ROWS = 1 << 17
 WRITE_EVERY = 10
+MEET = 64  # tasks in which the sums of the parts meet, at most
 
 
 class Tree:
@@ -40,11 +46,15 @@ class Tree:
         self.value = np.array(value, dtype=float)
 
     def leaf(self, x: np.ndarray) -> np.ndarray:
-        node, rows = np.zeros(len(x), dtype=np.int32), np.arange(len(x))
-        while len(rows):
-            rows = rows[self.feature[node[rows]] >= 0]
-            at = node[rows]
-            node[rows] = np.where(x[rows, self.feature[at]] <= self.bin[at], self.left[at], self.right[at])
+        """The leaf of every row; ``x`` is read by column."""
+        node, stack = np.zeros(len(x), dtype=np.int32), [(0, np.arange(len(x)))]
+        while stack:
+            at, rows = stack.pop()
+            if self.feature[at] < 0 or not len(rows):
+                node[rows] = at
+                continue
+            goes_left = x[:, self.feature[at]].take(rows) <= self.bin[at]
+            stack += [(self.left[at], rows[goes_left]), (self.right[at], rows[~goes_left])]
         return node
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
@@ -56,13 +66,14 @@ class Tree:
 
 def sums_by_bin(x, gradient, second, slot: np.ndarray, slots: int) -> np.ndarray:
     """Rows, gradient and second derivative by (slot, feature, bin); rows of slot -1 are left out."""
-    some = slot >= 0
-    x, slot = x[some], slot[some]
-    features = x.shape[1]
-    at = ((slot[:, None].astype(np.int64) * features + np.arange(features)) * 256 + x).ravel()
-    size = slots * features * 256
-    parts = [np.bincount(at, np.repeat(v[some], features), size) for v in (np.ones(len(gradient)), gradient, second)]
-    return np.stack(parts, axis=1).reshape(slots, features, 256, 3)
+    some = np.flatnonzero(slot >= 0)
+    base, gradient, second = slot[some].astype(np.int64) * 256, gradient[some], second[some]
+    out = np.empty((slots, x.shape[1], 256, 3))
+    for feature in range(x.shape[1]):
+        at = base + x[:, feature].take(some)
+        for i, weights in enumerate((None, gradient, second)):
+            out[:, feature, :, i] = np.bincount(at, weights, slots * 256).reshape(slots, 256)
+    return out
 
 
 def best_split(sums: np.ndarray, min_leaf: int, l2: float):
@@ -91,12 +102,12 @@ class _Growing:
         self.sums, self.split, self.children = {0: None}, {}, {}
         self.wanted = [0]
 
-    def learn(self, found: np.ndarray) -> None:
-        """Takes the sums of the wanted nodes and wants those that the next splits need."""
-        for node, sums in zip(self.wanted, found):
+    def learn(self, found: dict) -> None:
+        """Takes the sums and the best split of the wanted nodes and wants those that the next splits need."""
+        for place, node in enumerate(self.wanted):
+            sums, self.split[node] = found[place]
             if self.sums[node] is None:
-                self.sums[node] = sums[0].sum(axis=0)
-            self.split[node] = best_split(sums, self.min_leaf, self.l2)
+                self.sums[node] = sums
         self.wanted = []
         _, met = self._play()
         for node in met:
@@ -160,7 +171,7 @@ class Boosted:
         def run(batches):
             start, trees = sent.value
             for batch in batches:
-                x = matrix(batch.column("_bins"))
+                x = np.asfortranarray(matrix(batch.column("_bins")))
                 raw = np.tile(start, (batch.num_rows, 1))
                 if len(x):
                     for k, of_model in enumerate(trees):
@@ -188,51 +199,61 @@ def fit(
     found = [c.first() for c in counts]
     start = np.array([np.log((r.s or 0) + 1e-9) - np.log(r.n - (r.s or 0) + 1e-9) for r in found])
 
-    def blocks_of(rows):
-        held = []
-        for row in rows:
-            held.append(row)
-            if len(held) == BLOCK_ROWS:
-                yield block(held)
-                held = []
-        if held:
-            yield block(held)
+    parts = max(1, ceil(max((r.n for r in found), default=0) / PART_ROWS))
+    dealt = _dealt(units, models, parts).rdd.map(lambda r: (r.model * parts + r.part, r))
+    first = start.tolist()
 
     def block(rows):
-        x = np.frombuffer(b"".join(bytes(r.x) for r in rows), np.uint8).reshape(len(rows), -1)
-        y, fold = np.array([r.y for r in rows], float), np.array([r.fold for r in rows])
-        return x, y, np.stack([fold != k for k in models]), np.tile(start[:, None], len(rows))
+        own = {}
+        for at, row in rows:
+            own.setdefault(at, []).append(row)
+        for at, pieces in own.items():
+            y, digest, x = (b"".join(bytes(p[c]) for p in pieces) for c in ("y", "digest", "x"))
+            y, digest = np.frombuffer(y, np.uint8), np.frombuffer(digest, np.int64)
+            order = np.argsort(digest, kind="stable")
+            x, k = np.frombuffer(x, np.uint8).reshape(len(y), -1)[order], at // parts
+            yield k, at % parts, np.asfortranarray(x), y[order].astype(float), np.full(len(y), first[k])
 
     def with_trees(block, recent):
-        x, y, learns, raw = block
-        return x, y, learns, raw + np.array([sum((t(x) for t in trees), np.zeros(len(x))) for trees in recent])
+        k, part, x, y, raw = block
+        return k, part, x, y, raw + sum((t(x) for t in recent[k]), np.zeros(len(x)))
 
-    blocks = units.rdd.mapPartitions(blocks_of).persist(StorageLevel.MEMORY_AND_DISK)
-    depth = 1 if blocks.getNumPartitions() <= 32 else 2
+    blocks = dealt.partitionBy(len(models) * parts, int).mapPartitions(block).persist(StorageLevel.MEMORY_AND_DISK)
     trees, recent, passes, written = [[] for _ in models], [[] for _ in models], 0, None
 
-    def sums(growing):
-        asked = [(k, g.tree(False), g.wanted) for k, g in enumerate(growing) if g.wanted]
-
-        def of_blocks(part, recent=[list(r) for r in recent], asked=asked):
-            total = {}
-            for one in part:
-                x, y, learns, raw = with_trees(one, recent)
-                for k, tree, wanted in asked:
-                    p = 1 / (1 + np.exp(-raw[k]))
-                    slots = np.full(len(tree.feature), -1)
-                    slots[wanted] = np.arange(len(wanted))
-                    slot = np.where(learns[k], slots[tree.leaf(x)], -1)
-                    own = sums_by_bin(x, p - y, p * (1 - p), slot, len(wanted))
-                    total[k] = total[k] + own if k in total else own
-            return [total]
-
-        return blocks.mapPartitions(of_blocks).treeReduce(_add, depth)
+    def splits(growing):
+        """By model and place among its wanted nodes: the node's sums and best split."""
+        asked = {k: (g.tree(False), g.wanted) for k, g in enumerate(growing) if g.wanted}
+        min_leaf, l2 = grid.gbt_min_leaf, grid.gbt_l2
+
+        def sums(held, recent=[list(r) for r in recent], asked=asked):
+            for one in held:
+                if one[0] not in asked:
+                    continue
+                k, part, x, y, raw = with_trees(one, recent)
+                tree, wanted = asked[k]
+                p = 1 / (1 + np.exp(-raw))
+                slots = np.full(len(tree.feature), -1)
+                slots[wanted] = np.arange(len(wanted))
+                for place, own in enumerate(sums_by_bin(x, p - y, p * (1 - p), slots[tree.leaf(x)], len(wanted))):
+                    yield (k, place), (part, own)
+
+        def best(node):
+            key, of_parts = node
+            total = reduce(np.add, (own for _, own in sorted(of_parts, key=lambda p: p[0])))
+            return key, (total[0].sum(axis=0), best_split(total, min_leaf, l2))
+
+        by_part = blocks.mapPartitions(sums)
+        nodes = by_part.mapValues(lambda own: [own]) if parts == 1 else by_part.groupByKey(min(len(asked) * parts, MEET))
+        out = [{} for _ in growing]
+        for (k, place), split in nodes.map(best).collect():
+            out[k][place] = split
+        return out
 
     for done in range(grid.gbt_rounds if found and all(r.n for r in found) else 0):
         growing = [_Growing(grid.gbt_leaves, grid.gbt_min_leaf, grid.gbt_l2, grid.gbt_step) for _ in models]
         while any(g.wanted for g in growing):
-            new, passes = sums(growing), passes + 1
+            new, passes = splits(growing), passes + 1
             for k, g in enumerate(growing):
                 if g.wanted:
                     g.learn(new[k])
@@ -253,8 +274,27 @@ def fit(
     return Boosted(bins, models, start, trees, passes)
 
 
-def _add(a: dict, b: dict) -> dict:
-    return {k: a[k] + b[k] if k in a and k in b else a.get(k, b.get(k)) for k in a.keys() | b.keys()}
+def _dealt(units: DataFrame, models: Sequence[int], parts: int) -> DataFrame:
+    """The rows that each model learns, in pieces of its parts."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = matrix(batch.column("x")), batch.column("y").to_numpy().astype(np.uint8)
+            fold = np.array([-2 if v is None else v for v in batch.column("fold").to_pylist()])
+            digest, part = batch.column("digest").to_numpy(), batch.column("part").to_numpy()
+            rows = []
+            for k, left_out in enumerate(models):
+                for p in np.unique(part):
+                    at = np.flatnonzero((fold != left_out) & (part == p))
+                    if len(at):
+                        rows.append((k, int(p), y[at].tobytes(), digest[at].tobytes(), x[at].tobytes()))
+            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["model", "part", "y", "digest", "x"])
+
+    digest = F.xxhash64("id")
+    rows = units.select("y", "fold", "x", digest.alias("digest"), F.pmod(F.shiftright(digest, 20), F.lit(parts)).alias("part"))
+    return rows.mapInArrow(run, "model int, part int, y binary, digest binary, x binary")
 
 
 def cross_validate(

@@ -1,5 +1,6 @@
 """Boosting against a plain one that splits one leaf at a time."""
 
+import pickle
 import random
 
 import numpy as np
@@ -90,3 +91,20 @@ def test_importance_of_the_signal(units):
     by = {r.feature: r.importancia_media for r in found.collect()}
     assert set(by) == {*NUMERIC, "perfil"} and by["x"] == max(by.values()) > 0.1
     assert abs(by["flat"]) < 1e-12 and by["perfil"] > 0.02 > abs(by["z"])
+
+
+def test_parts_meet_on_the_executors(units, monkeypatch):
+    """The driver gets the best split of a node, not its sums by bin, and parts give the models of a single part."""
+    whole = boosting.fit(units, NUMERIC, "etiqueta", "unidad_id", "perfil", [-1, 2], GRID)
+    sizes, learn = [], boosting._Growing.learn
+
+    def spy(self, found):
+        sizes.append(len(pickle.dumps(found)) / len(self.wanted))
+        learn(self, found)
+
+    monkeypatch.setattr(boosting, "PART_ROWS", 90)
+    monkeypatch.setattr(boosting._Growing, "learn", spy)
+    fitted = boosting.fit(units.repartition(7), NUMERIC, "etiqueta", "unidad_id", "perfil", [-1, 2], GRID)
+    assert max(sizes) < 2000 and fitted.passes == whole.passes
+    for own, other in zip(fitted.trees, whole.trees):
+        assert all((a.feature == b.feature).all() and np.allclose(a.value, b.value, atol=1e-9) for a, b in zip(own, other))
