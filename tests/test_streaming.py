@@ -85,6 +85,16 @@ def test_clean_remembers_rejected_reads_and_survives_a_batch_without_valid_rows(
     ]
 
 
+def test_clean_writes_a_file_for_a_day_and_not_one_a_task(spark, tmp_path):
+    rows = [(i, datetime(2026, 1, 1 + i % 10, 5), True) for i in range(400)]
+    jobs.clean(
+        _batches(spark, tmp_path, [rows]), f"{tmp_path}/out", f"{tmp_path}/cp", "x", ["id"], ["t"], "t", F.col("id").cast("string"),
+        [Rule("malo", ~F.col("ok"), "no vale")], Rule(C.REASON_DUPLICATE, F.lit(True), "repetida"),
+    )
+    valid = spark.read.parquet(f"{tmp_path}/out/validos")
+    assert valid.count() == 400 and len(valid.inputFiles()) == 10
+
+
 def test_first_arrivals_over_batches(spark, tmp_path):
     at = lambda h: datetime(2026, 1, 1, h)
     files = [[(1, at(1), True), (1, at(0), True)], [(1, at(2), True), (2, at(3), True)], [(2, at(4), True), (None, at(5), True), (None, at(5), True)]]
