@@ -86,7 +86,7 @@ def test_clean_remembers_rejected_reads_and_survives_a_batch_without_valid_rows(
 
 
 def test_clean_writes_a_file_for_a_day_and_not_one_a_task(spark, tmp_path):
-    rows = [(i, datetime(2026, 1, 1 + i % 10, 5), True) for i in range(400)]
+    rows = [(i, datetime(2026, 1, 1 + i % 10, 5), True) for i in range(400) for _ in range(2)]  # repeats meet in several tasks
     jobs.clean(
         _batches(spark, tmp_path, [rows]), f"{tmp_path}/out", f"{tmp_path}/cp", "x", ["id"], ["t"], "t", F.col("id").cast("string"),
         [Rule("malo", ~F.col("ok"), "no vale")], Rule(C.REASON_DUPLICATE, F.lit(True), "repetida"),
