@@ -160,10 +160,6 @@ class Boosted:
     trees: list
     passes: int
 
-    def one(self, k: int) -> Boosted:
-        """The ``k``-th model alone."""
-        return Boosted(self.bins, self.left_out[k : k + 1], self.start[k : k + 1], self.trees[k : k + 1], self.passes)
-
     def scores(self, df: DataFrame, out: str = "puntajes") -> DataFrame:
         """``df`` with an array of the probability of label 1 by each model."""
         sent = df.sparkSession.sparkContext.broadcast((self.start, self.trees))
@@ -185,6 +181,27 @@ class Boosted:
         binned = self.bins.rows(df, *[F.col(c) for c in df.columns])
         return binned.mapInArrow(run, StructType([*df.schema.fields, StructField(out, ArrayType(DoubleType()))]))
 
+    def own_scores(self, binned: DataFrame, fold: str, out: str) -> DataFrame:
+        """``binned`` (rows of :meth:`Bins.rows`) with the probability by the model that has not seen the row's fold."""
+        sent = binned.sparkSession.sparkContext.broadcast((self.left_out, self.start, self.trees))
+        kept = [f for f in binned.schema.fields if f.name != "_bins"]
+
+        def run(batches):
+            left_out, start, trees = sent.value
+            for batch in batches:
+                x, folds = matrix(batch.column("_bins")), batch.column(fold).to_numpy()
+                raw = np.full(len(x), np.nan)
+                for k in range(len(left_out)):
+                    own = np.flatnonzero(folds == left_out[k])
+                    if len(own):
+                        part = np.asfortranarray(x[own])
+                        raw[own] = sum((tree(part) for tree in trees[k]), np.full(len(own), start[k]))
+                columns = [batch.column(f.name) for f in kept]
+                names = [*[f.name for f in kept], out]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(1 / (1 + np.exp(-raw)), pa.float64())], names)
+
+        return binned.mapInArrow(run, StructType([*kept, StructField(out, DoubleType())]))
+
 
 def fit(
     df: DataFrame, numeric: Sequence[str], label: str, unit: str, profile: str, left_out: Sequence[int],

@@ -108,3 +108,19 @@ def test_parts_meet_on_the_executors(units, monkeypatch):
     assert max(sizes) < 2000 and fitted.passes == whole.passes
     for own, other in zip(fitted.trees, whole.trees):
         assert all((a.feature == b.feature).all() and np.allclose(a.value, b.value, atol=1e-9) for a, b in zip(own, other))
+
+
+def test_importance_scores_all_folds_in_one_job(units, monkeypatch):
+    """Copies are bytes of bins and are scored as columns of values were, without a job for each fold."""
+    grid = C.ModelGrid(gbt_rounds=5, gbt_min_leaf=12, gbt_leaves=7, permutation_repeats=2)
+    known = units.filter("etiqueta is not null")
+    fitted = boosting.fit(known, NUMERIC, "etiqueta", "unidad_id", "perfil", range(C.FOLDS), grid)
+
+    def by_fold(k):
+        return lambda rows: fitted.scores(rows).withColumn("puntaje", F.col("puntajes")[k])
+
+    expected = models.importances(known, NUMERIC, by_fold, 2).collect()
+    monkeypatch.setattr(models, "run_all", None)
+    found = models.boosting_importance(known, NUMERIC, grid).collect()
+    assert [r.feature for r in found] == [r.feature for r in expected]
+    assert np.allclose([r[1:] for r in found], [r[1:] for r in expected], atol=1e-12)
