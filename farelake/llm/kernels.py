@@ -68,7 +68,7 @@ def text_pieces(batch: pa.RecordBatch, name: str = "text", limit: int = PIECE_BY
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield at, end, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
-    if offsets[-1] - offsets[0] > limit:
+    if offsets[-1] - offsets[0] > max(limit, PIECE_BYTES):
         trim()
 
 

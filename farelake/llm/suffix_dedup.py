@@ -43,9 +43,11 @@ from farelake.llm.fingerprints import _window_min
 LENGTH, WINDOW = 50, 16
 BUCKET_BYTES = 8 << 20
 CROWD = 1000
+SORT_ROWS = 20_000
 _FLUSH_STRINGS = 1 << 19
 _HALF = (LENGTH - WINDOW + 1) // 2
 _FLUSH_BYTES = 12 << 20
+_PIECE_BYTES = 1 << 18  # temporary arrays of eight bytes a byte of text fit a core's cache
 _LAST = (1 << 63) - 1
 _PLACE = 40
 
@@ -118,7 +120,7 @@ def _entries(buckets: int):
         kept, size = [], 0
         for batch in batches:
             keys = batch.column("doc_key").to_numpy()
-            for begin, _, data, offsets in K.text_pieces(batch):
+            for begin, _, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
                 p = parse(data, offsets)
                 if len(p["doc"]):
                     kept.append((p["trigger"], p["code"], p["left"], p["right"], keys[begin + p["doc"]]))
@@ -229,15 +231,21 @@ def _least_of_strings(one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> list
     return [one[at].view(np.int64), two[at].view(np.int64), doc[at], doc[np.append(at[1:], len(doc)) - 1]]
 
 
-def _runs_of(first: np.ndarray, last: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of bytes covered by strings that start in ``first..last``; both sorted."""
+def _runs_of(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes covered by strings that start in ``first..last``, with their documents; all rising."""
     if not len(first):
-        return first, last
-    end = np.maximum.accumulate(last + length)
+        return doc, first, last
+    end = np.maximum.accumulate(last + LENGTH)
     new = np.ones(len(first), dtype=bool)
-    new[1:] = first[1:] > end[:-1]
+    new[1:] = (first[1:] > end[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(new)
-    return first[at], end[np.append(at[1:], len(first)) - 1]
+    return doc[at], first[at], end[np.append(at[1:], len(first)) - 1]
+
+
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The owner of each of ``counts`` items in a row, and its number there."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
 
 
 def _pack(batches):
@@ -264,7 +272,7 @@ def _unpacked(batch: pa.RecordBatch, rows: int = 128):
 def _text_pieces(batch: pa.RecordBatch):
     for part in _unpacked(batch):
         keys = part.column("doc_key").to_numpy()
-        for begin, end, data, offsets in K.text_pieces(part):
+        for begin, end, data, offsets in K.text_pieces(part, limit=_PIECE_BYTES):
             yield part, keys, begin, end, data, offsets
 
 
@@ -314,50 +322,69 @@ def _settle(finish: Callable, schema: pa.Schema):
             for batch, keys, begin, end, data, offsets in _text_pieces(batch):
                 p = parse(data, offsets)
                 name = _named(keys[begin + p["doc"]], p["code"])
-                repeated = np.zeros(len(name), dtype=bool)
-                repeated[tables_[0].find(name)[0]] = True
+                repeated = np.sort(tables_[0].find(name)[0])
                 doubt, crowded = tables_[1].find(name)[0], tables_[2].find(name)[0]
                 if len(crowded):
-                    counts = p["last"][crowded] - p["first"][crowded] + 1
-                    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                    at = np.repeat(p["first"][crowded], counts) + inner
-                    doc = keys[begin + np.repeat(p["doc"][crowded], counts)]
-                    strings.append((*_string_names(data, K.prefix_sums(data), at), doc))
-                    size += len(at)
+                    owner, inner = _spread(p["last"][crowded] - p["first"][crowded] + 1)
+                    doc = keys[begin + p["doc"][crowded][owner]]
+                    strings.append((*_string_names(data, K.prefix_sums(data), p["first"][crowded][owner] + inner), doc))
+                    size += len(owner)
                     if size >= _FLUSH_STRINGS:
                         yield flush(group, strings)
                         strings, size = [], 0
-                rows = {c: [] for c in schema.names}
+                rows = {f.name: [] for f in schema if f.name != "rest" and f.name[:2] not in ("q_", "s_")}
                 in_doubt = {*p["doc"][doubt].tolist(), *p["doc"][crowded].tolist()}
-                bounds = np.searchsorted(p["doc"], np.arange(end - begin + 1)).tolist()
+                doc, first, last = _runs_of(p["doc"][repeated], p["first"][repeated], p["last"][repeated])
+                first, last = first - offsets[doc], last - offsets[doc]
+                bounds = np.searchsorted(doc, np.arange(end - begin + 1)).tolist()
                 for i in range(end - begin):
-                    own = np.flatnonzero(repeated[bounds[i] : bounds[i + 1]]) + bounds[i]
-                    first, last = _runs_of(p["first"][own] - offsets[i], p["last"][own] - offsets[i])
+                    own = slice(bounds[i], bounds[i + 1])
                     raw = data[offsets[i] : offsets[i + 1]]
-                    rest = batch.column("rest")[begin + i]
-                    row = {"rest": rest}
                     if i in in_doubt:
-                        row |= {"doc_key": int(keys[begin + i]), "g": group, "packed": packer.compress(raw.tobytes()), "runs": _pack_runs(first, last)}
+                        row = {"doc_key": int(keys[begin + i]), "g": group, "packed": packer.compress(raw.tobytes()), "runs": _pack_runs(first[own], last[own])}
                     else:
-                        row |= finish(raw, first, last)
+                        row = finish(raw, first[own], last[own])
                     _add(rows, row)
-                for q in doubt.tolist():
-                    a, b = p["first"][q], p["last"][q] + LENGTH
-                    _add(rows, {
-                        "q_trigger": int(p["trigger"][q] >> np.uint64(32)), "q_code": int(p["code"][q].view(np.int64)),
-                        "q_doc": int(keys[begin + p["doc"][q]]), "q_lead": int(p["place"][q] - a), "q_text": data[a:b].tobytes(),
+                yield _batch(schema, end - begin, rows | {"rest": batch.column("rest").slice(begin, end - begin)})
+                if len(doubt):
+                    # a phrase that its document repeats is asked for once
+                    doubt = doubt[np.unique(name[doubt], return_index=True)[1]]
+                    a, lengths = p["first"][doubt], p["last"][doubt] + LENGTH - p["first"][doubt]
+                    owner, inner = _spread(lengths)
+                    yield _batch(schema, len(doubt), {
+                        "q_trigger": (p["trigger"][doubt] >> np.uint64(32)).astype(np.int64), "q_code": p["code"][doubt].view(np.int64),
+                        "q_doc": keys[begin + p["doc"][doubt]], "q_text": _binary(data[a[owner] + inner], lengths),
                     })
-                yield pa.RecordBatch.from_arrays([_array(rows[f.name], f.type) for f in schema], schema=schema)
         if strings:
             yield flush(group, strings)
 
     return run
 
 
-def _array(values, kind):
-    if pa.types.is_struct(kind):
-        return pa.array([None if v is None else v.as_py() for v in values], kind)
-    return pa.array(values, kind)
+def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Strings of these lengths that follow each other in ``data``."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings without nulls, one after the other, and their lengths."""
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], np.diff(offsets).astype(np.int64)
+
+
+def _batch(schema: pa.Schema, n: int, columns: dict) -> pa.RecordBatch:
+    """``n`` rows with these columns, the others null."""
+
+    def array(values, kind):
+        if isinstance(values, pa.Array):
+            return values if values.type == kind else pa.array(values.to_pylist(), kind)
+        return pa.nulls(n, kind) if values is None else pa.array(values, kind)
+
+    return pa.RecordBatch.from_arrays([array(columns.get(f.name), f.type) for f in schema], schema=schema)
 
 
 def _add(rows: dict, row: dict) -> None:
@@ -366,7 +393,7 @@ def _add(rows: dict, row: dict) -> None:
 
 
 def _pack_runs(first: np.ndarray, last: np.ndarray) -> bytes:
-    return np.stack([first, last]).astype(np.int64).tobytes()
+    return np.stack([first, last], axis=1).astype(np.int64).tobytes()
 
 
 def _suffixes(batches):
@@ -374,22 +401,21 @@ def _suffixes(batches):
 
     Rows arrive sorted by trigger; whole triggers are taken together, many at a time.
     """
-    names = ["q_doc", "q_code", "starts"]
+    names, last = ["q_doc", "q_code", "starts"], None
 
-    def answer(rows):
-        texts = [r[4] for r in rows]
-        lengths = np.array([len(t) for t in texts])
+    def answer(held):
+        docs, codes = (np.concatenate([h[c].to_numpy() for h in held]) for c in ("q_doc", "q_code"))
+        parts = [_joined(h["q_text"]) for h in held]
+        data, lengths = (np.concatenate(x) for x in zip(*parts))
         counts = lengths - LENGTH + 1
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        owner = np.repeat(np.arange(len(rows)), counts)
-        inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        owner, inner = _spread(counts)
         at = (np.cumsum(lengths) - lengths)[owner] + inner
         # The first LENGTH bytes of each suffix as big-endian words, most significant first.
         words = -(-LENGTH // 8)
         wide = np.zeros((len(at), words * 8), dtype=np.uint8)
         wide[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[at]
         columns = wide.view(">u8").astype(np.uint64)
-        doc = np.array([r[2] for r in rows], dtype=np.int64)[owner]
+        doc = docs[owner]
         order = np.lexsort((doc, *columns.T[::-1]))
         columns, doc = columns[order], doc[order]
         head = np.ones(len(order), dtype=bool)
@@ -399,21 +425,29 @@ def _suffixes(batches):
         bits = np.where(repeated, np.int64(1) << inner, np.int64(0))
         starts = np.bitwise_or.reduceat(bits, np.cumsum(counts) - counts)
         keep = np.flatnonzero(starts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([rows[i][2] for i in keep], pa.int64()), pa.array([rows[i][1] for i in keep], pa.int64()), pa.array(starts[keep], pa.int64())],
-            names,
-        )
+        return pa.RecordBatch.from_arrays([pa.array(x[keep], pa.int64()) for x in (docs, codes, starts)], names)
 
-    rows, last = [], None
+    held, size = [], 0
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("q_trigger", "q_code", "q_doc", "q_lead", "q_text"))):
-            if len(rows) >= 20_000 and row[0] != last:
-                yield answer(rows)
-                rows = []
-            rows.append(row)
-            last = row[0]
-    if rows:
-        yield answer(rows)
+        columns = {c: batch.column(c) for c in ("q_doc", "q_code", "q_text")}
+        trigger = batch.column("q_trigger").to_numpy()
+        heads = np.flatnonzero(trigger[1:] != trigger[:-1]) + 1
+        if size and trigger[0] != last:
+            heads = np.concatenate([[0], heads])
+        at = 0
+        while True:
+            # up to the first trigger that begins when enough rows are held
+            cut = heads[np.searchsorted(heads, at + max(0, SORT_ROWS - size)) :]
+            end = int(cut[0]) if len(cut) else len(trigger)
+            held.append({c: x.slice(at, end - at) for c, x in columns.items()})
+            size += end - at
+            if not len(cut):
+                break
+            yield answer(held)
+            held, size, at = [], 0, end
+        last = trigger[-1]
+    if size:
+        yield answer(held)
 
 
 def _close(finish: Callable, schema: pa.Schema):
@@ -430,52 +464,49 @@ def _close(finish: Callable, schema: pa.Schema):
         return at[(twos[which] == two) & (least[which] < keys[owner[at]])]
 
     def run(batches):
-        group, found, crowd, strings = None, {}, [], None
+        group, found, crowd, answers, strings = None, [], [], None, None
         for g, is_text, batch in _in_groups(batches):
             if g != group:
-                group, found, crowd, strings = g, {}, [], None
+                group, found, crowd, answers, strings = g, [], [], None, None
             if not is_text:
-                of_strings = batch.column("kind").to_numpy() == 1
-                some = batch.filter(pa.array(of_strings))
-                if some.num_rows:
-                    crowd.append([some.column(c).to_numpy() for c in ("code", "starts", "doc_key")])
-                batch = batch.filter(pa.array(~of_strings))
-                for doc, code, starts in zip(*(batch.column(c).to_pylist() for c in ("doc_key", "code", "starts"))):
-                    found.setdefault(doc, {})[code] = starts
+                for kind, held in ((0, found), (1, crowd)):
+                    some = batch.filter(pa.array(batch.column("kind").to_numpy() == kind))
+                    if some.num_rows:
+                        held.append([some.column(c).to_numpy() for c in ("doc_key", "code", "starts")])
                 continue
+            if found:
+                docs, codes, starts = (np.concatenate(x) for x in zip(*found))
+                name, at = np.unique(_named(docs, codes.view(np.uint64)), return_index=True)
+                answers, found = (K.Lookup(name), starts[at]), []
             if crowd:
-                one, two, least = (np.concatenate(x) for x in zip(*crowd))
+                least, one, two = (np.concatenate(x) for x in zip(*crowd))
                 one, at = np.unique(one.view(np.uint64), return_index=True)
                 strings, crowd = (K.Lookup(one), two[at].view(np.uint64), least[at]), []
             for batch, keys, begin, end, data, offsets in _text_pieces(batch):
-                runs = batch.column("runs")
-                p = parse(data, offsets)
-                codes = p["code"].view(np.int64)
-                bounds = np.searchsorted(p["doc"], np.arange(end - begin + 1)).tolist()
-                common = repeated_strings(keys[begin:end], data, offsets, strings) if strings and len(data) >= LENGTH else np.empty(0, np.int64)
-                cuts = np.searchsorted(common, offsets).tolist()
-                rows = {c: [] for c in schema.names}
+                raw, lengths = _joined(batch.column("runs").slice(begin, end - begin))
+                doc = np.repeat(np.arange(end - begin), lengths // 16)
+                first, last = raw.view(np.int64).reshape(-1, 2).T + offsets[doc]
+                runs = [(doc, first, last - LENGTH)]
+                if answers:
+                    p = parse(data, offsets)
+                    hit, which = answers[0].find(_named(keys[begin + p["doc"]], p["code"]))
+                    bits = answers[1][which, None] >> np.arange(LENGTH - WINDOW + 1) & 1
+                    at, inner = np.nonzero(bits)
+                    first = p["first"][hit][at] + inner
+                    runs.append((p["doc"][hit][at], first, first))
+                if strings and len(data) >= LENGTH:
+                    first = repeated_strings(keys[begin:end], data, offsets, strings)
+                    runs.append((np.searchsorted(offsets, first, side="right") - 1, first, first))
+                doc, first, last = (np.concatenate(x) for x in zip(*runs))
+                order = np.lexsort((first, doc))
+                doc, first, last = _runs_of(doc[order], first[order], last[order])
+                first, last = first - offsets[doc], last - offsets[doc]
+                bounds = np.searchsorted(doc, np.arange(end - begin + 1)).tolist()
+                rows = {c: [] for c in schema.names if c != "rest"}
                 for i in range(end - begin):
-                    first, last = np.frombuffer(runs[begin + i].as_py(), dtype=np.int64).reshape(2, -1)
-                    answers = found.get(int(keys[begin + i]), {})
-                    starts = (common[cuts[i] : cuts[i + 1]] - offsets[i]).tolist()
-                    if answers:
-                        own = codes[bounds[i] : bounds[i + 1]]
-                        hit = np.flatnonzero(np.isin(own, np.fromiter(answers, np.int64, len(answers)))) + bounds[i]
-                        starts += [
-                            p["first"][q] - offsets[i] + b
-                            for q in hit.tolist()
-                            for b in range(int(p["last"][q] - p["first"][q]) + 1)
-                            if answers[int(codes[q])] >> b & 1
-                        ]
-                    if starts:
-                        first = np.concatenate([first, np.array(starts, dtype=np.int64)])
-                        last = np.concatenate([last - LENGTH, np.array(starts, dtype=np.int64)])
-                        order = np.argsort(first, kind="stable")
-                        first, last = _runs_of(first[order], last[order])
-                    raw = data[offsets[i] : offsets[i + 1]]
-                    _add(rows, {"rest": batch.column("rest")[begin + i]} | finish(raw, first, last))
-                yield pa.RecordBatch.from_arrays([_array(rows[f.name], f.type) for f in schema], schema=schema)
+                    own = slice(bounds[i], bounds[i + 1])
+                    _add(rows, finish(data[offsets[i] : offsets[i + 1]], first[own], last[own]))
+                yield _batch(schema, end - begin, rows | {"rest": batch.column("rest").slice(begin, end - begin)})
 
     return run
 
@@ -539,13 +570,13 @@ def dedup(docs: DataFrame, rest: list[str], finish: Callable = digest, kind: str
     both = both.repartition(n, "g").sortWithinPartitions("g", "kind")
     done = f"rest {rest_type.simpleString()}, {kind}"
     settled = (
-        f"{done}, g long, doc_key long, packed binary, runs binary, q_trigger long, q_code long, q_doc long, q_lead int, "
+        f"{done}, g long, doc_key long, packed binary, runs binary, q_trigger long, q_code long, q_doc long, "
         "q_text binary, s_one long, s_two long, s_least long, s_most long"
     )
     shape = lambda ddl: _arrow(spark.createDataFrame([], ddl).schema)
     state = tables.written(both.mapInArrow(_settle(finish, shape(settled)), settled))
 
-    doubts = state.filter("q_text is not null").select("q_trigger", "q_code", "q_doc", "q_lead", "q_text")
+    doubts = state.filter("q_text is not null").select("q_trigger", "q_code", "q_doc", "q_text")
     doubts = doubts.repartition(n, "q_trigger").sortWithinPartitions("q_trigger")
     found = doubts.mapInArrow(_suffixes, "q_doc long, q_code long, starts long")
     found = found.select(

@@ -2,7 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +112,56 @@ def test_a_crowded_trigger_is_spread(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_suffixes", bounded)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert sorted(map(tuple, suffix_dedup.dedup(docs, ["doc_id"]).collect()), key=str) == plain(rows)
+
+
+def test_a_phrase_that_its_document_repeats_is_asked_for_once(spark, monkeypatch):
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    line = text(90)
+    rows = [(i, " ".join([text(20) + line + text(20)] * 30) + line[i : 70 + i] + text(40)) for i in range(8)]
+    suffixes = suffix_dedup._suffixes
+
+    def bounded(batches):
+        asked = set()
+        for batch in batches:
+            pairs = list(zip(batch.column("q_doc").to_pylist(), batch.column("q_code").to_pylist()))
+            assert len({*pairs}) == len(pairs) and not asked & {*pairs}
+            asked |= {*pairs}
+            yield from suffixes([batch])
+
+    monkeypatch.setattr(suffix_dedup, "_suffixes", bounded)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, suffix_dedup.dedup(docs, ["doc_id"]).collect()), key=str) == plain(rows)
+
+
+def test_triggers_stay_together_wherever_batches_end(monkeypatch):
+    rnd = random.Random(3)
+    rows = []
+    for trigger in range(40):
+        base = bytes(rnd.choice(b"ab") for _ in range(60))
+        rows += [(trigger, 100 * trigger + i, rnd.randint(0, 50), base[i % 3 : 53 + i % 7]) for i in range(rnd.randint(1, 9))]
+    names = ["q_trigger", "q_code", "q_doc", "q_text"]
+
+    def answers(size, held):
+        monkeypatch.setattr(suffix_dedup, "SORT_ROWS", held)
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[i : i + size]]) for i in range(0, len(rows), size)]
+        out = list(suffix_dedup._suffixes(batches))
+        return len(out), sorted(tuple(r.values()) for batch in out for r in batch.to_pylist())
+
+    (_, expected), (n, got) = answers(len(rows), 10**6), answers(7, 5)
+    assert expected and n > 5
+    assert all(answers(*sizes)[1] == expected for sizes in ((7, 5), (1, 1), (3, 50), (64, 10))) and got == expected
+
+
+def test_temporary_arrays_of_a_piece_stay_small():
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choices("abcdefgh ", k=3000)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"doc_key": list(range(1000)), "text": texts})
+    suffix_dedup.K.prefix_sums(np.zeros(1, np.uint8))
+    suffix_dedup.K.powers(suffix_dedup.K._INVERSE, 1)
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in suffix_dedup._entries(4)([batch]))
+        assert rows and tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
