@@ -131,6 +131,8 @@ def _entries(buckets: int):
                     K.trim()
         if kept:
             yield flush(kept)
+        kept = None
+        K.trim()
 
     return run
 
@@ -203,6 +205,8 @@ def _answers(groups: int):
                 kept.append((docs, hashes))
         if kept:
             yield from replies(kept)
+        kept = None
+        K.trim()
 
     return run
 
@@ -308,6 +312,7 @@ def _settle(finish: Callable, schema: pa.Schema):
                     yield flush(group, strings)
                 strings, size = [], 0
                 group, docs, codes, kinds, tables_ = g, [], [], [], None
+                K.trim()
             if not is_text:
                 for kind, d, c in zip(*(batch.column(x).to_pylist() for x in ("kind", "docs", "codes"))):
                     d = _unpacked_longs(d)
@@ -319,6 +324,7 @@ def _settle(finish: Callable, schema: pa.Schema):
                 name = _named(np.concatenate(docs), np.concatenate(codes)) if docs else np.empty(0, np.uint64)
                 kind = np.concatenate(kinds) if docs else np.empty(0, np.int64)
                 tables_ = [K.Lookup(np.sort(name[kind == k])) for k in (0, 1, 2)]
+                docs, codes, kinds, name, kind = [], [], [], None, None
             for batch, keys, begin, end, data, offsets in _text_pieces(batch):
                 p = parse(data, offsets)
                 name = _named(keys[begin + p["doc"]], p["code"])
@@ -357,6 +363,8 @@ def _settle(finish: Callable, schema: pa.Schema):
                     })
         if strings:
             yield flush(group, strings)
+        strings = tables_ = None
+        K.trim()
 
     return run
 
@@ -448,6 +456,8 @@ def _suffixes(batches):
         last = trigger[-1]
     if size:
         yield answer(held)
+    held = None
+    K.trim()
 
 
 def _close(finish: Callable, schema: pa.Schema):
@@ -468,6 +478,7 @@ def _close(finish: Callable, schema: pa.Schema):
         for g, is_text, batch in _in_groups(batches):
             if g != group:
                 group, found, crowd, answers, strings = g, [], [], None, None
+                K.trim()
             if not is_text:
                 for kind, held in ((0, found), (1, crowd)):
                     some = batch.filter(pa.array(batch.column("kind").to_numpy() == kind))
