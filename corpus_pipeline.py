@@ -42,8 +42,7 @@ def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, as counts and digests, with the digest of the text decoded from them."""
-    path = public_tokenizers.path(VOCABULARY)
-    return tree_bpe.digests(tree_bpe.encode_rows(docs, path), path)
+    return tree_bpe.encoded_digests(docs, public_tokenizers.path(VOCABULARY))
 
 
 STAGES = [

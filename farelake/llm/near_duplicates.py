@@ -38,6 +38,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 COMPONENTS = BANDS * ROWS
 _SALT_MEMBERS, _BLOCK_MEMBERS = 1000, 250
+_PIECE_BYTES = 1 << 18  # of text; processes of the points take many times as much
 _POINTS = (1, 2, 2, 4, 8)  # points generated at a time for each process
 
 
@@ -136,7 +137,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for begin, end, data, offsets in K.text_pieces(batch):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
                 doc, grams, counts, keys = bags(data, offsets)
                 sig = signatures(doc, grams, counts, end - begin)
                 some = np.zeros(end - begin, dtype=bool)
@@ -149,6 +150,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                     ],
                     ["doc_id", "key", "sig"],
                 )
+        K.trim()
 
     return docs.mapInArrow(run, "doc_id long, key binary, sig binary")
 
@@ -182,7 +184,7 @@ def _send(names, kinds, fields):
 
     def run(batches):
         for batch in batches:
-            for begin, end, data, offsets in K.text_pieces(batch, limit=1 << 19):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
                 doc, grams, counts, keys = bags(data, offsets)
                 bounds = np.searchsorted(doc, np.arange(end - begin + 1)).tolist()
                 for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
@@ -194,6 +196,7 @@ def _send(names, kinds, fields):
                     for at in range(0, len(tests), 64):
                         rows = [(*(t[f] for f in fields), key, *bag) for t in tests[at : at + 64]]
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        K.trim()
 
     return run
 
@@ -228,6 +231,7 @@ def _compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
             if found:
                 kinds = (pa.binary(), pa.binary(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["x", "y", "sim"])
+        K.trim()
 
     send = _send(
         ["y", "salt", "member", "x", "grams", "counts"],
@@ -300,6 +304,8 @@ def _resolved(docs: DataFrame, ids: DataFrame, tested: DataFrame, roots: DataFra
                         found.append((x, block.keys[i]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["x", "y"])
+        members, block = [], None
+        K.trim()
 
     send = _send(
         ["y", "block", "asks", "root", "x", "grams", "counts"],
@@ -380,12 +386,13 @@ def first_of_class(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     def keyed(batches):
         for batch in batches:
-            for begin, end, data, offsets in K.text_pieces(batch):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
                 keys = bags(data, offsets)[3]
                 some = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays(
                     [some.column("row"), some.column("kept_doc"), pa.array(keys, pa.binary())], ["row", "kept_doc", "key"]
                 )
+        K.trim()
 
     rows = whole.mapInArrow(keyed, whole.select("row", "kept_doc", F.lit(b"").alias("key")).schema)
     joined = rows.join(kept, rows["kept_doc"].eqNullSafe(kept["kept_id"]) & (rows["key"] == kept["kept_key"]))

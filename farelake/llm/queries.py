@@ -26,9 +26,8 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_bpe(spark, sf):
-    path = public_tokenizers.path(VOCABULARY)
-    encoded = tree_bpe.encode_rows(tables.read(spark, sf, "documents", "doc_id", "text"), path)
-    return tree_bpe.digests(encoded, path)
+    docs = tables.read(spark, sf, "documents", "doc_id", "text")
+    return tree_bpe.encoded_digests(docs, public_tokenizers.path(VOCABULARY))
 
 
 def op2_decontamination(spark, sf):

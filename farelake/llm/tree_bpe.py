@@ -34,6 +34,8 @@ from farelake.llm.kernels import trim
 LEAF_CHARS = 2048
 ROW_CHARS = 1 << 16
 WINDOW = 8
+ENCODED = "doc_id long, ids binary"
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 # The splitter of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -192,14 +194,17 @@ def _row_pieces(vocab: Vocabulary, text: str, size: int) -> list[tuple[str, bool
     return out
 
 
-def encode_rows(docs: DataFrame, vocab_path: str, row_chars: int = ROW_CHARS, leaf: int = LEAF_CHARS) -> DataFrame:
+def encode_rows(
+    docs: DataFrame, vocab_path: str, row_chars: int = ROW_CHARS, leaf: int = LEAF_CHARS, finish: Callable = iter, kind: str = ENCODED
+) -> DataFrame:
     """``(doc_id, ids)`` for every row of ``docs(doc_id, text)``; ids is a binary of 32-bit integers.
 
     Rows up to ``row_chars`` characters are encoded where they are read. Longer ones are cut into rows that are dealt
-    out, encoded, and joined for each text.
+    out, encoded, and joined for each text. ``finish`` takes the encoded batches in the Python worker that made them, and
+    ``kind`` names what it makes of them: as a ``mapInArrow`` of its own it would hold a second worker for each task.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    here = docs.filter(F.length("text") <= row_chars).mapInArrow(_encoder(vocab_path, leaf), "doc_id long, ids binary")
+    here = docs.filter(F.length("text") <= row_chars).mapInArrow(_after(_encoder(vocab_path, leaf), finish), kind)
     long = docs.filter(F.length("text") > row_chars).withColumn("row_id", F.monotonically_increasing_id())
     pieces = (
         long.mapInArrow(_cutter(vocab_path, row_chars), "row_id long, doc_id long, piece int, merges boolean, text string")
@@ -210,11 +215,15 @@ def encode_rows(docs: DataFrame, vocab_path: str, row_chars: int = ROW_CHARS, le
         pieces.groupBy("row_id", "doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("piece", "merges", "ids"))).alias("pieces"))
         .select("doc_id", F.col("pieces.merges").alias("merges"), F.col("pieces.ids").alias("ids"))
-        .mapInArrow(_joiner(vocab_path), "doc_id long, ids binary")
+        .mapInArrow(_after(_joiner(vocab_path), finish), kind)
     )
     return here.unionByName(joined)
 
 
+def _after(step: Callable, finish: Callable) -> Callable:
+    return lambda batches: finish(step(batches))
+
+
 def _packed(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype=np.int32).tobytes()
 
@@ -309,11 +318,9 @@ def decode_rows(encoded: DataFrame, vocab_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def digests(encoded: DataFrame, vocab_path: str) -> DataFrame:
-    """Counts and digests of the ids of :func:`encode_rows` and of the text decoded from them."""
-
+def _digester(path):
     def run(batches):
-        vocab = vocabulary(vocab_path)
+        vocab = vocabulary(path)
         names = vocab.names
         for whole in batches:
             for batch in _batches(whole):
@@ -328,5 +335,14 @@ def digests(encoded: DataFrame, vocab_path: str) -> DataFrame:
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded.select("doc_id", "ids").mapInArrow(run, kind)
+    return run
+
+
+def digests(encoded: DataFrame, vocab_path: str) -> DataFrame:
+    """Counts and digests of the ids of :func:`encode_rows` and of the text decoded from them."""
+    return encoded.select("doc_id", "ids").mapInArrow(_digester(vocab_path), DIGESTS)
+
+
+def encoded_digests(docs: DataFrame, vocab_path: str, row_chars: int = ROW_CHARS, leaf: int = LEAF_CHARS) -> DataFrame:
+    """:func:`encode_rows` and :func:`digests` with one Python worker a task."""
+    return encode_rows(docs, vocab_path, row_chars, leaf, _digester(vocab_path), DIGESTS)

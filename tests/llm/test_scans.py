@@ -2,12 +2,16 @@
 
 import hashlib
 import math
+import random
 import re
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
-from farelake.llm import fingerprints, kernels, licences, quality
+from farelake.llm import fingerprints, kernels, licences, near_duplicates, quality
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -166,3 +170,24 @@ def test_long_texts_that_share_a_passage():
     a, b = (fingerprints.fingerprints([text(60_000) + shared + text(40_000)])[0] for _ in range(2))
     least = len(fingerprints.fingerprints([shared])[0][0])
     assert fingerprints.likeness(a, b) == pytest.approx(least / len({*a[0], *b[0]}), rel=0.02)
+
+
+def test_temporary_arrays_of_a_piece_stay_small():
+    """The Python of a task, on a batch as Spark sends it; the arrays over a text are many times as large."""
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choices("abcdefgh ", k=3000)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": texts})
+    model = quality.fit([prose(1, 50), "%%% %%% " * 20], [1, 0])
+    own = SimpleNamespace(mapInArrow=lambda run, _: run, columns=[], schema=None)
+    own.select = lambda *names: own
+    own.sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x)))
+    kept = {}
+    quality.keep(SimpleNamespace(**vars(own) | {"mapInArrow": lambda run, _: kept.update(run=run) or own}), model)
+    for run in (kept["run"], near_duplicates._signed(own)):
+        assert sum(b.num_rows for b in run([batch.slice(0, 1)])) <= 1  # tables that the worker keeps
+        tracemalloc.start()
+        try:
+            rows = sum(b.num_rows for b in run([batch]))
+            assert tracemalloc.get_traced_memory()[1] < 21 << 20 and rows <= 1000
+        finally:
+            tracemalloc.stop()

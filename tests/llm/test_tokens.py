@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from farelake.llm import token_counts, tree_bpe
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -80,6 +81,26 @@ def test_empty_table(spark):
     assert token_counts.count_tokens(docs, PATH).count() == 0
 
 
+def test_a_task_holds_one_python_worker(spark):
+    """No Python operator reads from another one without an exchange between them."""
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "xy " * 90)], "doc_id long, text string")
+    found = tree_bpe.encoded_digests(docs, PATH, row_chars=200, leaf=32)
+    want = tree_bpe.digests(tree_bpe.encode_rows(docs, PATH, row_chars=200, leaf=32), PATH)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+    def workers(node):
+        below = [workers(node.children().apply(i)) for i in range(node.children().size())]
+        most, here = max((b[0] for b in below), default=0), max((b[1] for b in below), default=0)
+        here = 0 if "Exchange" in node.nodeName() else here + node.nodeName().startswith("MapInArrow")
+        return max(most, here), here
+
+    def most_workers(df):
+        plan = df._jdf.queryExecution().executedPlan()
+        return workers(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)[0]
+
+    assert [most_workers(x) for x in (found, dict(corpus_pipeline.STAGES)["tokens"](spark, docs, ""), want)] == [1, 1, 2]
+
+
 def test_counts_at_every_prefix(library):
     counts = token_counts.counter(PATH)
     for text in texts(4, 60, 40):
