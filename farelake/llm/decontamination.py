@@ -207,7 +207,7 @@ class Sieve:
 
     def pieces(self, batch):
         """``(first row, bytes, offsets, words, first words, places, hashes)`` of the n-grams that pass, by piece of a batch."""
-        for begin, _, data, offsets in K.text_pieces(batch):
+        for begin, _, data, offsets in K.text_pieces(batch, limit=K.SMALL_PIECE_BYTES):
             lowered = K.lower_ascii(data)
             starts, ends, first = K.word_spans(lowered, offsets)
             words = K.span_hashes(K.prefix_sums(lowered), starts, ends)
@@ -283,6 +283,8 @@ def seeded_blocks(docs: DataFrame, sieve: Sieve, block_words: int) -> DataFrame:
                             rows = []
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
+        rows = []
+        K.trim()
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return ids.mapInArrow(run, "doc_id long, uid string, block long, words binary, at array<long>, h array<long>")

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
+SMALL_PIECE_BYTES = 1 << 18  # where the arrays over a piece take tens of bytes for each of its bytes
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -29,7 +30,8 @@ def powers(base: int, n: int) -> np.ndarray:
     """``base**i`` modulo 2**64 for i < n, kept for the life of the worker."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, PIECE_BYTES + 1), base & 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+        least = SMALL_PIECE_BYTES if n <= SMALL_PIECE_BYTES + 1 else PIECE_BYTES
+        have = np.full(max(n, least + 1), base & 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
         have[0] = 1
         _powers[base] = np.multiply.accumulate(have)
     return _powers[base][:n]

@@ -38,7 +38,6 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 COMPONENTS = BANDS * ROWS
 _SALT_MEMBERS, _BLOCK_MEMBERS = 1000, 250
-_PIECE_BYTES = 1 << 18  # of text; processes of the points take many times as much
 _POINTS = (1, 2, 2, 4, 8)  # points generated at a time for each process
 
 
@@ -137,7 +136,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=K.SMALL_PIECE_BYTES):
                 doc, grams, counts, keys = bags(data, offsets)
                 sig = signatures(doc, grams, counts, end - begin)
                 some = np.zeros(end - begin, dtype=bool)
@@ -184,7 +183,7 @@ def _send(names, kinds, fields):
 
     def run(batches):
         for batch in batches:
-            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=K.SMALL_PIECE_BYTES):
                 doc, grams, counts, keys = bags(data, offsets)
                 bounds = np.searchsorted(doc, np.arange(end - begin + 1)).tolist()
                 for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
@@ -386,7 +385,7 @@ def first_of_class(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     def keyed(batches):
         for batch in batches:
-            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=K.SMALL_PIECE_BYTES):
                 keys = bags(data, offsets)[3]
                 some = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays(

@@ -25,7 +25,6 @@ from farelake.llm import kernels as K
 BUCKETS, DIMENSIONS, GRAMS = 1 << 17, 8, (3, 4)
 SAMPLE, EPOCHS, RATE, SEED = 1500, 6, 0.5, 7
 _SCALE = 1 << 20
-_PIECE_BYTES = 1 << 18  # of text; the arrays over it take about seventy bytes a byte
 _AGAIN = np.uint64(1)
 _VISIBLE = np.ones(256, dtype=bool)
 _VISIBLE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = False
@@ -136,7 +135,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         fitted = Model(*sent.value)
         for batch in batches:
-            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=K.SMALL_PIECE_BYTES):
                 found = fitted.scores(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(begin, end - begin), pa.array(found, pa.float64())], ["doc_id", "score"]
@@ -161,7 +160,7 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
         fitted = Model(*sent.value)
         for batch in batches:
             wanted = np.zeros(batch.num_rows, dtype=bool)
-            for begin, end, data, offsets in K.text_pieces(batch, limit=_PIECE_BYTES):
+            for begin, end, data, offsets in K.text_pieces(batch, limit=K.SMALL_PIECE_BYTES):
                 wanted[begin:end] = fitted.scores(data, offsets) >= 0.5
             yield batch.filter(pa.array(wanted))
         K.trim()

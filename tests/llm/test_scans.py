@@ -172,6 +172,13 @@ def test_long_texts_that_share_a_passage():
     assert fingerprints.likeness(a, b) == pytest.approx(least / len({*a[0], *b[0]}), rel=0.02)
 
 
+def test_tables_that_a_worker_keeps_follow_its_pieces(monkeypatch):
+    monkeypatch.setattr(kernels, "_powers", {})
+    for n, most in ((10, 1 << 18), ((1 << 18) + 1, 1 << 18), (1 << 19, 1 << 20), ((1 << 20) + 9, (1 << 20) + 8)):
+        got = kernels.powers(7, n)
+        assert len(got) == n and int(got[-1]) == pow(7, n - 1, 1 << 64) and len(kernels._powers[7]) == most + 1
+
+
 def test_temporary_arrays_of_a_piece_stay_small():
     """The Python of a task, on a batch as Spark sends it; the arrays over a text are many times as large."""
     rnd = random.Random(1)
