@@ -10,7 +10,7 @@ and number as chunk extensions::
     00000c1f;record=17-4;chunk=1;of=2
     00000000;record=17-4;chunk=2;of=2         the end of the payload
 
-Every row ends with CRLF, so Spark's text writer makes the archive files. The reader splits the files at ``;record=``
+Every row ends with CRLF, so Spark's text writer makes the archive files, each of whole records. The reader splits the files at ``;record=``
 (the writer cuts chunks inside that string where a payload holds it), so Spark reads chunk by chunk, whatever the size
 of a record. Payloads of one chunk are digested where they are read; the chunks of larger ones are dealt out by record
 and streamed in order through an incremental SHA-1. No record is put together anywhere.
@@ -33,7 +33,6 @@ from farelake.llm import tables
 
 LEAST = 1000
 CHUNK_CHARS = 1 << 16
-FILE_ROWS = 50_000
 CRLF = "\r\n"
 MARK = ";record="
 _TAIL = len(CRLF) + 8  # what stands after the text of a chunk: a line end and the size of the next chunk
@@ -119,9 +118,11 @@ def rows_of_records(roles: DataFrame, date: str = "2024-01-01T00:00:00Z", chunk:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = LEAST, chunk: int = CHUNK_CHARS) -> None:
+    """A file a task, whatever the session's limit of rows a file, which counts rows of the text source and would end files
+    inside a record."""
     (
         rows_of_records(with_roles(pages, least), chunk=chunk)
-        .write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS)
+        .write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", 0)
         .text(path)
     )
 

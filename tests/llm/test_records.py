@@ -91,6 +91,21 @@ def plain_chats(rows):
     return sorted(out, key=str)
 
 
+def test_many_records_of_a_task(spark, tmp_path):
+    """Files end with a record, however many rows a task writes."""
+    pages = spark.range(20_000).selectExpr("id AS page_id", "concat('u', id) AS url", "concat('page ', id) AS html")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        warc.write_archives(pages.coalesce(1), str(tmp_path / "a"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    for file in (tmp_path / "a").glob("*.gz"):
+        raw = gzip.decompress(file.read_bytes())
+        assert raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"\r\n\r\n")
+    got = {tuple(r) for r in warc.read_archives(spark, str(tmp_path / "a")).collect()}
+    assert got == set(plain([(i, f"u{i}", f"page {i}", "c") for i in range(20_000)]))
+
+
 CHATS = [
     (-7, 0, "user", r"\### Assistant: </turn> ok", "x"), (-7, 1, "assistant", r"\### Assistant: </turn> ok", "x"),
     (1, 0, "system", None, "x"), (1, 1, "assistant", "", "x"), (1, 2, None, "no role", "x"), (1, 3, "to:ol\\", "y", "x"),
