@@ -1,14 +1,17 @@
 """Gradient boosting on histograms: leaf-wise trees with an L2 term on leaf values, the models of all folds side by side.
 
-Rows are quantile bins (:class:`farelake.operators.forest.Bins`). Each model holds those it learns in parts of about
-``PART_ROWS``, one block a part with their labels and raw scores. A pass adds up, for the nodes asked for of all models at
-once, the row count, gradient and second derivative of the log-loss by feature and bin. The sums of the parts of a model meet
-on the executors, which find the best split of each node; the driver gets that split alone, so what it holds does not
-depend on rows, features or parts. A model of one part needs no shuffle for this. The driver plays the splits through in
-order of gain; where it meets nodes whose children are not known yet, one pass brings those of all of them, so a tree needs
-about as many passes as it is deep and comes out as if split one leaf at a time. Trees are added to the scores on the fly;
-every ``WRITE_EVERY`` rounds the blocks are written with new scores. Rows lie in the order of a digest of their unit and
-parts are added in order, so that sums do not depend on the layout.
+Rows are quantile bins (:class:`farelake.operators.forest.Bins`). A pass adds up, for the nodes asked for, the row count,
+gradient and second derivative of the log-loss by feature and bin and finds the best split of each node. The splits are
+played through in order of gain; where that meets nodes whose children are not known yet, one pass brings those of all of
+them, so a tree needs about as many passes as it is deep and comes out as if split one leaf at a time.
+
+A model that learns no more than ``PART_ROWS`` rows has them all in one task, which makes the passes of all rounds over them:
+one job for all models. There a node carries its own rows, and of two children the larger has the sums of their parent less
+those of the smaller. A larger model holds its rows in parts of about ``PASS_ROWS``, one block a part with their labels and raw scores,
+and a pass is a job for the nodes of all models at once. The sums of the parts of a model meet on the executors; the driver
+gets the best split of each node alone, so what it holds does not depend on rows, features or parts. Trees are added to the
+scores on the fly; every ``WRITE_EVERY`` rounds the blocks are written with new scores. Rows lie in the order of a digest of
+their unit and parts are added in order, so that sums do not depend on the layout.
 
 A split must leave ``min_leaf`` rows on both sides and gain more than nothing. Ties go to the first feature and lowest bin.
 A model is its trees: at most ``rounds`` times ``leaves`` nodes, which is what a scoring job sends to its tasks.
@@ -33,7 +36,7 @@ from farelake import config as C
 from farelake.operators.forest import Bins, matrix, points
 from farelake.session import drop_dir, materialise, run_dir, ship
 
-PART_ROWS = 1 << 17
+PART_ROWS, PASS_ROWS = 1 << 22, 1 << 17
 WRITE_EVERY = 10
 MEET = 64  # tasks in which the sums of the parts meet, at most
 
@@ -76,6 +79,16 @@ def sums_by_bin(x, gradient, second, slot: np.ndarray, slots: int) -> np.ndarray
     return out
 
 
+def sums_of_rows(x, gradient, second, rows) -> np.ndarray:
+    """Rows, gradient and second derivative by (feature, bin) of ``rows``."""
+    gradient, second, out = gradient[rows], second[rows], np.empty((x.shape[1], 256, 3))
+    for feature in range(x.shape[1]):
+        at = x[:, feature][rows].astype(np.intp)
+        for i, weights in enumerate((None, gradient, second)):
+            out[feature, :, i] = np.bincount(at, weights, 256)
+    return out
+
+
 def best_split(sums: np.ndarray, min_leaf: int, l2: float):
     """``(gain, feature, bin, left sums, right sums)`` of a node; nothing if no split gains."""
     left = np.cumsum(sums, axis=1)
@@ -147,6 +160,48 @@ class _Growing:
         return Tree(*zip(*columns))
 
 
+def grow_whole(x: np.ndarray, y: np.ndarray, start: float, grid: C.ModelGrid) -> tuple[list, list]:
+    """The trees of a model whose rows are all here, and the number of passes that each took."""
+    raw, trees, passes = np.full(len(y), start), [], []
+    for _ in range(grid.gbt_rounds):
+        p = 1 / (1 + np.exp(-raw))
+        gradient, second = p - y, p * (1 - p)
+        growing = _Growing(grid.gbt_leaves, grid.gbt_min_leaf, grid.gbt_l2, grid.gbt_step)
+        rows, sums = {0: slice(None)}, {0: sums_of_rows(x, gradient, second, slice(None))}
+        passes.append(0)
+        while growing.wanted:
+            own = [sums[node] for node in growing.wanted]
+            growing.learn({i: (s[0].sum(axis=0), best_split(s, grid.gbt_min_leaf, grid.gbt_l2)) for i, s in enumerate(own)})
+            passes[-1] += 1
+            for node, children in growing.children.items():
+                if node not in rows:
+                    continue
+                _, feature, bin = growing.split[node][:3]
+                here, of_node = rows.pop(node), sums.pop(node)
+                left = x[:, feature][here] <= bin
+                for child, side in zip(children, (left, ~left)):
+                    inside = np.flatnonzero(side)
+                    rows[child] = inside if isinstance(here, slice) else here[inside]
+                asked = [child for child in children if child in growing.wanted]
+                if asked:
+                    small, large = sorted(children, key=lambda c: len(rows[c]))
+                    sums[small] = sums_of_rows(x, gradient, second, rows[small])
+                    if large in asked:
+                        rest = of_node - sums[small]
+                        rest[rest[..., 0] == 0] = 0  # no rounding where there are no rows
+                        sums[large] = rest
+        tree = growing.tree(True)
+        trees.append(tree)
+        stack = [(0, 0)]  # nodes, and the leaf of the tree that they lie under
+        while stack:
+            node, leaf = stack.pop()
+            if node in rows:
+                raw[rows[node]] += tree.value[leaf]
+            else:
+                stack += [(child, child if tree.feature[leaf] >= 0 and leaf == node else leaf) for child in growing.children[node]]
+    return trees, passes
+
+
 # ---- all folds -----------------------------------------------------------------------------------
 
 
@@ -216,7 +271,9 @@ def fit(
     found = [c.first() for c in counts]
     start = np.array([np.log((r.s or 0) + 1e-9) - np.log(r.n - (r.s or 0) + 1e-9) for r in found])
 
-    parts = max(1, ceil(max((r.n for r in found), default=0) / PART_ROWS))
+    most = max((r.n for r in found), default=0)
+    parts = 1 if most <= PART_ROWS else ceil(most / min(PART_ROWS, PASS_ROWS))
+    learns = bool(found) and all(r.n for r in found)
     dealt = _dealt(units, models, parts).rdd.map(lambda r: (r.model * parts + r.part, r))
     first = start.tolist()
 
@@ -235,8 +292,14 @@ def fit(
         k, part, x, y, raw = block
         return k, part, x, y, raw + sum((t(x) for t in recent[k]), np.zeros(len(x)))
 
-    blocks = dealt.partitionBy(len(models) * parts, int).mapPartitions(block).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = dealt.partitionBy(max(1, len(models) * parts), int).mapPartitions(block)
     trees, recent, passes, written = [[] for _ in models], [[] for _ in models], 0, None
+    if parts == 1:
+        each = []
+        for k, trees[k], took in blocks.map(lambda b: (b[0], *grow_whole(b[2], b[3], first[b[0]], grid))).collect() if learns else []:
+            each.append(took)
+        return Boosted(bins, models, start, trees, sum(map(max, zip(*each))))
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
 
     def splits(growing):
         """By model and place among its wanted nodes: the node's sums and best split."""
@@ -261,13 +324,13 @@ def fit(
             return key, (total[0].sum(axis=0), best_split(total, min_leaf, l2))
 
         by_part = blocks.mapPartitions(sums)
-        nodes = by_part.mapValues(lambda own: [own]) if parts == 1 else by_part.groupByKey(min(len(asked) * parts, MEET))
+        nodes = by_part.groupByKey(min(len(asked) * parts, MEET))
         out = [{} for _ in growing]
         for (k, place), split in nodes.map(best).collect():
             out[k][place] = split
         return out
 
-    for done in range(grid.gbt_rounds if found and all(r.n for r in found) else 0):
+    for done in range(grid.gbt_rounds if learns else 0):
         growing = [_Growing(grid.gbt_leaves, grid.gbt_min_leaf, grid.gbt_l2, grid.gbt_step) for _ in models]
         while any(g.wanted for g in growing):
             new, passes = splits(growing), passes + 1
@@ -316,10 +379,17 @@ def _dealt(units: DataFrame, models: Sequence[int], parts: int) -> DataFrame:
 
 def cross_validate(
     df: DataFrame, numeric: Sequence[str], name: str, label: str, unit: str, profile: str, folds: int = C.FOLDS,
-    grid: C.ModelGrid = C.ModelGrid(),
+    grid: C.ModelGrid = C.ModelGrid(), val_only: bool = False,
 ) -> DataFrame:
-    """Long scores ``modelo, fold, split, unit, label, puntaje`` of the models that leave out one fold each."""
+    """Long scores ``modelo, fold, split, unit, label, puntaje`` of the models that leave out one fold each.
+
+    With ``val_only`` a unit is scored by the model that has left it out and no other.
+    """
     fitted = fit(df, numeric, label, unit, profile, range(folds), grid)
+    if val_only:
+        known = df.filter(F.col("fold").isin(*range(folds)))
+        own = fitted.own_scores(fitted.bins.rows(known, F.col(unit), F.col(label), F.col("fold")), "fold", "puntaje")
+        return own.select(F.lit(name).alias("modelo"), "fold", F.lit("val").alias("split"), unit, label, "puntaje")
     every = fitted.scores(df.select(unit, label, F.col("fold").alias("_own"), *numeric, profile))
     split = F.when(F.col("fold") == F.col("_own"), "val").otherwise("train").alias("split")
     long = every.select("*", F.posexplode("puntajes").alias("fold", "puntaje"))

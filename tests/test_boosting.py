@@ -124,3 +124,24 @@ def test_importance_scores_all_folds_in_one_job(units, monkeypatch):
     found = models.boosting_importance(known, NUMERIC, grid).collect()
     assert [r.feature for r in found] == [r.feature for r in expected]
     assert np.allclose([r[1:] for r in found], [r[1:] for r in expected], atol=1e-12)
+
+
+def test_a_model_of_few_rows_is_grown_in_one_job(units):
+    """All rounds are made where the rows are, not by a job a pass."""
+    sc = units.sparkSession.sparkContext
+    sc.setJobGroup("whole", "whole")
+    try:
+        boosting.fit(units, NUMERIC, "etiqueta", "unidad_id", "perfil", range(C.FOLDS), GRID)
+        assert len(sc.statusTracker().getJobIdsForGroup("whole")) < GRID.gbt_rounds
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_own_scores_are_those_of_the_fold_left_out(units):
+    args = (NUMERIC, "boosting", "etiqueta", "unidad_id", "perfil")
+    every = boosting.cross_validate(units, *args, grid=GRID).filter("split = 'val'")
+    own = boosting.cross_validate(units, *args, grid=GRID, val_only=True)
+    assert own.columns == every.columns and own.count() == 500
+    both = own.join(every.withColumnRenamed("puntaje", "p"), ["modelo", "fold", "split", "unidad_id"])
+    assert both.count() == 500 and both.filter("abs(puntaje - p) > 1e-12").isEmpty()
+    assert boosting.cross_validate(units.filter("false"), *args, grid=GRID, val_only=True).isEmpty()
