@@ -39,6 +39,7 @@ from farelake.session import drop_dir, materialise, run_dir, ship
 PART_ROWS, PASS_ROWS = 1 << 22, 1 << 17
 WRITE_EVERY = 10
 MEET = 64  # tasks in which the sums of the parts meet, at most
+_BITS = 64  # leaves of a tree that is scored by bits
 
 
 class Tree:
@@ -47,9 +48,56 @@ class Tree:
     def __init__(self, feature=(-1,), bin=(0,), left=(0,), right=(0,), value=(0.0,)):
         self.feature, self.bin, self.left, self.right = (np.array(v, dtype=np.int32) for v in (feature, bin, left, right))
         self.value = np.array(value, dtype=float)
+        self._open = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_open": None}
+
+    def _masks(self):
+        """The leaves from left to right, and for each feature that splits: by bin, the bits of the leaves that it leaves open."""
+        leaves, under, stack = [], {}, [(0, False)]
+        while stack:
+            at, known = stack.pop()
+            if self.feature[at] < 0:
+                under[at] = (len(leaves), len(leaves) + 1)
+                leaves.append(at)
+            elif known:
+                under[at] = (under[self.left[at]][0], under[self.right[at]][1])
+            else:
+                stack += [(at, True), (self.right[at], False), (self.left[at], False)]
+        if len(leaves) > _BITS:
+            return leaves, None
+        masks: dict = {}
+        for at in under:
+            if self.feature[at] >= 0:
+                mask = masks.setdefault(int(self.feature[at]), np.full(256, (1 << len(leaves)) - 1, np.uint64))
+                for side, bins in ((self.left[at], slice(self.bin[at] + 1, None)), (self.right[at], slice(None, self.bin[at] + 1))):
+                    first, end = under[side]
+                    mask[bins] &= np.uint64(~(((1 << (end - first)) - 1) << first) & ((1 << _BITS) - 1))
+        return leaves, masks
 
     def leaf(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of every row; ``x`` is read by column."""
+        """The leaf of every row; ``x`` is read by column.
+
+        A row's bin of a feature closes the leaves on the other side of the feature's splits, by a look into a table of bits;
+        the first leaf that is still open is its own.
+        """
+        if self._open is None:
+            leaves, masks = self._masks()
+            self._open = (np.array(leaves, np.int32), masks)
+        leaves, masks = self._open
+        if masks is None:
+            return self._walked(x)
+        if not masks:
+            return np.zeros(len(x), dtype=np.int32)
+        still = None
+        for feature, mask in masks.items():
+            found = mask.take(x[:, feature])
+            still = found if still is None else np.bitwise_and(still, found, out=still)
+        still &= ~still + np.uint64(1)
+        return leaves.take((still.astype(float).view(np.int64) >> 52) - 1023)
+
+    def _walked(self, x: np.ndarray) -> np.ndarray:
         node, stack = np.zeros(len(x), dtype=np.int32), [(0, np.arange(len(x)))]
         while stack:
             at, rows = stack.pop()

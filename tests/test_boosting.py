@@ -145,3 +145,18 @@ def test_own_scores_are_those_of_the_fold_left_out(units):
     both = own.join(every.withColumnRenamed("puntaje", "p"), ["modelo", "fold", "split", "unidad_id"])
     assert both.count() == 500 and both.filter("abs(puntaje - p) > 1e-12").isEmpty()
     assert boosting.cross_validate(units.filter("false"), *args, grid=GRID, val_only=True).isEmpty()
+
+
+def test_leaves_by_bits_are_those_of_a_walk():
+    rng = np.random.default_rng(3)
+    x = np.asfortranarray(rng.integers(0, 256, (3000, 4), dtype=np.uint8))
+    for leaves in (1, 2, 31, 64, 65, 90):
+        feature, bin, left, right = [-1], [0], [0], [0]
+        for _ in range(leaves - 1):
+            node = rng.choice([i for i, f in enumerate(feature) if f < 0])
+            feature[node], bin[node], left[node], right[node] = rng.integers(4), rng.integers(255), len(feature), len(feature) + 1
+            for column, value in ((feature, -1), (bin, 0), (left, 0), (right, 0)):
+                column += [value, value]
+        tree = boosting.Tree(feature, bin, left, right, rng.normal(size=len(feature)))
+        assert (tree.leaf(x) == tree._walked(x)).all() and (pickle.loads(pickle.dumps(tree))(x) == tree(x)).all()
+        assert (tree.leaf(x[:0]) == tree._walked(x[:0])).all()
