@@ -186,3 +186,18 @@ def test_marks_name_the_new_keys_of_each_batch(spark, tmp_path):
         updates.run_available(jobs.mark_new_keys(_batches(spark, tmp_path, files), ["id"]), f"{tmp_path}/cp", write)
     assert seen == {0: [1], 1: [2], 2: []} and sizes == [3, 2, 1]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+@pytest.mark.parametrize("hot", [1 << 18, 3, 0])
+def test_first_reads_are_flagged_as_the_aggregates_split_them(spark, monkeypatch, hot):
+    """Keys of many reads go by the aggregates, all others by one window; both give the same rows."""
+    monkeypatch.setattr(jobs, "HOT_ROWS", hot)
+    at = lambda h: datetime(2026, 1, 1, h % 24) if h else None
+    rows = [(k % 37 or None, at(k * 7 % 11), k % 3 == 0, False) for k in range(300)] + [(5, at(3), True, False)] * 40
+    rows += [(k, None, None, True) for k in range(1, 30)]  # keys 30 to 36 were read before
+    batch = spark.createDataFrame(rows, f"id long, t timestamp_ntz, ok boolean, {jobs.MARK} boolean").repartition(5).cache()
+    got = jobs.with_first(batch, ["id"], ["t"])
+    for part, flag in zip(jobs.split_by_marks(batch, ["id"], ["t"]), (True, False)):
+        own = got.filter(F.col(jobs.FIRST) == flag).drop(jobs.FIRST)
+        assert sorted(map(str, own.collect())) == sorted(map(str, part.collect()))
+    assert got.count() == 340
